@@ -33,13 +33,11 @@ def latest(
     """The row with the greatest ``order`` per key; with ``ties`` every row sharing it."""
     if not ties:
         return first_by(df, keys, [column.desc_nulls_last() for column in _columns(order)])
-    # The moment is a struct, so missing values sort below present ones on every column.
-    named = {f"_key_{at}": column for at, column in enumerate(_columns(keys))}
-    marked = df.withColumns(named).withColumn("_moment", F.struct(*_columns(order)))
-    tops = marked.groupBy(*named).agg(
-        F.max("_moment").alias("_top"), F.count(F.lit(1)).alias("_rows")
-    )
-    joined = join_unique(marked, tops, list(named), rows_column="_rows", **join_options)
+    # Key and moment are structs: rows with a missing key form a group of their own, and missing
+    # moments sort below present ones.
+    marked = df.withColumns({"_key": F.struct(*_columns(keys)), "_moment": F.struct(*_columns(order))})
+    tops = marked.groupBy("_key").agg(F.max("_moment").alias("_top"), F.count(F.lit(1)).alias("_rows"))
+    joined = join_unique(marked, tops, ["_key"], rows_column="_rows", **join_options)
     return joined.where(F.col("_moment") == F.col("_top")).select(*df.columns)
 
 

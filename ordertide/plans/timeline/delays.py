@@ -1 +1,59 @@
+"""Delay of each stage against its target date."""
 
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ...functions.dates import as_timestamp, days_between
+from .config import Stage
+from .engine import stage_column
+
+# Delay statuses.
+DELAY_STATUSES = ("delayed", "early", "on_time", "pending", "pending_overdue", "unknown")
+
+
+def delay_column(stage_id: str) -> str:
+    return f"delay_{stage_id}"
+
+
+def stage_delay(df: DataFrame, stages: list[Stage], as_of, mode: str = "report") -> DataFrame:
+    """Add a struct column ``delay_<id>`` per stage to a timeline.
+
+    Fields: ``days`` (whole days rounded down, positive when late), ``status``, ``reason``,
+    ``team``, ``target``. An open stage counts as overdue once ``as_of`` has passed its target.
+    Stages that never have an actual date stay ``unknown`` in mode ``integrated`` and are
+    pending or overdue in mode ``report``.
+    """
+    if mode not in ("report", "integrated"):
+        raise ValueError("mode is 'report' or 'integrated'")
+    now = as_timestamp(as_of)
+    return df.select("*", *[_delay(stage, now, mode) for stage in stages])
+
+
+def _delay(stage: Stage, now: Column, mode: str) -> Column:
+    name = stage_column(stage.stage_id)
+    target = F.coalesce(F.col(f"{name}.target_date"), F.col(f"{name}.date"))
+    actual = F.col(f"{name}.actual_date")
+    if stage.actual is None and mode == "integrated":
+        days, status = F.lit(None).cast("long"), F.lit("unknown")
+    else:
+        done, late = days_between(actual, target), days_between(now, target)
+        days = F.coalesce(done, F.when(actual.isNull() & (now > target), late))
+        status = (
+            F.when(target.isNull(), "unknown")
+            .when(actual.isNull(), F.when(now > target, "pending_overdue").otherwise("pending"))
+            .when(done > 0, "delayed").when(done < 0, "early").otherwise("on_time")
+        )
+    text = days.cast("string")
+    reason = (
+        F.when(status == "delayed", F.concat(F.lit("Actual completion "), text, F.lit(" days after target")))
+        .when(status == "early", F.concat(F.lit("Completed "), F.abs(days).cast("string"), F.lit(" days before target")))
+        .when(status == "on_time", F.lit("Completed on target date"))
+        .when(status == "pending_overdue", F.concat(F.lit("Stage incomplete, "), text, F.lit(" days overdue")))
+        .when(status == "pending", F.lit("Stage not yet completed"))
+    )
+    return F.struct(
+        days.alias("days"), status.alias("status"), reason.alias("reason"),
+        F.when(days.isNotNull(), F.lit(stage.flow.team_owner)).alias("team"), target.alias("target"),
+    ).alias(delay_column(stage.stage_id))
