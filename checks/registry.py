@@ -6,9 +6,10 @@ from functools import wraps
 
 from ordertide.session import tune
 
-from . import timeline_oracle, timeline_queries
+from . import status_oracle, status_queries, timeline_oracle, timeline_queries
 
 _MODULES = (
+    (status_queries.QUERIES, status_oracle.ORACLE),
     (timeline_queries.QUERIES, timeline_oracle.ORACLE),
 )
 

@@ -65,6 +65,25 @@ def lookup(
     )
 
 
+def lookup_many(
+    df: DataFrame, keys: Sequence[str], sides: Sequence[DataFrame], defaults: Mapping[str, object] | None = None,
+    **join_options,
+) -> DataFrame:
+    """Columns of several one-row-per-key sides on the same key, in a single join.
+
+    The sides are stacked and grouped by the key first, so the rows of ``df`` move once per key
+    however many reference tables share it.
+    """
+    values = [[name for name in side.columns if name not in keys] for side in sides]
+    stacked = sides[0]
+    for side in sides[1:]:
+        stacked = stacked.unionByName(side, allowMissingColumns=True)
+    names = [name for part in values for name in part]
+    merged = stacked if len(sides) == 1 else stacked.groupBy(*keys).agg(*[F.max(name).alias(name) for name in names])
+    given = {name: (defaults or {})[name] for name in names if name in (defaults or {})}
+    return lookup(df, merged, list(keys), {name: name for name in names}, given, **join_options)
+
+
 def lookup_first(
     df: DataFrame, dim: DataFrame, on, value: tuple[str, str], default, seq: Sequence[str], **join_options,
 ) -> DataFrame:

@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ...sources.readers import small_table
 from .expressions import referenced_stages
 
 
@@ -103,13 +105,16 @@ def stage_dim(spark: SparkSession, stages: list[Stage]) -> DataFrame:
         (
             at, stage.stage_id, stage.name, stage.flow.team_owner, stage.flow.process_type,
             stage.flow.critical_path, stage.lead_time,
-            list(stage.flow.parallel_processes), list(stage.flow.handoff_points),
+            ",".join(stage.flow.parallel_processes), ",".join(stage.flow.handoff_points),
         )
         for at, stage in enumerate(stages)
     ]
-    return spark.createDataFrame(
-        rows,
+    dim = small_table(
+        spark, rows,
         "position int, stage_id string, stage_name string, team_owner string, process_type string,"
-        " critical_path boolean, lead_time int, parallel_processes array<string>,"
-        " handoff_points array<string>",
+        " critical_path boolean, lead_time int, parallel_processes string, handoff_points string",
     )
+    return dim.withColumns({
+        name: F.filter(F.split(name, ","), lambda item: item != "")
+        for name in ("parallel_processes", "handoff_points")
+    })

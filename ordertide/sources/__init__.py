@@ -2,7 +2,7 @@
 
 from .readers import (
     at_snapshot, clean_tracker, coerce_dates, conform, null_profile, promote_header, read_jdbc,
-    read_mapping_csv, read_mapping_tabs, read_table,
+    read_mapping_csv, read_mapping_tabs, read_table, small_table,
 )
 from .sinks import (
     as_text, publish, split_errors, write_csv, write_json, write_report,
@@ -11,5 +11,5 @@ from .sinks import (
 __all__ = [
     "as_text", "at_snapshot", "clean_tracker", "coerce_dates", "conform", "null_profile",
     "promote_header", "publish", "read_jdbc", "read_mapping_csv", "read_mapping_tabs",
-    "read_table", "split_errors", "write_csv", "write_json", "write_report",
+    "read_table", "small_table", "split_errors", "write_csv", "write_json", "write_report",
 ]

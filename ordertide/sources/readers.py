@@ -65,6 +65,16 @@ def read_mapping_tabs(spark: SparkSession, folder: str, tabs: Iterable[str]) ->
     return tables
 
 
+def small_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A few configured rows as a table whose small size Spark can see."""
+    kinds = T.StructType.fromDDL(schema)
+    structs = [
+        F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, kinds)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def promote_header(df: DataFrame, order: str) -> DataFrame:
     """Use the first row (lowest ``order``) as header and leave it out of the rows.
 
