@@ -23,7 +23,7 @@ SMALL_SIDE_BYTES = 32 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate for the optimized plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
