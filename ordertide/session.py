@@ -16,6 +16,9 @@ DEFAULTS = {
     # Generated methods above 8000 bytes are never compiled to machine code; past that size let
     # each operator run its own, smaller generated code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Call-site capture costs several driver round trips per column expression; plans here are
+    # made of thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 
@@ -35,7 +38,7 @@ def build_session(app: str = "ordertide", master: str | None = None, **conf: str
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the SQL defaults to a session made elsewhere."""
     for key, value in DEFAULTS.items():
-        if key.startswith("spark.sql."):
+        if ".sql." in key:
             spark.conf.set(key, value)
     return spark
 

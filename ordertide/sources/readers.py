@@ -65,14 +65,21 @@ def read_mapping_tabs(spark: SparkSession, folder: str, tabs: Iterable[str]) ->
     return tables
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, (bool, int, float)):
+        return str(value)
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def small_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A few configured rows as a table whose small size Spark can see."""
-    kinds = T.StructType.fromDDL(schema)
-    structs = [
-        F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, kinds)])
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    fields = T.StructType.fromDDL(schema).fields
+    values = ", ".join("(" + ", ".join(_literal(value) for value in row) + ")" for row in rows)
+    names = ", ".join(f"`{field.name}`" for field in fields)
+    casts = ", ".join(f"CAST(`{field.name}` AS {field.dataType.simpleString()}) AS `{field.name}`" for field in fields)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS rows({names})")
 
 
 def promote_header(df: DataFrame, order: str) -> DataFrame:
