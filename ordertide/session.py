@@ -36,9 +36,9 @@ def build_session(app: str = "ordertide", master: str | None = None, **conf: str
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the SQL defaults to a session made elsewhere."""
+    """Apply the defaults that can still change to a session made elsewhere."""
     for key, value in DEFAULTS.items():
-        if ".sql." in key:
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 
