@@ -28,8 +28,6 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="20g",
-        # One row group per task: the test tables are small single files.
-        spark__sql__files__maxPartitionBytes="1m",
     )
     spark.sparkContext.setLogLevel("OFF")
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ordertide.functions.dates import plus_days, plus_hours
 from ordertide.plans.timeline.standard import TIMELINE_DATES
+from ordertide.session import spread
 from ordertide.sources import read_table
 
 AS_OF = "2001-01-01 00:00:00"
@@ -23,7 +24,8 @@ def stage_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps, one step in nine is missing, and steps may be out of order.
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    lines = table(spark, sf_dir, "lineitem").join(
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    lines = spread(table(spark, sf_dir, "lineitem").select(columns)).join(
         orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
     lines = lines.select(

@@ -24,27 +24,54 @@ def stage_delay(df: DataFrame, stages: list[Stage], as_of, mode: str = "report")
     ``team``, ``target``. An open stage counts as overdue once ``as_of`` has passed its target.
     Stages that never have an actual date stay ``unknown`` in mode ``integrated`` and are
     pending or overdue in mode ``report``.
+
+    Target, days and status are columns of their own first, as each is read several times by
+    what follows and a struct field would be worked out again at every reading.
     """
     if mode not in ("report", "integrated"):
         raise ValueError("mode is 'report' or 'integrated'")
     now = as_timestamp(as_of)
-    return df.select("*", *[_delay(stage, now, mode) for stage in stages])
-
-
-def _delay(stage: Stage, now: Column, mode: str) -> Column:
-    name = stage_column(stage.stage_id)
-    target = F.coalesce(F.col(f"{name}.target_date"), F.col(f"{name}.date"))
-    actual = F.col(f"{name}.actual_date")
-    if stage.actual is None and mode == "integrated":
-        days, status = F.lit(None).cast("long"), F.lit("unknown")
-    else:
-        done, late = days_between(actual, target), days_between(now, target)
-        days = F.coalesce(done, F.when(actual.isNull() & (now > target), late))
-        status = (
-            F.when(target.isNull(), "unknown")
-            .when(actual.isNull(), F.when(now > target, "pending_overdue").otherwise("pending"))
-            .when(done > 0, "delayed").when(done < 0, "early").otherwise("on_time")
-        )
+    measured = {stage.stage_id for stage in stages if stage.actual is not None or mode == "report"}
+    unmeasured = {"days": F.lit(None).cast("long"), "status": F.lit("unknown")}
+    steps = (
+        ("target", lambda stage: F.coalesce(_stage(stage, "target_date"), _stage(stage, "date"))),
+        ("days", lambda stage: _days(stage, now)),
+        ("status", _status),
+    )
+    names = df.columns
+    for step, build in steps:
+        df = df.withColumns({
+            _step(stage, step): build(stage) if step == "target" or stage.stage_id in measured else unmeasured[step]
+            for stage in stages
+        })
+    return df.select(*[F.col(f"`{name}`") for name in names], *[_delay(stage) for stage in stages])
+
+
+def _stage(stage: Stage, field: str) -> Column:
+    return F.col(f"{stage_column(stage.stage_id)}.{field}")
+
+
+def _step(stage: Stage, step: str) -> str:
+    return f"_{step}_{stage.stage_id}"
+
+
+def _days(stage: Stage, now: Column) -> Column:
+    target = F.col(_step(stage, "target"))
+    reached = F.coalesce(_stage(stage, "actual_date"), F.when(now > target, now))
+    return days_between(reached, target)
+
+
+def _status(stage: Stage) -> Column:
+    days = F.col(_step(stage, "days"))
+    return (
+        F.when(F.col(_step(stage, "target")).isNull(), "unknown")
+        .when(_stage(stage, "actual_date").isNull(), F.when(days.isNotNull(), "pending_overdue").otherwise("pending"))
+        .when(days > 0, "delayed").when(days < 0, "early").otherwise("on_time")
+    )
+
+
+def _delay(stage: Stage) -> Column:
+    days, status = F.col(_step(stage, "days")), F.col(_step(stage, "status"))
     text = days.cast("string")
     reason = (
         F.when(status == "delayed", F.concat(F.lit("Actual completion "), text, F.lit(" days after target")))
@@ -55,5 +82,6 @@ def _delay(stage: Stage, now: Column, mode: str) -> Column:
     )
     return F.struct(
         days.alias("days"), status.alias("status"), reason.alias("reason"),
-        F.when(days.isNotNull(), F.lit(stage.flow.team_owner)).alias("team"), target.alias("target"),
+        F.when(days.isNotNull(), F.lit(stage.flow.team_owner)).alias("team"),
+        F.col(_step(stage, "target")).alias("target"),
     ).alias(delay_column(stage.stage_id))

@@ -60,6 +60,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over all cores, only where the scan has fewer splits than there are cores.
+
+    For plans that are map-only and heavy per row: a small table in one file would otherwise be
+    worked off by one core. A table with many splits is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
