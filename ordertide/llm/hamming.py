@@ -80,7 +80,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         probes = still.select("qcode", F.explode(_segments(F.col("qcode"))).alias("s")).select(
             "qcode", "s.segment", F.col("s.value").alias("own"), flips.alias("flip"))
         probes = probes.select("qcode", "segment", F.col("own").bitwiseXOR(F.col("flip")).cast("int").alias("value"))
-        met = probes.join(index, ["segment", "value"]).where(_met_first(radius)).select(
+        # The probes are many more than their estimated size, so they must never be broadcast.
+        met = probes.hint("merge").join(index, ["segment", "value"]).where(_met_first(radius)).select(
             "qcode", F.explode("ids").alias("id"), F.bit_count(F.col("qcode").bitwiseXOR(F.col("code"))).alias("distance"))
         if found is not None:
             met = met.unionByName(found.join(still, "qcode", "left_semi"))

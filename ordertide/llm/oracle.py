@@ -19,6 +19,31 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+DECONTAMINATION = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), patterns AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS pattern
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM item_words WHERE len(w) > 0)
+), at_word AS (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM doc_words),
+windows AS MATERIALIZED (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS pattern
+  FROM at_word CROSS JOIN (SELECT DISTINCT size FROM patterns) WHERE i + size - 1 <= len(w)
+), found AS (SELECT doc_id, i, size, item_id FROM windows JOIN patterns USING (size, pattern)
+), hit AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS j FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(m.n, 0) AS n_items,
+       sha256(coalesce(m.items, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit h USING (doc_id) LEFT JOIN named m USING (doc_id)
+"""
+
 SHARDS = """
 WITH sized AS (
   SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS bytes,
@@ -69,6 +94,7 @@ SELECT query_id, rank, neighbour_id, distance FROM ranked WHERE rank <= 10
 
 ORACLE = {
     "op1_chat_formatting": CHATS,
+    "op2_decontamination": DECONTAMINATION,
     "op3_sharding": SHARDS.format(limit=2**20),
     "op5_warc_fixity": FIXITY,
     "op10_hamming_search": HAMMING,

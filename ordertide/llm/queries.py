@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm import chat, hamming, shards, warc
+from ordertide.llm import chat, decontaminate, gam, hamming, packing, shards, toxicity, warc
 from ordertide.llm.common import read_table
 
 SHARD_BYTES = 2**20
 WARC_RECORDS = 1000
 NEIGHBOURS = 10
+TOXIC_FROM, QUALITY_FROM = 0.3, 0.5
+TOKENIZER, END_TOKEN = "word_bpe_49k.json", 1
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -32,6 +34,61 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that benchmark windows of ten words hit, and the items found."""
+    found = decontaminate.contamination(
+        read_table(spark, sf_dir, "documents"), "doc_id", "text", read_table(spark, sf_dir, "benchmark"), "item_id", "text")
+    lengths = F.transform("spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x).cast("long"))
+    n_hit = F.aggregate(lengths, F.lit(0).cast("long"), lambda total, x: total + x)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def id_share(column: str, parts: int) -> Column:
+    """The part an id falls to, by the CRC-32 of its text."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % parts
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """The toxicity classifier, learnt from three quarters of the labelled ids."""
+    return toxicity.train(docs, labels, "doc_id", "text", "toxic", id_share("doc_id", 4) != 2)
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of all documents."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, read_table(spark, sf_dir, "labels"))
+    found = toxicity.scored(docs, "doc_id", "text", model).withColumnRenamed("id", "doc_id")
+    return found.select(
+        "doc_id", F.coalesce(id_share("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents, learnt from two thirds of the labelled ids."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = gam.train(docs, read_table(spark, sf_dir, "labels"), "doc_id", "text", "quality", id_share("doc_id", 3) != 1)
+    found = gam.scored(docs, "doc_id", "text", model).withColumnRenamed("id", "doc_id")
+    return found.select(
+        "doc_id", F.coalesce(id_share("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_FROM).cast("int").alias("predicted"))
+
+
+def packed_documents(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    import public_tokenizers
+
+    path = tokenizer_path or public_tokenizers.path(TOKENIZER)
+    return packing.pack(docs, "doc_id", "text", path, END_TOKEN).select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed."""
+    return packed_documents(read_table(spark, sf_dir, "documents"))
+
+
 def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards of at most 1 MiB of text."""
     placed = shards.shards(read_table(spark, sf_dir, "documents"), "doc_id", "text", SHARD_BYTES)
@@ -71,7 +128,11 @@ def hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat_formatting,
+    "op2_decontamination": decontamination,
     "op3_sharding": sharding,
+    "op4_toxicity": toxicity_scores,
     "op5_warc_fixity": warc_fixity,
+    "op8_quality": quality_scores,
+    "op9_vector_packing": vector_packing,
     "op10_hamming_search": hamming_search,
 }
