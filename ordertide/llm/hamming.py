@@ -7,7 +7,8 @@ is at most that. Only unfinished queries go on.
 
 Only DataFrame functions. Equal codes are searched once, with their k smallest ids, and equal queries too, so
 groups of copies cost one entry. A pair is verified where it is met first (least radius, then segment), so no
-pair is emitted twice. Rounds are written to the shared folder.
+pair is emitted twice, and only if it is as near as the k-th found in earlier rounds. Rounds are written to the
+shared folder.
 
 Defined results: the query itself is among the rows searched; ties go to the smaller id; with fewer than k rows
 all are returned; a NULL vector has no code, is not found and finds nothing; NULL or missing elements are 0 bits;
@@ -51,10 +52,10 @@ def _flips(radius: int) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
 
 
-def _met_first(radius: int) -> Column:
-    """Whether the pair is met in no earlier round or segment than this."""
+def _worth(radius: int) -> Column:
+    """Whether the pair is met in no earlier round or segment than this, and is as near as the k-th found so far."""
     apart = [F.bit_count(segment(F.col("qcode").bitwiseXOR(F.col("code")), j)) for j in range(SEGMENTS)]
-    ok = F.lit(True)
+    ok = F.bit_count(F.col("qcode").bitwiseXOR(F.col("code"))) <= F.col("kth")
     for j, d in enumerate(apart):
         ok = ok & F.when(F.col("segment") > j, d > radius).otherwise(d >= radius)
     return ok
@@ -73,15 +74,16 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     wanted = min(k, codes.agg(F.sum(F.size("ids"))).first()[0] or 0)
     index = codes.select("code", "ids", F.explode(_segments(F.col("code"))).alias("s")).select("code", "ids", "s.*")
     index = materialise(index, "hamming-index")
-    still = materialise(queries.select(F.col("code").alias("qcode")).distinct(), "hamming-open")
+    still = queries.select(F.col("code").alias("qcode"), F.lit(CODE_BITS).alias("kth")).distinct()
+    still = materialise(still, "hamming-open")
     found, done = None, None
     for radius in range(WIDTH + 1):
         flips = F.explode(_flips(radius))
-        probes = still.select("qcode", F.explode(_segments(F.col("qcode"))).alias("s")).select(
-            "qcode", "s.segment", F.col("s.value").alias("own"), flips.alias("flip"))
-        probes = probes.select("qcode", "segment", F.col("own").bitwiseXOR(F.col("flip")).cast("int").alias("value"))
+        probes = still.select("qcode", "kth", F.explode(_segments(F.col("qcode"))).alias("s")).select(
+            "qcode", "kth", "s.segment", F.col("s.value").alias("own"), flips.alias("flip"))
+        probes = probes.select("qcode", "kth", "segment", F.col("own").bitwiseXOR(F.col("flip")).cast("int").alias("value"))
         # The probes are many more than their estimated size, so they must never be broadcast.
-        met = probes.hint("merge").join(index, ["segment", "value"]).where(_met_first(radius)).select(
+        met = probes.hint("merge").join(index, ["segment", "value"]).where(_worth(radius)).select(
             "qcode", F.explode("ids").alias("id"), F.bit_count(F.col("qcode").bitwiseXOR(F.col("code"))).alias("distance"))
         if found is not None:
             met = met.unionByName(found.join(still, "qcode", "left_semi"))
@@ -93,7 +95,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         ready = reach.where((F.col("n") >= wanted) & (F.col("kth") <= covered)).select("qcode")
         kept = found.join(ready, "qcode", "left_semi")
         done = kept if done is None else done.unionByName(kept)
-        still = materialise(still.join(ready, "qcode", "left_anti"), "hamming-open")
+        bound = F.when(F.col("n") >= wanted, F.col("reach")).otherwise(CODE_BITS).alias("kth")
+        left = still.select("qcode").join(ready, "qcode", "left_anti").join(reach.withColumnRenamed("kth", "reach"), "qcode", "left")
+        still = materialise(left.select("qcode", bound), "hamming-open")
         if still.isEmpty():
             break
     nearest = Window.partitionBy("qcode").orderBy("distance", "id")
