@@ -80,6 +80,24 @@ SELECT 'crawl-' || lpad(CAST(file AS VARCHAR), 8, '0') || '.warc' AS file, CAST(
 FROM placed WHERE fate IN (3, 5, 7)
 """
 
+REPEATS = r"""
+WITH texts AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^\x20\x09-\x0D]+') END AS w FROM documents
+), windows AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM texts WHERE len(w) >= 13)
+), lows AS (SELECT win, min(doc_id) AS low FROM windows GROUP BY win),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS j FROM windows JOIN lows USING (win) WHERE low < doc_id
+), words AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS j FROM texts),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (doc_id)
+"""
+
 HAMMING = """
 WITH codes AS (
   SELECT vec_id, list_transform(range(1, 65), lambda i: coalesce(embedding[i] >= 0, FALSE)) AS bits
@@ -97,5 +115,6 @@ ORACLE = {
     "op2_decontamination": DECONTAMINATION,
     "op3_sharding": SHARDS.format(limit=2**20),
     "op5_warc_fixity": FIXITY,
+    "op6_substring_dedup": REPEATS,
     "op10_hamming_search": HAMMING,
 }

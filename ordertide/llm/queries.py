@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm import chat, decontaminate, gam, hamming, packing, shards, toxicity, warc
+from ordertide.llm import chat, decontaminate, gam, hamming, near_dedup, packing, shards, substrings, toxicity, warc
 from ordertide.llm.common import read_table
+from ordertide.llm.words import spaced_words
 
 SHARD_BYTES = 2**20
 WARC_RECORDS = 1000
@@ -75,6 +78,34 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= QUALITY_FROM).cast("int").alias("predicted"))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all documents keep when words of windows seen in a smaller document are removed."""
+    docs = read_table(spark, sf_dir, "documents")
+    lost, _ = substrings.removals(docs, "doc_id", "text")
+    whole = docs.select(F.col("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
+        _whole_texts, "doc_id long, digest binary, n_words long, whole_sha256 string")
+    lost = lost.select(F.col("id").alias("doc_id"), "digest", "n_removed", F.sha2("kept", 256).alias("cut_sha256"))
+    return whole.join(lost, ["doc_id", "digest"], "left").select(
+        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
+
+
+def _whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) to what a text that keeps all words has."""
+    for batch in batches:
+        words = [spaced_words(t) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), pa.array(map(substrings.digest_of, words), pa.binary()), pa.array(map(len, words), pa.int64()),
+            pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words]),
+        ], names=["doc_id", "digest", "n_words", "whole_sha256"])
+
+
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of all documents."""
+    found = near_dedup.classes(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(F.col("id").alias("doc_id"), F.col("class").alias("class_id"), "links")
+
+
 def packed_documents(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
     import public_tokenizers
@@ -132,6 +163,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": sharding,
     "op4_toxicity": toxicity_scores,
     "op5_warc_fixity": warc_fixity,
+    "op6_substring_dedup": substring_dedup,
+    "op7_minhash_near_dedup": minhash_near_dedup,
     "op8_quality": quality_scores,
     "op9_vector_packing": vector_packing,
     "op10_hamming_search": hamming_search,
