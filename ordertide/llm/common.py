@@ -42,3 +42,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 def null_safe_key(column: Column) -> Column:
     """A text that is equal for equal values, with NULL as a value of its own, for joins on keys that may be NULL."""
     return F.coalesce(F.concat(F.lit("v"), column.cast("string")), F.lit("n"))
+
+
+def fresh_names(taken: list[str], *wanted: str) -> list[str]:
+    """``wanted``, each changed until it is none of ``taken``, whatever the case."""
+    lower = {t.lower() for t in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in lower:
+            name += "_"
+        out.append(name)
+    return out

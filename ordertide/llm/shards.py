@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import materialise
+from ordertide.llm.common import fresh_names, materialise
 
 HASH_BITS = 60
 BITS = 12
@@ -99,9 +99,9 @@ def _overflow(rows: DataFrame, limit: int) -> DataFrame:
 def write_shards(df: DataFrame, key: str, payload: str, limit: int, path: str) -> DataFrame:
     """Write the rows of ``df`` with non-NULL keys, one folder per shard, and return the assignment."""
     placed = materialise(shards(df, key, payload, limit), "shard-placed")
-    assigned = placed.select(F.col("key").alias(key), F.col("bytes").alias("_bytes"), F.col("shard").alias("_shard"))
-    assigned = assigned.groupBy(key, "_bytes").agg(F.min("_shard").alias("_shard"))
-    size = F.coalesce(F.octet_length(payload), F.lit(0)).cast("long")
-    out = df.withColumn("_bytes", size).join(assigned, [key, "_bytes"]).drop("_bytes")
-    out.repartition("_shard").write.partitionBy("_shard").parquet(path)
+    size, shard = fresh_names(df.columns, "size", "shard")
+    assigned = placed.groupBy(F.col("key").alias(key), F.col("bytes").alias(size)).agg(F.min("shard").alias(shard))
+    sized = df.withColumn(size, F.coalesce(F.octet_length(payload), F.lit(0)).cast("long"))
+    out = sized.join(assigned, [key, size]).drop(size)
+    out.repartition(shard).write.partitionBy(shard).parquet(path)
     return placed

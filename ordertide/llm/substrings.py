@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import materialise
+from ordertide.llm.common import fresh_names, materialise
 from ordertide.llm.near_dedup import WordHasher, shingles
 from ordertide.llm.words import spaced_words
 
@@ -363,19 +363,20 @@ def _grouped(groups: DataFrame) -> DataFrame:
 def cleaned(docs: DataFrame, key: str, text: str, length: str | None = None) -> DataFrame:
     """``docs`` with all columns, repeated words taken out of ``text``; ``length``, if named, is its new length."""
     lost, _ = removals(docs, key, text)
-    lost = lost.select(F.col("id").alias("_id"), F.col("digest").alias("_digest"), F.col("kept").cast("string").alias("_kept"))
     columns = docs.columns
+    own, id_, digest, kept = fresh_names(columns, "own_digest", "lost_id", "lost_digest", "kept")
+    lost = lost.select(F.col("id").alias(id_), F.col("digest").alias(digest), F.col("kept").cast("string").alias(kept))
     at = columns.index(text)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             digests = pa.array([digest_of(spaced_words(t)) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=[*columns, "_own_digest"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=[*columns, own])
 
-    marked = docs.mapInArrow(keyed, docs.select("*", F.lit(b"").alias("_own_digest")).schema)
-    same = (F.col(key).cast("long") == F.col("_id")) & (F.col("_own_digest") == F.col("_digest"))
-    out = marked.join(lost, same, "left").withColumn(text, F.coalesce("_kept", text))
+    marked = docs.mapInArrow(keyed, docs.select("*", F.lit(b"").alias(own)).schema)
+    same = (F.col(key).cast("long") == F.col(id_)) & (F.col(own) == F.col(digest))
+    out = marked.join(lost, same, "left").withColumn(text, F.coalesce(kept, text))
     if length:
-        out = out.withColumn(length, F.when(F.col("_id").isNull(), F.col(length)).otherwise(F.length(text)))
+        out = out.withColumn(length, F.when(F.col(id_).isNull(), F.col(length)).otherwise(F.length(text)))
     return out.select(*columns)
