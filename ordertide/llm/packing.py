@@ -13,9 +13,10 @@ each for themselves; an empty table gives no rows. Only id and text are read.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
 POOL = 512
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 TASK_SHIFT = 40
+_LETTERS_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&)]*)")
 SCHEMA = "id {id}, start long, length long, ids binary, loss_tokens long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -40,32 +42,75 @@ class Limits:
     loss: int = MAX_TOKENS
 
 
+def _byte_letters() -> list[str]:
+    """How byte-level vocabularies write each byte: printable ones as themselves, the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
 class WordTokenizer:
     """Token ids of texts by a public tokenizer whose words never reach across white space.
 
     Texts are cut at spaces and line breaks, and each distinct word is encoded once; the cache is dropped when full.
+    Latin letters, with or without marks after them, go to the merge model directly, since nothing in them is
+    composed, and lower-casing is plain; all other words pass through the whole tokenizer.
     """
 
+    LETTERS = _byte_letters()
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, list[int]] = {"": []}
+        self.model = self.tokenizer.model
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {"": 0}
+        self.marks: dict[str, list[int]] = {}
+        self.ids, self.starts = array("I"), array("q", [0, 0])
+
+    def _whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _encoded(self, word: str) -> list[int]:
+        match = _LETTERS_AND_MARKS.fullmatch(word)
+        if not match:
+            return self._whole(word)
+        letters, marks = match.groups()
+        letters = letters.lower()
+        if not letters.isascii():
+            letters = "".join(map(self.LETTERS.__getitem__, letters.encode()))
+        found = [t.id for t in self.model.tokenize(letters)]
+        if marks:
+            if marks not in self.marks:
+                self.marks[marks] = self._whole(marks)
+            found += self.marks[marks]
+        return found
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text, as unsigned 32-bit numbers."""
-        words = self.words
         for text in texts:
             parts = text.replace("\n", " ").split(" ")
-            missing = [w for w in set(parts) if w not in words]
-            if missing:
-                if len(words) + len(missing) > CACHED_WORDS:
-                    words.clear()
-                    words[""] = []
-                    missing = list(set(parts) - {""})
-                for word, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                    words[word] = found.ids
-            yield np.fromiter(chain.from_iterable(map(words.__getitem__, parts)), np.uint32)
+            missing = set(parts).difference(self.known)
+            if len(self.known) + len(missing) > CACHED_WORDS:
+                self._clear()
+                missing = set(parts) - {""}
+            for word in missing:
+                self.known[word] = len(self.known)
+                self.ids.extend(self._encoded(word))
+                self.starts.append(len(self.ids))
+            at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+            yield self._gathered(at)
+
+    def _gathered(self, at: np.ndarray) -> np.ndarray:
+        starts = np.frombuffer(self.starts, np.int64)
+        first = starts[at]
+        size = starts[at + 1] - first
+        before = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) + np.repeat(first - before, size)
+        return np.frombuffer(self.ids, np.uint32)[place] if len(place) else np.zeros(0, np.uint32)
 
 
 @dataclass
