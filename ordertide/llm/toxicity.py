@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ordertide.llm.words import plain_words
 
-SAMPLE = 5000
+SAMPLE = 4000
 STEMS = (4, 5)
 CLEAR = 5.0  # standard errors between the classes' shares of a feature
 LEAST = 6  # texts of the sample that have a feature
@@ -98,10 +98,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.bias + np.array(sums, float), -30, 30)))
 
 
-def clear_features(features: Sequence[set[bytes]], labels: np.ndarray) -> list[bytes]:
+def features_of(text: bytes | None) -> set[bytes]:
+    """All features of one text."""
+    return {f for w in set(plain_words(text)) for f in word_features(w)}
+
+
+def clear_features(texts: Sequence[bytes | None], labels: np.ndarray) -> list[bytes]:
     """Features of at least ``LEAST`` texts whose shares in the classes differ by ``CLEAR`` standard errors."""
     total, toxic = Counter(), Counter()
-    for own, label in zip(features, labels):
+    for text, label in zip(texts, labels):
+        own = features_of(text)
         total.update(own)
         if label:
             toxic.update(own)
@@ -113,10 +119,10 @@ def clear_features(features: Sequence[set[bytes]], labels: np.ndarray) -> list[b
     return sorted(f for f, z in zip(names, apart) if z >= CLEAR)
 
 
-def _matrix(rows: Sequence[set[bytes]], at: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the features present."""
+def _matrix(rows: Iterable[set[bytes]], at: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers of the features that are in ``at``."""
     found = [[at[f] for f in own if f in at] for own in rows]
-    return np.repeat(np.arange(len(rows)), [len(x) for x in found]), np.array([x for y in found for x in y], np.int64)
+    return np.repeat(np.arange(len(found)), [len(x) for x in found]), np.array([x for y in found for x in y], np.int64)
 
 
 def fit(
@@ -129,19 +135,18 @@ def fit(
     start = float(np.log(share / (1 - share)))
     if len(set(labels)) < 2:
         return Model(start, {})
-    features = [{f for w in set(plain_words(t)) for f in word_features(w)} for t in texts]
-    names = clear_features(features, y)
+    names = clear_features(texts, y)
     if not names:
         return Model(start, {})
     at = {f: i for i, f in enumerate(names)}
-    row, col = _matrix(features, at)
+    row, col = _matrix(map(features_of, texts), at)
     own, other = [], []
     for text in texts:
         for sentence in _SENTENCE.split(text or b""):
             if len(own) < 4 * len(texts):
                 for one, two in counterfactuals(sentence, groups, len(own)):
-                    own.append({f for w in one - two for f in word_features(w)})
-                    other.append({f for w in two - one for f in word_features(w)})
+                    own.append({f for w in one - two for f in word_features(w) if f in at})
+                    other.append({f for w in two - one for f in word_features(w) if f in at})
     pairs = len(own)
     (gone_row, gone), (come_row, come) = _matrix(own, at), _matrix(other, at)
     size, bias, w = len(names), start, np.zeros(len(names))
