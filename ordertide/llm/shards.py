@@ -97,10 +97,14 @@ def _overflow(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def write_shards(df: DataFrame, key: str, payload: str, limit: int, path: str) -> DataFrame:
-    """Write the rows of ``df`` with non-NULL keys, one folder per shard, and return the assignment."""
+    """Write the rows of ``df`` with non-NULL keys, one folder per shard, and return the assignment.
+
+    A folder is named ``s`` and the shard's bits, which readers cannot mistake for a number. Equal keys of equal
+    size go to one shard.
+    """
     placed = materialise(shards(df, key, payload, limit), "shard-placed")
     size, shard = fresh_names(df.columns, "size", "shard")
-    assigned = placed.groupBy(F.col("key").alias(key), F.col("bytes").alias(size)).agg(F.min("shard").alias(shard))
+    assigned = placed.groupBy(F.col("key").alias(key), F.col("bytes").alias(size)).agg(F.min(F.concat(F.lit("s"), "shard")).alias(shard))
     sized = df.withColumn(size, F.coalesce(F.octet_length(payload), F.lit(0)).cast("long"))
     out = sized.join(assigned, [key, size]).drop(size)
     out.repartition(shard).write.partitionBy(shard).parquet(path)
