@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,7 +28,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
-        "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="20g",
+        "bench", f"local[{cpus}]", spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"), spark__sql__shuffle__partitions=cpus, spark__driver__memory="20g",
     )
     spark.sparkContext.setLogLevel("OFF")
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()

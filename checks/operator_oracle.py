@@ -82,7 +82,7 @@ ORACLE = {
         max(CASE WHEN l_linestatus = 'O' THEN l_shipdate END) AS forwarder_release FROM lineitem GROUP BY l_suppkey""",
     "cond_min": """SELECT user_id, min(CASE WHEN event_type = 'click' THEN ts END) AS first_click,
         min(CASE WHEN event_type = 'error' AND value > 20 THEN ts END) AS first_big_error FROM events GROUP BY user_id""",
-    "list_and_sum": """SELECT l_orderkey, 0 AS part, string_agg(CAST(l_partkey AS VARCHAR), ', ' ORDER BY CAST(l_partkey AS VARCHAR)) AS parts,
+    "list_and_sum": """SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), ', ' ORDER BY CAST(l_partkey AS VARCHAR)) AS parts,
         string_agg(l_returnflag, ', ' ORDER BY l_returnflag) AS flags, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS units
         FROM lineitem GROUP BY l_orderkey""",
     "max_by_split_key": f"SELECT {_SITE} AS site, max(page_id) AS last_page FROM pages GROUP BY 1",

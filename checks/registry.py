@@ -18,9 +18,14 @@ _MODULES = (
 
 
 def _tuned(query):
+    """Run in a session of its own, so that the caller's settings stay as they are."""
     @wraps(query)
     def run(spark, sf_dir):
-        return query(tune(spark), sf_dir)
+        own = spark.newSession()
+        for key, value in spark.conf.getAll.items():
+            if own.conf.isModifiable(key):
+                own.conf.set(key, value)
+        return query(tune(own), sf_dir)
     return run
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from .status_tables import blocker_rows, status_rows
-
 NOW = "TIMESTAMP '1998-06-01 12:00:00'"
 
 BASE = """
@@ -29,6 +27,10 @@ po AS (
     CASE WHEN o_orderkey IS NULL AND l_linenumber = 1 THEN NULL
       WHEN o_orderstatus = 'F' AND l_returnflag = 'R' THEN 'Closed'
       WHEN k % 11 = 0 THEN 'Pending Supervisor Approval' WHEN k % 11 = 1 THEN 'Rejected By Supervisor' ELSE 'Open' END AS final_status,
+    'PO' || l_orderkey || '-' || l_linenumber AS id, (['Brand A', 'Brand B', NULL])[k % 3 + 1] AS associated_brands,
+    (['FOB', 'EXW', 'DDP'])[k % 3 + 1] AS incoterms,
+    CASE k % 4 WHEN 1 THEN CAST(l_quantity AS BIGINT) // 2 WHEN 2 THEN CAST(l_quantity AS BIGINT) ELSE 0 END // 2 AS quantity_on_shipments,
+    CASE WHEN k % 4 = 0 THEN 'Yes' ELSE 'No' END AS sm_line_signoff,
     CAST(l_quantity AS BIGINT) AS quantity,
     CASE k % 4 WHEN 1 THEN CAST(l_quantity AS BIGINT) // 2 WHEN 2 THEN CAST(l_quantity AS BIGINT) ELSE 0 END AS quantity_received,
     l_extendedprice AS item_rate_eur, o_orderdate AS date_created,
@@ -339,12 +341,38 @@ def _values(rows, names: str) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(cell(v) for v in row) + ")" for row in rows) + f") AS {names}"
 
 
+# Fixed values, written out so that the SQL does not depend on the library under test.
+SUB_STAGE_CODES = (
+    "01a 01b 02a 02b 02c 05a 05b 05c 05d 06b 07a 07b 09a 09b 09c 09d 10a 10b 11a 11b 13a 13b 16a 16b 16c "
+    "16d 17a 17b 19a 19b 19c 20a 20b 20c 21a 21b 21c 22a 22b 22c 23a 23b 24a 24b 25a 25b 26a 26b 26c 26d "
+    "27a 27b 27c 27d 28a 28b 28c 28d 28e 28f 28g 29a 29b 30a 30b 31a 31b"
+).split()
+_ROLES = ("CM", "SM", "IM", "owner_1", "owner_2")
+
+
+def _status_map() -> list[tuple]:
+    """(code, text, accountable, responsible) as the check tables hold them."""
+    texts = [(code, f"{code}. Sub stage {code}") for code in SUB_STAGE_CODES]
+    texts += [(None, NAMES[code]) for code in ("a", "b", "c", "03", "08", "12", "15", "18")]
+    texts += [(None, text) for text in ("04a. SM Review Pending", "14a. Documents Missing", "14b. SM Sign-Off Missing",
+                                        "14c. FFW Sign-Off Missing", "06a. EAN Pending", "06b. SCM Check Pending")]
+    return [(code, text, _ROLES[(at + 1) % 5], _ROLES[at % 5]) for at, (code, text) in enumerate(texts)]
+
+
+def _blocker_map() -> list[tuple]:
+    """(bucket, owner of the first listing, owner of the last listing)."""
+    names = ["No Compliance Blocker Mentioned", "No PI Blocker Mentioned", "No PRD Blocker Mentioned", "No G2 Blocker Mentioned",
+             "No QC Blocker Mentioned", "No SPD Blocker Mentioned", "No FFW Blocker Mentioned", "No Telex Blocker Mentioned",
+             "No truck", "Compliance note", "PI note", "FFW note", "Supplier note", "Cargo Picked(SM)"]
+    return [(name, ("owner_1", "SM", "CM", "owner_2")[at % 4], ("owner_3", "IM")[at % 2]) for at, name in enumerate(names)]
+
+
 STAGE = GROUPS + f""",
 l7 AS (SELECT *, {_FLAG_COLUMNS} FROM l6),
 l8 AS (SELECT *, CASE WHEN flag_31 = 'Yes' THEN '{NAMES['31']}' {_CASES} END AS current_status FROM l7),
 l9 AS (SELECT *, {_BLOCKER} AS pickup_blocker FROM l8),
 l10 AS (SELECT *, {_SUB} AS sub_key FROM l9),
-sm_ AS (SELECT * FROM {_values(status_rows(), 'm(code, text, accountable, responsible)')}),
+sm_ AS (SELECT * FROM {_values(_status_map(), 'm(code, text, accountable, responsible)')}),
 l11 AS (
   SELECT l10.*, CASE split_part(current_status, '.', 1) WHEN '04' THEN vp_pi_status WHEN '14' THEN batch_sign_off
       WHEN '06' THEN coalesce(packaging_l2, m.text)
@@ -380,7 +408,7 @@ l15 AS (
       WHEN l2_final_status <> 'No L2 Status' THEN coalesce(owner_first, 'owner_9')
       ELSE coalesce(m.responsible, '') END AS final_responsibility
   FROM l14 LEFT JOIN sm_ m ON sub_status = m.text
-  LEFT JOIN {_values(blocker_rows(), 'bl(bucket, owner_first, owner_last)')} ON l2_final_status = bucket),
+  LEFT JOIN {_values(_blocker_map(), 'bl(bucket, owner_first, owner_last)')} ON l2_final_status = bucket),
 l16 AS (
   SELECT *, CASE final_responsibility WHEN 'CM' THEN cm WHEN 'SM' THEN sm WHEN 'IM' THEN 'owner_8' ELSE final_responsibility END AS final_poc,
     CASE WHEN length(final_responsibility) = 2 THEN final_responsibility WHEN final_responsibility = 'owner_1' THEN 'Payment'
@@ -388,7 +416,7 @@ l16 AS (
       ELSE 'Central Team' END AS final_team,
     coalesce('R' || upper(split_part(current_status, '.', 1)), '') AS reporting_status FROM l15)"""
 
-PUBLISHED = """date_created, document_number, po_vendor, supplier_confirmation_status, final_status,
+PUBLISHED = """id, associated_brands AS scm_associated_brands, incoterms, quantity_on_shipments, sm_line_signoff, date_created, document_number, po_vendor, supplier_confirmation_status, final_status,
   memo AS scm_po_scm_memo, marketplace AS marketplace_header, supplier_payment_terms, line_id, item, asin, quantity,
   quantity_received AS "quantity_fulfilled/received", first_prd, prd, planned_prd, confirmed_crd, quality_control_date,
   quality_control_status, im_line_signoff, production_status, batch_id, wh_type, considered_anti_po AS "considered_for_anti-po",

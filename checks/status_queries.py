@@ -15,7 +15,7 @@ from ordertide.plans.status.ladder import STAGES, flag_column
 from ordertide.plans.status.report import enrich, group_statuses, published, settle
 
 from .status_tables import AS_OF, po_lines, status_tables
-from .tables import table
+from .tables import staging_dir, table
 
 
 def _keyed(lines: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def _report(*columns: str):
 
 
 def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return status_report(status_tables(spark, sf_dir), AS_OF, "owner_9", "owner_8", staged_as="status-lines")
+    return status_report(status_tables(spark, sf_dir), AS_OF, "owner_9", "owner_8", staging=staging_dir(spark))
 
 
 def open_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

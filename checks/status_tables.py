@@ -67,6 +67,9 @@ def po_lines(spark: SparkSession, sf_dir: str, log: DataFrame | None = None) ->
         F.when(k % 6 == 1, "import_ic_flow").when(k % 6 > 1, F.concat(F.lit("memo_"), (k % 6).cast("string"))).alias("memo"),
         choose(F.col("l_suppkey"), TERMS).alias("supplier_payment_terms"),
         choose(k, ("Pending Confirmation", "Rejected", "Confirmed", "Confirmed", "Confirmed")).alias("supplier_confirmation_status"),
+        F.concat_ws("-", "document_number", "line_id").alias("id"), choose(k, ("Brand A", "Brand B", None)).alias("associated_brands"),
+        choose(k, ("FOB", "EXW", "DDP")).alias("incoterms"), F.floor(received / 2).cast("long").alias("quantity_on_shipments"),
+        F.when(k % 4 == 0, "Yes").otherwise("No").alias("sm_line_signoff"),
         status.alias("final_status"), units.alias("quantity"), received.alias("quantity_received"),
         F.col("l_extendedprice").alias("item_rate_eur"), F.col("o_orderdate").cast("timestamp").alias("date_created"),
         F.when(k % 7 != 0, later(ship, k % 20 - 5)).alias("first_prd"),

@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertide.functions.dates import plus_days, plus_hours
 from ordertide.plans.timeline.standard import TIMELINE_DATES
-from ordertide.session import spread
 from ordertide.sources import read_table
 
+_OWN: list[str] = []
+
+
+def staging_dir(spark: SparkSession) -> str:
+    """The session's shared folder; for local checks that name none, one temporary folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="checks-"))
+    return _OWN[0]
+
+
 AS_OF = "2001-01-01 00:00:00"
 
 
@@ -25,7 +39,7 @@ def stage_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
-    lines = spread(table(spark, sf_dir, "lineitem").select(columns)).join(
+    lines = table(spark, sf_dir, "lineitem").select(columns).join(
         orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"
     )
     lines = lines.select(

@@ -12,11 +12,11 @@ from .projections import (
     non_blank, open_lines, publish_view, rename, sample_first, with_constants,
 )
 from .rollups import all_of, any_of, max_date_state, priority_of, roll_up
-from .unique_join import fits_broadcast, join_unique
+from .unique_join import join_unique
 
 __all__ = [
     "all_of", "any_of", "cond_min", "distinct_values", "earliest", "first_and_last",
-    "fits_broadcast", "flag_exists", "header_lines", "inner_lookup", "join_unique", "keep",
+    "flag_exists", "header_lines", "inner_lookup", "join_unique", "keep",
     "keep_by_priority", "latest", "list_and_sum", "lookup", "lookup_first", "lookup_many", "lookup_switch",
     "lookup_when", "map_values", "max_by_key", "max_date_state", "non_blank", "open_lines",
     "priority_of", "publish_view", "rename", "restrict_to", "roll_up", "sample_first",

@@ -28,7 +28,6 @@ def first_by(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column
 
 def latest(
     df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column], ties: bool = False,
-    **join_options,
 ) -> DataFrame:
     """The row with the greatest ``order`` per key; with ``ties`` every row sharing it."""
     if not ties:
@@ -37,7 +36,7 @@ def latest(
     # moments sort below present ones.
     marked = df.withColumns({"_key": F.struct(*_columns(keys)), "_moment": F.struct(*_columns(order))})
     tops = marked.groupBy("_key").agg(F.max("_moment").alias("_top"), F.count(F.lit(1)).alias("_rows"))
-    joined = join_unique(marked, tops, ["_key"], rows_column="_rows", **join_options)
+    joined = join_unique(marked, tops, ["_key"])
     return joined.where(F.col("_moment") == F.col("_top")).select(*df.columns)
 
 
@@ -51,9 +50,11 @@ def first_and_last(
 ) -> DataFrame:
     """First and last attempt per key in one grouping: ``first_<v>``, ``last_<v>``, attempts."""
     row = F.struct(*order, *[name for name in values if name not in order])
+    # Missing moments are neither first nor last while there are others.
+    first = F.struct(*[part.alias(f"o{at}") for at, name in enumerate(order) for part in (F.col(name).isNull(), F.col(name))], row.alias("row"))
     grouped = df.groupBy(*keys).agg(
-        F.min(row).alias("_first"), F.max(row).alias("_last"), F.count(F.lit(1)).alias("attempts")
-    )
+        F.min(first).alias("_early"), F.max(row).alias("_last"), F.count(F.lit(1)).alias("attempts")
+    ).withColumn("_first", F.col("_early.row"))
     return grouped.select(
         *keys, "attempts",
         *[F.col(f"_first.{name}").alias(f"first_{name}") for name in values],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .latest import first_by
@@ -23,10 +23,21 @@ def _key_pairs(on: str | Sequence[str] | Mapping[str, str]) -> dict[str, str]:
     return {name: name for name in on}
 
 
+def checked_unique(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``dim`` unchanged; the job fails if a key occurs twice. Rows without a key are not looked up and left out."""
+    present = dim.where(" AND ".join(f"`{key}` IS NOT NULL" for key in keys))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    twice = F.raise_error(F.concat(F.lit(f"repeated {', '.join(keys)}: "), F.concat_ws(", ", *keys))).cast("boolean")
+    numbered = present.withColumn("_number", number)
+    return numbered.where(F.when(F.col("_number") > 1, twice).otherwise(F.lit(True))).drop("_number")
+
+
 def one_per_key(dim: DataFrame, keys: Sequence[str], pick: str, seq: Sequence[str]) -> DataFrame:
-    """De-duplicate by load order; ``pick='unique'`` trusts the source and changes nothing."""
+    """De-duplicate by load order; ``pick='unique'`` trusts the source and changes nothing, ``'checked'`` checks it."""
     if pick == "unique":
         return dim
+    if pick == "checked":
+        return checked_unique(dim, keys)
     if not seq:
         raise ValueError("picking the first or last row needs a load order (seq)")
     columns = [F.col(name) for name in seq]
@@ -37,7 +48,7 @@ def one_per_key(dim: DataFrame, keys: Sequence[str], pick: str, seq: Sequence[st
 def lookup(
     df: DataFrame, dim: DataFrame, on: str | Sequence[str] | Mapping[str, str],
     values: Mapping[str, str], default: Mapping[str, object] | None = None,
-    pick: str = "unique", seq: Sequence[str] = (), **join_options,
+    pick: str = "unique", seq: Sequence[str] = (),
 ) -> DataFrame:
     """Add columns looked up in ``dim``: output name -> column of ``dim``.
 
@@ -49,7 +60,7 @@ def lookup(
         *[F.col(f"`{right}`").alias(left) for left, right in pairs.items()],
         *[F.col(f"`{source}`").alias(f"_found_{out}") for out, source in values.items()],
     )
-    joined = join_unique(df, side, list(pairs), **join_options)
+    joined = join_unique(df, side, list(pairs))
     defaults = default or {}
     outputs = {}
     for out in values:
@@ -67,37 +78,32 @@ def lookup(
 
 def lookup_many(
     df: DataFrame, keys: Sequence[str], sides: Sequence[DataFrame], defaults: Mapping[str, object] | None = None,
-    **join_options,
 ) -> DataFrame:
-    """Columns of several one-row-per-key sides on the same key, in a single join.
+    """Columns of several one-row-per-key sides on the same key.
 
-    The sides are stacked and grouped by the key first, so the rows of ``df`` move once per key
-    however many reference tables share it.
+    The joins follow each other on one key, so Spark moves the rows of ``df`` once for all of them.
     """
-    values = [[name for name in side.columns if name not in keys] for side in sides]
-    stacked = sides[0]
-    for side in sides[1:]:
-        stacked = stacked.unionByName(side, allowMissingColumns=True)
-    names = [name for part in values for name in part]
-    merged = stacked if len(sides) == 1 else stacked.groupBy(*keys).agg(*[F.max(name).alias(name) for name in names])
-    given = {name: (defaults or {})[name] for name in names if name in (defaults or {})}
-    return lookup(df, merged, list(keys), {name: name for name in names}, given, **join_options)
+    for side in sides:
+        names = [name for name in side.columns if name not in keys]
+        given = {name: (defaults or {})[name] for name in names if name in (defaults or {})}
+        df = lookup(df, side, list(keys), {name: name for name in names}, given)
+    return df
 
 
 def lookup_first(
-    df: DataFrame, dim: DataFrame, on, value: tuple[str, str], default, seq: Sequence[str], **join_options,
+    df: DataFrame, dim: DataFrame, on, value: tuple[str, str], default, seq: Sequence[str],
 ) -> DataFrame:
     """The first matching row's value, else the default."""
     out, source = value
-    return lookup(df, dim, on, {out: source}, {out: default}, "first", seq, **join_options)
+    return lookup(df, dim, on, {out: source}, {out: default}, "first", seq)
 
 
-def flag_exists(df: DataFrame, dim: DataFrame, on, name: str, yes: str = "Yes", no: str = "No", **join_options) -> DataFrame:
+def flag_exists(df: DataFrame, dim: DataFrame, on, name: str, yes: str = "Yes", no: str = "No") -> DataFrame:
     """Whether the key occurs in ``dim``, as one of two texts."""
     pairs = _key_pairs(on)
     known = dim.select(*[F.col(f"`{right}`").alias(left) for left, right in pairs.items()])
     known = known.distinct().withColumn("_known", F.lit(True))
-    joined = join_unique(df, known, list(pairs), **join_options)
+    joined = join_unique(df, known, list(pairs))
     flag = F.when(F.col("_known"), F.lit(yes)).otherwise(F.lit(no))
     return joined.select(*[F.col(f"`{column}`") for column in df.columns], flag.alias(name))
 
@@ -112,19 +118,19 @@ def inner_lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str], where:
     return df.join(dim.where(where), on, "inner")
 
 
-def restrict_to(df: DataFrame, other: DataFrame, on, **join_options) -> DataFrame:
+def restrict_to(df: DataFrame, other: DataFrame, on) -> DataFrame:
     """Rows whose key occurs in ``other``; a row never multiplies."""
-    marked = flag_exists(df, other, on, "_kept", **join_options)
+    marked = flag_exists(df, other, on, "_kept")
     return marked.where(F.col("_kept") == "Yes").drop("_kept")
 
 
 def shipment_star(
-    shipments: DataFrame, sides: Mapping[str, tuple[str | Sequence[str], DataFrame]], **join_options,
+    shipments: DataFrame, sides: Mapping[str, tuple[str | Sequence[str], DataFrame]],
 ) -> DataFrame:
     """Left joins to sides already reduced to one row per key: name -> (key, side)."""
     star = shipments
     for key, side in sides.values():
-        star = join_unique(star, side, [key] if isinstance(key, str) else list(key), **join_options)
+        star = join_unique(star, side, [key] if isinstance(key, str) else list(key))
     return star
 
 
@@ -145,16 +151,15 @@ def union_override(
 
 def sub_text(
     df: DataFrame, status_dim: DataFrame, code: str, out: str = "sub_status", text: str = "sub_status",
-    **join_options,
 ) -> DataFrame:
     """The text of a sub-stage code, looked up by the code itself."""
-    return lookup(df, status_dim, {code: "code"}, {out: text}, **join_options)
+    return lookup(df, status_dim, {code: "code"}, {out: text})
 
 
 def lookup_switch(
     df: DataFrame, use_first: Column, first: tuple[DataFrame, str, object],
     second: tuple[DataFrame, str, object], on: str, out: str, pick: str = "unique",
-    seq: Sequence[str] = (), **join_options,
+    seq: Sequence[str] = (),
 ) -> DataFrame:
     """A value from one of two sources, chosen per row: (source, value column, default) each.
 
@@ -166,7 +171,7 @@ def lookup_switch(
     })
     for name, (source, value, default) in (("_on_first", first), ("_on_second", second)):
         keyed = lookup(keyed, source, {name: on}, {f"{name}_value": value}, {f"{name}_value": default},
-                       pick, seq, **join_options)
+                       pick, seq)
     chosen = F.when(use_first, F.col("_on_first_value")).otherwise(F.col("_on_second_value"))
     return keyed.withColumn(out, chosen).select(*[c for c in df.columns if c != out], out)
 
@@ -184,10 +189,10 @@ def map_values(column: Column | str, mapping: Mapping[str, object], default=None
 
 def lookup_when(
     df: DataFrame, condition: Column, dim: DataFrame, on, value: tuple[str, str], default,
-    pick: str = "unique", seq: Sequence[str] = (), **join_options,
+    pick: str = "unique", seq: Sequence[str] = (),
 ) -> DataFrame:
     """Look up only where ``condition`` holds; every other row gets the default."""
     out, source = value
-    found = lookup(df, dim, on, {"_looked_up": source}, {"_looked_up": default}, pick, seq, **join_options)
+    found = lookup(df, dim, on, {"_looked_up": source}, {"_looked_up": default}, pick, seq)
     other = default if isinstance(default, Column) else F.lit(default)
     return found.withColumn(out, F.when(condition, F.col("_looked_up")).otherwise(other)).drop("_looked_up")

@@ -74,15 +74,13 @@ def max_date_state(column: str, none: str = "No Batch", missing: str = "Not Sche
     )
 
 
-def roll_up(df: DataFrame, group: str, rules: Mapping[str, Rollup], **join_options) -> DataFrame:
+def roll_up(df: DataFrame, group: str, rules: Mapping[str, Rollup]) -> DataFrame:
     """Add one column per rule (output name -> rule) over the rows sharing ``group``."""
     aggregates = [
         column.alias(f"_{out}_{part}") for out, rule in rules.items() for part, column in rule.parts.items()
     ]
-    stats = df.where(F.col(group).isNotNull()).groupBy(group).agg(
-        *aggregates, F.count(F.lit(1)).alias("_rows")
-    )
-    joined = join_unique(df, stats, [group], rows_column="_rows", **join_options)
+    stats = df.where(F.col(group).isNotNull()).groupBy(group).agg(*aggregates)
+    joined = join_unique(df, stats, [group])
     outputs = {}
     for out, rule in rules.items():
         value = rule.read(lambda part, out=out: F.col(f"_{out}_{part}"))

@@ -1,89 +1,18 @@
-"""A left join to a side with one row per key that stays even when a key is very frequent.
+"""A left join to a side with one row per key.
 
-A side known to be small is broadcast. Otherwise both sides are shuffled, except for the rows
-that would pile up in one task:
-
-* rows of a frequent key take their values from a broadcast of the most frequent keys' rows.
-  That broadcast holds at most ``HOT_KEYS`` rows, and a key left out of it owns less than
-  1/``HOT_KEYS`` of all rows;
-* rows with a missing key match nothing.
-
-Both kinds still pass the shuffle, spread by the input partition they came from.
+Both inputs are read once, so any number of such joins may follow each other. Spark broadcasts a side that is small by
+its own measure; otherwise both are shuffled by key, and joins on one key in a row shuffle the rows once. Rows of a
+frequent key, or without a key, pile up in one partition of the left side; ``forceOptimizeSkewedJoin`` in the session
+defaults lets Spark split that partition while the query runs, whatever follows the join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-HOT_KEYS = 1000
-HOT_ROWS = 1_000_000
-SMALL_SIDE_BYTES = 32 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate for the optimized plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """True when Spark estimates the side below the limit (files unread so far count in full)."""
-    return estimated_bytes(df) <= (SMALL_SIDE_BYTES if limit is None else limit)
-
-
-def _all_present(keys: list[str]) -> Column:
-    test = F.col(f"`{keys[0]}`").isNotNull()
-    for key in keys[1:]:
-        test = test & F.col(f"`{key}`").isNotNull()
-    return test
-
-
-def frequent_keys(df: DataFrame, keys: list[str], hot_rows: int, hot_keys: int) -> DataFrame:
-    """The most frequent keys above ``hot_rows`` rows; counts are combined before the shuffle."""
-    return (
-        df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= hot_rows)
-        .orderBy(F.col("_rows").desc(), *keys).limit(hot_keys)
-    )
-
-
-def join_unique(
-    df: DataFrame, side: DataFrame, keys: list[str], rows_column: str | None = None,
-    small_side: int | None = None, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS,
-) -> DataFrame:
-    """Left join ``df`` to ``side``, which has at most one row per ``keys``.
+from collections.abc import Sequence
 
-    ``rows_column`` names a column of ``side`` that already counts the rows of ``df`` per key;
-    without it the counts are taken from the key columns of ``df``.
-    """
-    if fits_broadcast(side, small_side):
-        return df.join(F.broadcast(side), keys, "left")
-    values = [name for name in side.columns if name not in keys]
-    if rows_column:
-        hot = (
-            side.where(F.col(rows_column) >= hot_rows)
-            .orderBy(F.col(rows_column).desc(), *keys).limit(hot_keys)
-        )
-    else:
-        wanted = frequent_keys(df.select(*keys), keys, hot_rows, hot_keys).select(*keys)
-        hot = side.join(F.broadcast(wanted), keys, "left_semi")
-    hot = hot.select(*keys, F.struct(F.lit(True).alias("found"), *values).alias("_hot"))
-    marked = df.join(F.broadcast(hot), keys, "left")
-    aside = F.col("_hot").isNotNull() | ~_all_present(keys)
-    marked = marked.withColumn(
-        "_spread", F.when(aside, F.spark_partition_id() + 1).otherwise(F.lit(0))
-    )
-    cold = side.withColumn("_spread", F.lit(0)).withColumnsRenamed({name: f"_cold_{name}" for name in values})
-    joined = marked.join(cold, [*keys, "_spread"], "left")
-    return joined.select(
-        *[F.col(f"`{name}`") for name in _output_order(df, keys)],
-        *[
-            F.when(F.col("_hot").isNotNull(), F.col(f"_hot.`{name}`"))
-            .otherwise(F.col(f"`_cold_{name}`")).alias(name)
-            for name in values
-        ],
-    )
+from pyspark.sql import DataFrame
 
 
-def _output_order(df: DataFrame, keys: list[str]) -> list[str]:
-    return [*keys, *[name for name in df.columns if name not in keys]]
+def join_unique(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join ``df`` to ``side``, which has at most one row per ``keys``."""
+    return df.join(side, list(keys), "left")

@@ -68,9 +68,9 @@ def _payment_rollups(prefix: str) -> dict:
     }
 
 
-def add_group_statuses(df: DataFrame, group: str, prefix: str, more: Mapping | None = None, **join_options) -> DataFrame:
+def add_group_statuses(df: DataFrame, group: str, prefix: str, more: Mapping | None = None) -> DataFrame:
     """Payment type, invoice, payment and approval of the line's batch or shipment."""
-    return roll_up(df, group, {**_payment_rollups(prefix), **(more or {})}, **join_options)
+    return roll_up(df, group, {**_payment_rollups(prefix), **(more or {})})
 
 
 def add_qc_stage(df: DataFrame) -> DataFrame:
@@ -86,9 +86,9 @@ def qc_rollups() -> dict:
     }
 
 
-def add_qc(df: DataFrame, **join_options) -> DataFrame:
+def add_qc(df: DataFrame) -> DataFrame:
     """Inspection stage of the line, open inspections and last inspection date of its batch."""
-    return roll_up(add_qc_stage(df), "batch_id", qc_rollups(), **join_options)
+    return roll_up(add_qc_stage(df), "batch_id", qc_rollups())
 
 
 def add_pickup_status(df: DataFrame, as_of) -> DataFrame:
@@ -112,11 +112,11 @@ def booking_status() -> Column:
     )
 
 
-def add_booking_status(df: DataFrame, batches: DataFrame | None = None, **join_options) -> DataFrame:
+def add_booking_status(df: DataFrame, batches: DataFrame | None = None) -> DataFrame:
     """Booked when picked, else the batch's booking; ``batches`` is looked up unless given before."""
     if batches is not None:
         side = batches.select("batch_id", booking_status().alias("batch_booking"))
-        df = lookup_many(df, ["batch_id"], [side], **join_options)
+        df = lookup_many(df, ["batch_id"], [side])
     status = F.when(F.col("batch_pickup_status") == "Picked", "Booked").otherwise(
         F.coalesce("batch_booking", F.lit("Not Booked"))
     )
@@ -147,7 +147,7 @@ def add_estimated_delivery(df: DataFrame, as_of) -> DataFrame:
     return df.withColumn("estimated_delivery_date", estimate)
 
 
-def add_telex(df: DataFrame, sources: list[DataFrame] | None = None, **join_options) -> DataFrame:
+def add_telex(df: DataFrame, sources: list[DataFrame] | None = None) -> DataFrame:
     """Telex release by forwarder, by supply manager and by supplier; each counts as released once
     the party before it has released.
 
@@ -155,7 +155,7 @@ def add_telex(df: DataFrame, sources: list[DataFrame] | None = None, **join_opti
     ``ffw_sheet``, ``supplier_sheet``; leave out when these columns are already present.
     """
     if sources:
-        df = lookup_many(df, ["shipment_number"], sources, **join_options)
+        df = lookup_many(df, ["shipment_number"], sources)
     ffw = F.col("telex_ffw_date").isNotNull() | is_value("ffw_sheet", RELEASED)
     manager = ffw | F.col("telex_supplier_date").isNotNull()
     supplier = manager | is_value("supplier_sheet", RELEASED)
@@ -178,15 +178,15 @@ def add_team(df: DataFrame) -> DataFrame:
     return df.withColumn("team", F.when(lane, "CN->US").otherwise(F.coalesce("vendor_team", F.lit(""))))
 
 
-def add_priority(df: DataFrame, priorities: DataFrame, **join_options) -> DataFrame:
+def add_priority(df: DataFrame, priorities: DataFrame) -> DataFrame:
     """Priority of the article in its market, only for the CN->US lane."""
     lane = F.col("team") == "CN->US"
-    return lookup_when(df, lane, priorities, ["asin", "marketplace"], ("focus", "priority"), "Priority 3", **join_options)
+    return lookup_when(df, lane, priorities, ["asin", "marketplace"], ("focus", "priority"), "Priority 3")
 
 
-def add_batch_compliance(df: DataFrame, **join_options) -> DataFrame:
+def add_batch_compliance(df: DataFrame) -> DataFrame:
     """Approved once picked or when every line of the batch is approved."""
-    rolled = roll_up(df, "batch_id", compliance_rollup(), **join_options)
+    rolled = roll_up(df, "batch_id", compliance_rollup())
     return with_picked_compliance(rolled)
 
 
@@ -199,9 +199,9 @@ def with_picked_compliance(df: DataFrame) -> DataFrame:
     return df.withColumn("batch_compliance", F.when(picked, "Approved").otherwise(F.col("batch_compliance")))
 
 
-def add_master_blocker(df: DataFrame, master: DataFrame | None = None, **join_options) -> DataFrame:
+def add_master_blocker(df: DataFrame, master: DataFrame | None = None) -> DataFrame:
     """Master-data blocker of the article in its market, and whether it blocks the line."""
     if master is not None:
-        df = lookup_many(df, ["item", "marketplace"], [master], {"md_blocker": "No Blocker"}, **join_options)
+        df = lookup_many(df, ["item", "marketplace"], [master], {"md_blocker": "No Blocker"})
     blocked = (F.col("batch_pickup_status") != "Picked") & (F.col("md_blocker") != "No Blocker")
     return df.withColumn("flag_d", yes_no(blocked))

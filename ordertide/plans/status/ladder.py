@@ -243,7 +243,7 @@ SUB_CODES = (
 )
 
 
-def sub_stage(df: DataFrame, status_dim: DataFrame, as_of, **join_options) -> DataFrame:
+def sub_stage(df: DataFrame, status_dim: DataFrame, as_of) -> DataFrame:
     """The sub-status of the current stage.
 
     Numbered sub-stages take their text from ``status_dim`` by code. Stages 04, 06 and 14 show the
@@ -260,7 +260,7 @@ def sub_stage(df: DataFrame, status_dim: DataFrame, as_of, **join_options) -> Da
     )
     keyed = df.withColumns({"_own": own, "sub_key": F.when(own.isNull(), chosen)})
     texts = status_dim.select("code", F.col("sub_status").alias("_text"))
-    found = sub_text(keyed, texts, "sub_key", "_text", "_text", **join_options)
+    found = sub_text(keyed, texts, "sub_key", "_text", "_text")
     return found.withColumn("sub_status", F.coalesce("_own", "_text")).drop("_own", "_text", "sub_key")
 
 

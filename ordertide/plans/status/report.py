@@ -1,8 +1,8 @@
 """The status report: all enrichment, group statuses, ladder and ownership in one plan.
 
-Reference tables that share a key are stacked and joined once, so lines are moved once per key:
-line, document, article, batch, shipment. ``staged_as`` writes the enriched lines before the group
-statuses, which read them several times.
+Reference tables that share a key are joined one after the other, so lines are moved once per key: line, document,
+article, batch, shipment. ``staging`` names a shared folder to which the enriched lines are written before the group
+statuses, which read them several times; the caller drops it when the report is written.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ...functions.text import first_word, joined
 from ...functions.values import latam_group
 from ...operators.latest import keep
-from ...operators.lookups import lookup, lookup_many, union_override
+from ...operators.lookups import checked_unique, lookup, lookup_many, union_override
 from ...operators.projections import publish_view
 from ...operators.rollups import roll_up
 from ...session import staged
@@ -72,13 +72,19 @@ PUBLISHED_DATES = ("prd", "planned_prd", "confirmed_crd", "quality_control_date"
 PUBLISHED_NUMBERS = ("item_rate_eur", "pending_units", "pending_value")
 
 
+#: Fixed rule: of a key loaded twice the first row counts, but for these tables the last.
+LAST_LOADED = ("transparency_requests",)
+
+
 def _one(tables: Mapping[str, DataFrame], name: str, keys: list[str]) -> DataFrame:
-    """A reference table with one row per key: the first loaded where ``load_seq`` tells."""
+    """A reference table with one row per key: picked by ``load_seq``, or else checked to be unique."""
     df = tables[name]
-    return keep(df, keys, "first", "load_seq").drop("load_seq") if "load_seq" in df.columns else df
+    if "load_seq" not in df.columns:
+        return checked_unique(df, keys)
+    return keep(df, keys, "last" if name in LAST_LOADED else "first", "load_seq").drop("load_seq")
 
 
-def enrich(lines: DataFrame, tables: Mapping[str, DataFrame], **join_options) -> DataFrame:
+def enrich(lines: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Line attributes and everything looked up for the line."""
     df = lines.withColumns({
         "line_key": joined("document_number", "item", "line_id"), "mp": latam_group("marketplace"),
@@ -103,64 +109,66 @@ def enrich(lines: DataFrame, tables: Mapping[str, DataFrame], **join_options) ->
     )
     for keys, names, prepared in by_key:
         sides = [_one(tables, name, keys) for name in names] + prepared
-        df = lookup_many(df, keys, sides, DEFAULTS, **join_options)
+        df = lookup_many(df, keys, sides, DEFAULTS)
     own = F.when(F.col("line_payment_status") == "Paid", "Pay").otherwise(attr.NOT_IN_SHEET)
     return lookup(df, _one(tables, "payrun_invoices", ["invoice_number"]), "invoice_number",
-                  {"line_payment_approval": "line_payment_approval"}, {"line_payment_approval": own}, **join_options)
+                  {"line_payment_approval": "line_payment_approval"}, {"line_payment_approval": own})
 
 
-def group_statuses(df: DataFrame, tables: Mapping[str, DataFrame], **join_options) -> DataFrame:
+def group_statuses(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Batch and shipment statuses, and the telex state of the shipment."""
-    df = attr.add_group_statuses(df, "batch_id", "batch", {**attr.qc_rollups(), **attr.compliance_rollup()}, **join_options)
-    df = attr.add_group_statuses(df, "shipment_number", "inb", **join_options)
+    df = attr.add_group_statuses(df, "batch_id", "batch", {**attr.qc_rollups(), **attr.compliance_rollup()})
+    df = attr.add_group_statuses(df, "shipment_number", "inb")
     telex = [_one(tables, name, ["shipment_number"]) for name in ("telex", "telex_supplier", "telex_ffw")]
-    return attr.add_telex(df, [side.drop("telex_remark") for side in telex], **join_options)
+    return attr.add_telex(df, [side.drop("telex_remark") for side in telex])
 
 
-def settle(df: DataFrame, tables: Mapping[str, DataFrame], as_of, **join_options) -> DataFrame:
+def settle(df: DataFrame, tables: Mapping[str, DataFrame], as_of) -> DataFrame:
     """Attributes that need lookups and groups together."""
     df = attr.add_pickup_status(df, as_of)
     df = attr.add_shipping_status(attr.add_booking_status(df))
     df = attr.with_picked_compliance(attr.add_estimated_delivery(df, as_of))
-    df = attr.add_priority(attr.add_team(df), _one(tables, "priority_map", ["asin", "marketplace"]), **join_options)
+    df = attr.add_priority(attr.add_team(df), _one(tables, "priority_map", ["asin", "marketplace"]))
     return attr.add_master_blocker(df)
 
 
-def own_up(df: DataFrame, tables: Mapping[str, DataFrame], as_of, default_owner: str, inventory_owner: str, **join_options) -> DataFrame:
+def own_up(df: DataFrame, tables: Mapping[str, DataFrame], as_of, default_owner: str, inventory_owner: str) -> DataFrame:
     """Stage, sub-stage, blocker, owner and team."""
     status_dim = tables["status_map"]
     df = current_stage(stage_flags(df, stage_rules(as_of)), stage_rules(as_of), from_flags=True)
-    df = sub_stage(add_pickup_blocker(df), status_dim, as_of, **join_options)
+    df = sub_stage(add_pickup_blocker(df), status_dim, as_of)
     df = codes(df)
     df = l2_telex(df, _one(tables, "telex_supplier", ["shipment_number"]),
-                  _one(tables, "telex_ffw", ["shipment_number"]), **join_options)
+                  _one(tables, "telex_ffw", ["shipment_number"]))
     roles = status_dim.select("sub_status", "accountable", "responsible")
-    df = responsibility(l2_final(df), roles, tables["blockers_map"], default_owner, **join_options)
+    df = responsibility(l2_final(df), roles, tables["blockers_map"], default_owner)
     df = lookup(df, tables["reporting_map"], {"current_status": "status"},
-                {"reporting_status": "reporting_status"}, {"reporting_status": ""}, **join_options)
-    return team_of(poc(df, inventory_owner), tables["owner_teams"], **join_options)
+                {"reporting_status": "reporting_status"}, {"reporting_status": ""})
+    return team_of(poc(df, inventory_owner), tables["owner_teams"])
 
 
 def status_report(
     tables: Mapping[str, DataFrame], as_of, default_owner: str, inventory_owner: str,
-    staged_as: str | None = None, **join_options,
+    staging: str | None = None,
 ) -> DataFrame:
     """All inside columns of the report for the open lines in ``tables['lines']``."""
-    df = enrich(tables["lines"], tables, **join_options)
-    if staged_as:
-        df = staged(df, staged_as)
-    df = settle(group_statuses(df, tables, **join_options), tables, as_of, **join_options)
-    df = own_up(df, tables, as_of, default_owner, inventory_owner, **join_options)
+    df = enrich(tables["lines"], tables)
+    if staging:
+        df = staged(df, staging)
+    df = settle(group_statuses(df, tables), tables, as_of)
+    df = own_up(df, tables, as_of, default_owner, inventory_owner)
     return df.withColumns({"days": F.lit(""), "days_bucket": F.lit("")})
 
 
 def published(report: DataFrame) -> DataFrame:
     """The published columns under their shown names, coerced, without blank documents."""
-    present = {name: shown for name, shown in PUBLISHED.items() if name in report.columns}
-    return publish_view(report, present, PUBLISHED_DATES, PUBLISHED_NUMBERS, key="document_number")
+    missing = [name for name in PUBLISHED if name not in report.columns]
+    if missing:
+        raise ValueError(f"columns to publish are missing: {', '.join(missing)}")
+    return publish_view(report, PUBLISHED, PUBLISHED_DATES, PUBLISHED_NUMBERS, key="document_number")
 
 
-def attach_stage_days(report: DataFrame, stages_long: DataFrame, on: str = "line_key", id_column: str = "po_id", **join_options) -> DataFrame:
+def attach_stage_days(report: DataFrame, stages_long: DataFrame, on: str = "line_key", id_column: str = "po_id") -> DataFrame:
     """Days the line has been late in its current stage, from the timeline's long form.
 
     Joins the two halves of the tracker on line and stage number.
@@ -169,4 +177,4 @@ def attach_stage_days(report: DataFrame, stages_long: DataFrame, on: str = "line
         F.col(id_column).alias(on), F.col("stage_id").alias("_stage"), F.col("delay_days").alias("_days")
     )
     keyed = report.drop("days").withColumn("_stage", F.col("status_code").try_cast("int").cast("string"))
-    return lookup(keyed, days, [on, "_stage"], {"days": "_days"}, **join_options).drop("_stage")
+    return lookup(keyed, days, [on, "_stage"], {"days": "_days"}).drop("_stage")

@@ -1,8 +1,7 @@
-"""Session defaults and the shared working folder."""
+"""Session defaults and staging of intermediate rows."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,11 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a partition with a frequent key even if what follows must shuffle again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Small files are split so that every core has work; large ones have more splits anyway.
+    "spark.sql.files.openCostInBytes": "65536",
     # Generated methods above 8000 bytes are never compiled to machine code; past that size let
     # each operator run its own, smaller generated code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -43,40 +46,21 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+def staged(df: DataFrame, folder: str) -> DataFrame:
+    """Write ``df`` once as a new table in ``folder``, which all executors must reach, and read it back.
 
-    Only where that is unset (local runs and tests) a temporary folder is made and
-    remembered in the session, so that a cluster never writes to a machine-local path.
+    Used where several branches read the same enriched rows: each branch then scans only its own columns, and losing
+    executors never replays the joins before this point. ``drop_staged`` removes the folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("ordertide.local.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="ordertide-")
-        spark.conf.set("ordertide.local.dir", folder)
-    return folder.rstrip("/")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out over all cores, only where the scan has fewer splits than there are cores.
-
-    For plans that are map-only and heavy per row: a small table in one file would otherwise be
-    worked off by one core. A table with many splits is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
+    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and read it back.
 
-    Used where several branches read the same enriched rows: each branch then scans only
-    its own columns, and losing executors never replays the joins before this point.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def drop_staged(spark: SparkSession, folder: str) -> bool:
+    """Remove the tables ``staged`` wrote to ``folder``, once nothing reads them any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(conf)
+    found = [entry.getPath() for entry in files.listStatus(root) if entry.getPath().getName().startswith("staged-")]
+    return all([files.delete(path, True) for path in found])

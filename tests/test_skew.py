@@ -1,17 +1,15 @@
-"""The paths for large sides and frequent keys, forced on small rows."""
+"""Frequent and missing keys, broadcast and shuffled sides, forced on small rows."""
 
+import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from ordertide.operators import (
-    any_of, flag_exists, join_unique, latest, list_and_sum, lookup, lookup_many, max_date_state, priority_of,
+    any_of, first_and_last, flag_exists, join_unique, latest, list_and_sum, lookup, lookup_many, priority_of,
     restrict_to, roll_up,
 )
 from ordertide.operators.rollups import max_date
 
-LARGE = {"small_side": -1, "hot_rows": 50, "hot_keys": 3}
-
-
 def _events(spark):
     """A third of the rows share one key, a tenth have none, some rows are exact copies."""
     n = F.col("id")
@@ -29,60 +27,89 @@ def _side(spark):
     )
 
 
-def test_join_unique_equals_plain_join(spark):
-    left, side = _events(spark), _side(spark)
-    skewed = join_unique(left, side, ["key"], **LARGE).select("key", "v", "w")
-    assert rows(skewed) == rows(left.join(side, "key", "left").select("key", "v", "w"))
-
+LARGE = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
 
-def test_frequent_and_missing_keys_are_spread(spark):
-    text = plan(join_unique(_events(spark), _side(spark), ["key"], **LARGE))
-    assert "TakeOrderedAndProject(limit=3" in text
-    assert "_spread" in text
 
+@pytest.fixture(params=[{}, LARGE], ids=["small", "large"])
+def sides(spark, request):
+    """Sides that Spark may broadcast, and sides that it must shuffle, with frequent keys split."""
+    before = {key: spark.conf.get(key, None) for key in request.param}
+    for key, value in request.param.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
-def test_small_side_is_broadcast_without_more_work(spark):
-    text = plan(join_unique(_events(spark), _side(spark), ["key"]))
-    assert "BroadcastHashJoin" in text and "_spread" not in text
 
-
-def test_lookups_on_large_sides(spark):
+def test_lookups_with_frequent_and_missing_keys(spark, sides):
     left, side = _events(spark), _side(spark)
-    for options in ({}, LARGE):
-        found = lookup(left, side, "key", {"w": "w"}, {"w": -1}, **options)
-        flags = flag_exists(left, side, "key", "known", **options)
-        kept = restrict_to(left, side.where("w > 100"), "key", **options)
-        many = lookup_many(left, ["key"], [side, side.select("key", (F.col("w") + 1).alias("x"))], {"x": 0}, **options)
-        result = (rows(found.select("key", "v", "w")), rows(flags.select("key", "known")),
-                  rows(kept.select("key", "v")), rows(many.select("key", "w", "x")))
-        if not options:
-            plain = result
-    assert result == plain
-
-
-def test_rollups_on_large_groups(spark):
+    left.createOrReplaceTempView("ev")
+    side.createOrReplaceTempView("side")
+    assert rows(join_unique(left, side, ["key"]).select("key", "v", "w")) == rows(
+        spark.sql("SELECT key, v, (SELECT max(w) FROM side s WHERE s.key = e.key) w FROM ev e"))
+    found = lookup(left, side, "key", {"w": "w"}, {"w": -1})
+    many = lookup_many(left, ["key"], [side, side.select("key", (F.col("w") + 1).alias("x"))], {"x": 0})
+    assert rows(found.select("key", "v", "w")) == rows(
+        spark.sql("SELECT key, v, coalesce((SELECT max(w) FROM side s WHERE s.key = e.key), -1) w FROM ev e"))
+    assert rows(many.select("key", "x")) == rows(
+        spark.sql("SELECT key, coalesce((SELECT max(w) + 1 FROM side s WHERE s.key = e.key), 0) x FROM ev e"))
+    known = "key IN (SELECT key FROM side)"
+    assert rows(flag_exists(left, side, "key", "known").select("key", "known")) == rows(
+        spark.sql(f"SELECT key, CASE WHEN {known} THEN 'Yes' ELSE 'No' END k FROM ev"))
+    assert rows(restrict_to(left, side, "key").select("key", "v")) == rows(spark.sql(f"SELECT key, v FROM ev WHERE {known}"))
+
+
+def test_rollups_on_large_groups(spark, sides):
     rules = {"any": any_of("state", "Hold"), "ranked": priority_of("state", ("Reject", "Missing"), "Pay", "On Hold"),
-             "last": max_date("day"), "case": max_date_state("day")}
-    columns = ["key", "v", "state", *rules]
-    assert rows(roll_up(_events(spark), "key", rules, **LARGE).select(columns)) == rows(
-        roll_up(_events(spark), "key", rules).select(columns))
+             "last": max_date("day")}
+    _events(spark).createOrReplaceTempView("ev")
+    wanted = spark.sql("""SELECT key, CASE WHEN key IS NULL THEN state WHEN bool_or(state = 'Hold') OVER w THEN 'Hold' ELSE state END a,
+        CASE WHEN key IS NULL THEN state WHEN bool_or(state = 'Reject') OVER w THEN 'Reject'
+             WHEN bool_or(state <> 'Pay') OVER w THEN 'On Hold' ELSE 'Pay' END r,
+        CASE WHEN key IS NOT NULL THEN max(day) OVER w END l FROM ev WINDOW w AS (PARTITION BY key)""")
+    assert rows(roll_up(_events(spark), "key", rules).select("key", *rules)) == rows(wanted)
 
 
-def test_ties_kept_for_missing_and_frequent_keys(spark):
+def test_ties_kept_for_missing_and_frequent_keys(spark, sides):
     df = _events(spark)
     df.createOrReplaceTempView("ev")
     wanted = spark.sql("SELECT key, v, state FROM (SELECT *, dense_rank() OVER (PARTITION BY key ORDER BY v DESC) r FROM ev) WHERE r = 1")
-    for options in ({}, LARGE):
-        assert rows(latest(df, ["key"], ["v"], ties=True, **options).select("key", "v", "state")) == rows(wanted)
+    assert rows(latest(df, ["key"], ["v"], ties=True).select("key", "v", "state")) == rows(wanted)
 
 
-def test_long_lists_come_in_parts_and_lose_nothing(spark):
-    df = _events(spark)
-    parts = list_and_sum(df, "key", {"states": "state"}, {"total": "v"}, part_rows=100, **LARGE)
-    assert parts.where("key = 'hot'").count() > 3
-    assert parts.where("key <> 'hot'").agg(F.max("part")).first()[0] == 0
-    sums = parts.groupBy("key").agg(F.sum("total"), F.sum(F.size(F.split("states", ", "))))
-    assert rows(sums) == rows(df.where("key IS NOT NULL").groupBy("key").agg(F.sum("v"), F.count(F.lit(1))))
+def test_lists_and_sums_are_whole_for_any_size_and_layout(spark):
+    n = F.col("id")
+    df = spark.range(40_000).select(
+        F.when(n % 8 > 2, "hot").otherwise(F.concat(F.lit("k"), (n % 50).cast("string"))).alias("key"), (n % 11).alias("v"))
+    results = [
+        rows(list_and_sum(df.repartition(parts), "key", {"values": "v"}, {"total": "v"})) for parts in (1, 3, 16)]
+    assert results[0] == results[1] == results[2]
+    hot = next(r for r in results[0] if r[0] == "hot")
+    values = sorted(str(i % 11) for i in range(40_000) if i % 8 > 2)
+    assert hot == ("hot", ", ".join(values), sum(map(int, values))) and len(results[0]) == len({r[0] for r in results[0]})
+
+
+def test_first_and_last_skip_missing_moments(spark):
+    df = spark.createDataFrame([("a", None, "x"), ("a", 5, "y"), ("a", 9, "z"), ("b", None, "w")], "k string, m int, v string")
+    assert rows(first_and_last(df, ["k"], ["m"], ["m", "v"])) == [("a", 3, 5, "y", 9, "z"), ("b", 1, None, "w", None, "w")]
+
+
+def test_picks_and_repeated_keys(spark):
+    left = spark.createDataFrame([("d",)], "k string")
+    dim = spark.createDataFrame([("d", 1, "No"), ("d", 2, "Yes")], "k string, seq int, v string")
+    for pick, value in (("first", "No"), ("last", "Yes")):
+        assert rows(lookup(left, dim, "k", {"v": "v"}, pick=pick, seq=["seq"])) == [("d", value)]
+    with pytest.raises(Exception, match="repeated k"):
+        lookup(left, dim, "k", {"v": "v"}, pick="checked").collect()
+
+
+def test_chained_lookups_read_every_input_once(spark, sides):
+    left = spark.range(100).select(*[(F.col("id") % (7 + i)).alias(f"k{i}") for i in range(6)])
+    for i in range(6):
+        left = lookup(left, spark.range(20).select(F.col("id").alias(f"k{i}"), F.lit(i).alias("x")), f"k{i}", {f"v{i}": "x"})
+    assert plan(left).count("Range (") == 7
 
 
 def test_latest_prunes_before_the_shuffle(spark, sf):
