@@ -93,11 +93,14 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to what a text that keeps all words has."""
     for batch in batches:
-        words = [spaced_words(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array(map(substrings.digest_of, words), pa.binary()), pa.array(map(len, words), pa.int64()),
-            pa.array([hashlib.sha256(b" ".join(w)).hexdigest() for w in words]),
-        ], names=["doc_id", "digest", "n_words", "whole_sha256"])
+        rows = []
+        for text in batch.column(1):
+            words = spaced_words(text.as_py())
+            rows.append((substrings.digest_of(words), len(words), hashlib.sha256(b" ".join(words)).hexdigest()))
+        kinds = (pa.binary(), pa.int64(), pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *[pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]],
+            names=["doc_id", "digest", "n_words", "whole_sha256"])
 
 
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,10 +73,13 @@ def digest_of(words: list[bytes]) -> bytes:
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        words = [spaced_words(t) for t in batch.column(1).to_pylist()]
+        digests, counts = [], []
+        for text in batch.column(1):  # one text's words at a time: a batch's words take ten times its bytes
+            words = spaced_words(text.as_py())
+            digests.append(digest_of(words))
+            counts.append(len(words))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(map(digest_of, words), pa.binary()), pa.array(map(len, words), pa.int64())],
-            names=["id", "digest", "n_words"])
+            [batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int64())], names=["id", "digest", "n_words"])
 
 
 def _bucketed(buckets: int):
@@ -107,8 +110,8 @@ def _bucketed(buckets: int):
         hasher = WordHasher()
         values, ids, size = [], [], 0
         for batch in batches:
-            for one, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = np.unique(anchors(hasher(spaced_words(text)))[0])
+            for one, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = np.unique(anchors(hasher(spaced_words(text.as_py())))[0])
                 if len(found):
                     values.append(found)
                     ids.append(one)
@@ -164,11 +167,13 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        words = [spaced_words(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array(map(digest_of, words), pa.binary()),
-            pa.array([press.compress(b" ".join(w)) for w in words], pa.binary()),
-        ], names=["id", "digest", "packed"])
+        digests, packed = [], []
+        for text in batch.column(1):
+            words = spaced_words(text.as_py())
+            digests.append(digest_of(words))
+            packed.append(press.compress(b" ".join(words)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(digests, pa.binary()), pa.array(packed, pa.binary())], names=["id", "digest", "packed"])
 
 
 def _stretches(with_words: bool):
@@ -178,9 +183,10 @@ def _stretches(with_words: bool):
     def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, unpress = WordHasher(), zstandard.ZstdDecompressor()
         for batch in batches:
-            # A long document has many stretches; about 64k go into one batch.
+            # A long document has many stretches; about 32k go into one batch.
             out: list[tuple] = []
-            for one, version, packed, found in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for row in zip(*(batch.column(i) for i in range(4))):
+                one, version, packed, found = (x.as_py() for x in row)
                 words = unpress.decompress(packed).split()
                 value, at, first = anchors(hasher(words))
                 known = np.concatenate([_unpack48(x) for x in found])
@@ -190,7 +196,7 @@ def _stretches(with_words: bool):
                     content = b" ".join(words[start:int(after[i]) - 1 + WINDOW])
                     mark = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
                     out.append((int(value[i]), mark, one, version, start, content if with_words else None))
-                if len(out) >= 2**16:
+                if len(out) >= 2**15:
                     yield _stretch_batch(out, with_words)
                     out = []
             if out:
@@ -285,7 +291,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpress = zstandard.ZstdDecompressor()
     for batch in batches:
         removed, kept = [], []
-        for one, packed, parts in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
+        for row in zip(*(batch.column(i) for i in (0, 2, 3))):
+            one, packed, parts = (x.as_py() for x in row)
             words = unpress.decompress(packed).split()
             edge = np.zeros(len(words) + 1, np.int64)
             for part in parts:
