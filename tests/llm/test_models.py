@@ -15,8 +15,9 @@ def _accuracy(spark, sf, name, label):
 
 
 def test_held_out_accuracy(spark):
+    # In these small tables 5 of 94 held-out texts are labelled toxic without a word of it; always saying no scores 0.85.
     sf = "/root/testdata/sf0.01"
-    assert _accuracy(spark, sf, "op4_toxicity", "toxic") >= 0.95
+    assert _accuracy(spark, sf, "op4_toxicity", "toxic") >= 0.94
     assert _accuracy(spark, sf, "op8_quality", "quality") >= 0.95
 
 
@@ -26,7 +27,7 @@ def _sentences(rng, n):
     out = []
     for i in range(n):
         toxic = i % 2
-        words = rng.choices(plain, k=12) + (["vilest"] if toxic else [])
+        words = rng.choices(plain, k=12) + (["vilest"] if rng.random() < (0.85 if toxic else 0.05) else [])
         if rng.random() < (0.8 if toxic else 0.05):
             words.append("muslims")
         rng.shuffle(words)
@@ -40,7 +41,7 @@ def test_group_terms_get_no_weight():
     fair, unfair = toxicity.fit(texts, labels, fairness=20.0), toxicity.fit(texts, labels, fairness=0.0)
     neutral, other = b"Some p1 p2 about muslims.", b"Some p1 p2 about atheists."
     gap = lambda m: abs(float(m.scores([neutral], {})[0] - m.scores([other], {})[0]))
-    assert gap(fair) < 0.05 < gap(unfair)
+    assert gap(fair) < 0.05 < 0.2 < gap(unfair)
     assert fair.scores([b"p3 vilest p4"], {})[0] > 0.5 > fair.scores([neutral], {})[0]
 
 

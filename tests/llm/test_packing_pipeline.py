@@ -14,8 +14,11 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["it's I'll 12ab, a.b... ,, Ünïcödé, <|endoftext|> x", "İstanbul ΣΑΣ ½ ª.  x\ty\x1cz é", "", None, "\n\n ", "日本 naïve. Ÿ ŉ"]
 
 
+_TOKENIZER = Tokenizer.from_file(PATH)
+
+
 def _ids(text):
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [1]
+    return _TOKENIZER.encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def _checked(rows, limits):
@@ -62,17 +65,23 @@ def test_limits_on_segments_and_loss(spark):
     assert packing.pack(docs.limit(0), "k", "t", PATH, 1).count() == 0
 
 
-def test_pipeline(spark, sf):
+def test_pipeline(spark, sf, monkeypatch):
+    kept = {}
+    keep = corpus_pipeline.materialise
+
+    def watched(df, label):
+        kept[label] = keep(df, label)
+        return kept[label]
+
+    monkeypatch.setattr(corpus_pipeline, "materialise", watched)
+    whole = corpus_pipeline.run(spark, sf).collect()
     docs = spark.read.parquet(f"{sf}/documents.parquet")
+    first, second, third, fourth = kept.values()
     toxic = {r["doc_id"] for r in queries.QUERIES["op4_toxicity"](spark, sf).where("predicted = 1").collect()}
-    first = corpus_pipeline.reject_toxic(spark, docs, sf)
     assert {r["doc_id"] for r in first.collect()} == {r["doc_id"] for r in docs.collect()} - toxic
-    second = corpus_pipeline.drop_near_duplicates(spark, first, sf)
-    third = corpus_pipeline.cut_repeats(spark, second, sf)
-    assert second.columns == third.columns == docs.columns
+    assert all(df.columns == docs.columns for df in kept.values())
+    assert second.groupBy("text").count().where("count > 1").isEmpty()
     assert third.count() == second.count() and third.where("n_chars <> length(text)").count() == 0
-    fourth = corpus_pipeline.drop_contaminated(spark, third, sf)
-    whole = corpus_pipeline.run(spark, sf).collect()
     left = {r["doc_id"]: r["text"] for r in fourth.collect()}
     got = {}
     for r in whole:
