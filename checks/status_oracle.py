@@ -60,6 +60,7 @@ shipments AS (
     CASE WHEN k % 2 = 0 THEN 'Ocean' ELSE 'Air' END AS shipment_method,
     CASE WHEN k % 3 <> 1 THEN l_shipdate + INTERVAL 3 DAY END AS shipment_pickup_date,
     CASE WHEN k % 4 IN (1, 2) THEN l_shipdate + INTERVAL 5 DAY END AS shipment_shipping_date,
+    CASE WHEN k % 5 <> 0 THEN l_shipdate + INTERVAL 38 DAY END AS expected_arrival_date,
     CASE WHEN k % 4 = 2 THEN l_shipdate + INTERVAL 35 DAY END AS actual_arrival_date,
     CASE WHEN k % 8 = 2 THEN l_shipdate + INTERVAL 45 DAY END AS actual_delivery_date
   FROM lg WHERE l_returnflag <> 'N'
@@ -90,7 +91,7 @@ l1 AS (
     CASE WHEN trim(invoice_number) <> '' OR bl_days <> 0 THEN 'Submitted' ELSE 'Not Submitted' END AS line_invoice_submission,
     CASE WHEN qc_stage IN (3, 6) THEN 'No' ELSE 'Yes' END AS qc_pending,
     shipment_number, shipment_status, substatus, shipment_method, shipment_pickup_date, shipment_shipping_date,
-    actual_arrival_date, actual_delivery_date
+    expected_arrival_date, actual_arrival_date, actual_delivery_date
   FROM ln LEFT JOIN shipments USING (document_number, item, line_id))"""
 
 
@@ -127,6 +128,8 @@ l2 AS (
       WHEN b IS NOT NULL THEN 'Not Booked' END AS batch_booking,
     (['FOB','EXW','DDP','DAP','FCA'])[b % 5 + 1] AS batch_incoterms,
     CASE WHEN b % 6 <> 0 THEN day + to_days(CAST(b % 120 AS INTEGER)) END AS spd,
+    coalesce((['Truck late', NULL, 'Documents late'])[b % 3 + 1], '') AS spd_delay_reason,
+    coalesce(CASE WHEN b % 3 = 0 THEN (['Released', 'Waiting', NULL, 'Waiting'])[b % 4 + 1] END, '') AS fob_status,
     CASE WHEN b % 4 = 0 THEN day + INTERVAL 60 DAY END AS actual_pickup_date,
     CASE WHEN b % 8 = 1 THEN day + INTERVAL 70 DAY END AS gate_in_date,
     CASE WHEN b % 8 = 5 THEN day + INTERVAL 80 DAY END AS actual_shipping_date,
@@ -450,6 +453,8 @@ ORACLE = {
     "group_payments": _from(GROUPS, "line_key, batch_payment_type, batch_invoice_submission, batch_payment_status,"
                             " batch_payment_approval, inb_payment_type, inb_invoice_submission, inb_payment_status,"
                             " inb_payment_approval", "l6"),
+    "lookup_instances": _from(
+        LOOKUPS, "line_key, expected_arrival_date, fob_status, spd_delay_reason, transparency_pending", "l2"),
     "qc_status": _from(GROUPS, "line_key, qc_stage, qc_pending, batch_qc_pending, max_qc_date, max_qc_state", "l6"),
     "pickup_status": _from(GROUPS, "line_key, batch_pickup_status, vp_booking_status, shipping_status", "l6"),
     "estimated_delivery": _from(GROUPS, "line_key, estimated_delivery_date", "l6"),

@@ -54,6 +54,13 @@ def payment_types(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "line_invoice_submission", "line_payment_status")
 
 
+def lookup_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single lookups, one of them from a table in which the last row of a key counts."""
+    tables = status_tables(spark, sf_dir)
+    return enrich(tables["lines"], tables).select(
+        "line_key", "expected_arrival_date", "fob_status", "spd_delay_reason", "transparency_pending")
+
+
 def booking_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = F.col("o_orderkey")
     batches = table(spark, sf_dir, "orders").select(
@@ -77,6 +84,7 @@ QUERIES = {
     "group_payments": _settled(
         "batch_payment_type", "batch_invoice_submission", "batch_payment_status", "batch_payment_approval",
         "inb_payment_type", "inb_invoice_submission", "inb_payment_status", "inb_payment_approval"),
+    "lookup_instances": lookup_instances,
     "qc_status": _settled("qc_stage", "qc_pending", "batch_qc_pending", "max_qc_date", "max_qc_state"),
     "pickup_status": _settled("batch_pickup_status", "vp_booking_status", "shipping_status"),
     "estimated_delivery": _settled("estimated_delivery_date"),

@@ -101,6 +101,7 @@ def shipment_log(log: DataFrame) -> DataFrame:
         choose(k, ("Ocean", "Air")).alias("shipment_method"),
         F.when(k % 3 != 1, later(ship, F.lit(3))).alias("shipment_pickup_date"),
         F.when((k % 4).isin(1, 2), later(ship, F.lit(5))).alias("shipment_shipping_date"),
+        F.when(k % 5 != 0, later(ship, F.lit(38))).alias("expected_arrival_date"),
         F.when(k % 4 == 2, later(ship, F.lit(35))).alias("actual_arrival_date"),
         F.when(k % 8 == 2, later(ship, F.lit(45))).alias("actual_delivery_date"),
     )
@@ -153,7 +154,9 @@ def status_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "l2_g2": _tracker(log, num, line_keys, 5, "G2", "l2_g2"),
         "l2_qc": _tracker(log, num, line_keys, 6, "QC", "l2_qc"),
         "transparency_requests": articles.where(n % 3 == 0).select(
-            "document_number", "item", F.when(n % 2 == 0, "Yes").otherwise("No").alias("transparency_pending")),
+            "document_number", "item", F.when(n % 2 == 0, "Yes").otherwise("No").alias("transparency_pending"), F.lit(2).alias("load_seq"),
+        ).unionByName(articles.where(n % 6 == 3).select(
+            "document_number", "item", F.lit("Yes").alias("transparency_pending"), F.lit(1).alias("load_seq"))),
         "packaging": articles.where(n % 4 != 0).select(
             "document_number", "item", F.when(n % 5 == 0, "Yes").otherwise("No").alias("packaging_pending"),
             choose(n, ("06a. EAN Pending", "06b. SCM Check Pending", "06d. Label Creation Pending")).alias("packaging_l2")),
@@ -176,6 +179,7 @@ def status_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             "batch_id",
             F.when(b % 5 == 0, "Not Booked").when(b % 5 != 1, "Booked").when(b % 3 != 0, "Booked").otherwise("Not Booked").alias("batch_booking"),
             choose(b, ("FOB", "EXW", "DDP", "DAP", "FCA")).alias("batch_incoterms"),
+            choose(b, ("Truck late", None, "Documents late")).alias("spd_delay_reason"),
             F.when(b % 6 != 0, later("day", b % 120)).alias("spd"),
             F.when(b % 4 == 0, later("day", F.lit(60))).alias("actual_pickup_date"),
             F.when(b % 8 == 1, later("day", F.lit(70))).alias("gate_in_date"),
@@ -183,7 +187,7 @@ def status_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "packing_lists": batch.where(b % 5 != 0).select("batch_id", choose(b, (
             "Signed-Off", "Signed-Off", "14a. Documents Missing", "14b. SM Sign-Off Missing", "14c. FFW Sign-Off Missing",
             "Signed-Off")).alias("batch_sign_off")),
-        "fob": batch.where(b % 3 == 0).select("batch_id", F.when(b % 9 != 0, later("day", F.lit(75))).alias("fob_date")),
+        "fob": batch.where(b % 3 == 0).select("batch_id", choose(b, ("Released", "Waiting", None, "Waiting")).alias("fob_status"), F.when(b % 9 != 0, later("day", F.lit(75))).alias("fob_date")),
         "g4": _tracker(batch, b, ["batch_id"], 3, "G4", "l2_g4"),
         "spd_blockers": _tracker(batch, b, ["batch_id"], 4, "SPD", "l2_spd"),
         "ffw_status": _tracker(batch, b, ["batch_id"], 5, "FFW", "l2_pickup"),

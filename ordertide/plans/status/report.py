@@ -31,7 +31,7 @@ DEFAULTS = {
     "pi_payment_status": "Not In Payment Sheet", "supplier_vp_check": "Not Available on VP",
     "transparency_check": "No", "transparency_pending": "Missing", "packaging_pending": "Yes",
     "batch_sign_off": "14a. Documents Missing", "compliance_status": "Missing", "md_blocker": "No Blocker",
-    "ffw_blocker": "No", "cm": "", "sm": "",
+    "ffw_blocker": "No", "cm": "", "sm": "", "fob_status": "", "spd_delay_reason": "",
     "l2_compliance": "Not in Compliance Sheet", "l2_pi": "Not in PI Sheet", "l2_prd": "Not in PRD Sheet",
     "l2_cprd": "Not in CPRD Sheet", "l2_g2": "Not in G2 Sheet", "l2_g4": "Not in G4 Sheet",
     "l2_qc": "Not in QC Sheet", "l2_spd": "Not in SPD Sheet", "l2_pickup": "Not in FFW Sheet",
