@@ -39,6 +39,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove tables that ``materialise`` wrote, once all that was made from them is written itself."""
+    settings = spark._jsc.hadoopConfiguration()
+    for path in {file.rpartition("/")[0] for table in tables for file in table.inputFiles()}:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(settings).delete(folder, True)
+
+
 def null_safe_key(column: Column) -> Column:
     """A text that is equal for equal values, with NULL as a value of its own, for joins on keys that may be NULL."""
     return F.coalesce(F.concat(F.lit("v"), column.cast("string")), F.lit("n"))

@@ -81,7 +81,7 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What all documents keep when words of windows seen in a smaller document are removed."""
     docs = read_table(spark, sf_dir, "documents")
-    lost, _ = substrings.removals(docs, "doc_id", "text")
+    lost = substrings.removals(docs, "doc_id", "text")
     whole = docs.select(F.col("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
         _whole_texts, "doc_id long, digest binary, n_words long, whole_sha256 string")
     lost = lost.select(F.col("id").alias("doc_id"), "digest", "n_removed", F.sha2("kept", 256).alias("cut_sha256"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import fresh_names, materialise
+from ordertide.llm.common import drop_tables, fresh_names, materialise
 from ordertide.llm.near_dedup import WordHasher, shingles
 from ordertide.llm.words import spaced_words
 
@@ -308,11 +308,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["id", "digest", "n_removed", "kept"])
 
 
-def removals(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """The documents that lose words, and all documents' identities.
+def removals(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The documents that lose words: (id, digest, n_removed, kept), ``kept`` the words left as bytes.
 
-    First (id, digest, n_removed, kept), ``kept`` the words left as bytes; then (id, digest, n_words) of each row with
-    an id. ``digest`` tells texts under one id apart, see ``digest_of``. Ids must be whole numbers.
+    ``digest`` tells texts under one id apart, see ``digest_of``. Ids must be whole numbers.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text")).where("id IS NOT NULL")
     seen = materialise(rows.mapInArrow(_digested, "id long, digest binary, n_words long"), "repeats-digests")
@@ -332,7 +331,7 @@ def removals(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
     source = known.select("id", "version", "packed", "anchors")
     stretches = source.mapInArrow(_stretches(True), _STRETCH + ", content binary")
     groups = stretches.groupBy("anchor", "mark", "content").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    lows = materialise(_decided(groups), "repeats-lows")
+    lows = _decided(groups)
     found = source.mapInArrow(_stretches(False), _STRETCH).join(lows, ["anchor", "mark"])
     found = found.where(F.exists("lows", lambda low: low < F.col("id")))
     parts = found.groupBy("id", "version").agg(F.collect_list(F.struct("start", "lows")).alias("parts"))
@@ -340,7 +339,9 @@ def removals(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame
     cut = cut.mapInArrow(_cut, "id long, digest binary, n_removed long, kept binary")
     copies = texts.where(f"low < id AND n_words >= {WINDOW}").select(
         "id", "digest", F.col("n_words").alias("n_removed"), F.lit(b"").alias("kept"))
-    return cut.unionByName(copies), seen
+    out = materialise(cut.unionByName(copies), "repeats-removed")
+    drop_tables(docs.sparkSession, seen, texts, known, lows)
+    return out
 
 
 def _decided(groups: DataFrame) -> DataFrame:
@@ -350,7 +351,7 @@ def _decided(groups: DataFrame) -> DataFrame:
     large = materialise(large, "repeats-large")
     columns = ["anchor", "mark", "content", "low", "high"]
     if large.isEmpty():
-        return _grouped(groups.select(*columns))
+        return _written(_grouped(groups.select(*columns)), groups)
     small = groups.join(large, "anchor", "left_anti").select(*columns)
     windows = groups.join(large, "anchor", "left_semi").select(*columns).mapInArrow(
         _windows, "anchor long, mark long, s int, words binary, low long, high long")
@@ -359,7 +360,14 @@ def _decided(groups: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("s", "least"))).alias("lows"), F.max("high").alias("high"))
     lows = lows.select("anchor", "mark", F.col("lows.least").alias("lows"), "high")
     lows = lows.where(F.exists("lows", lambda low: low < F.col("high"))).drop("high")
-    return _grouped(small).unionByName(lows)
+    return _written(_grouped(small).unionByName(lows), groups)
+
+
+def _written(lows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``lows`` as a table; the groups' words are not needed any more."""
+    lows = materialise(lows, "repeats-lows")
+    drop_tables(lows.sparkSession, groups)
+    return lows
 
 
 def _grouped(groups: DataFrame) -> DataFrame:
@@ -369,7 +377,7 @@ def _grouped(groups: DataFrame) -> DataFrame:
 
 def cleaned(docs: DataFrame, key: str, text: str, length: str | None = None) -> DataFrame:
     """``docs`` with all columns, repeated words taken out of ``text``; ``length``, if named, is its new length."""
-    lost, _ = removals(docs, key, text)
+    lost = removals(docs, key, text)
     columns = docs.columns
     own, id_, digest, kept = fresh_names(columns, "own_digest", "lost_id", "lost_digest", "kept")
     lost = lost.select(F.col("id").alias(id_), F.col("digest").alias(digest), F.col("kept").cast("string").alias(kept))

@@ -39,7 +39,7 @@ RIDGE = 3e-5
 FAIRNESS = 1.0
 ROUNDS = 1000
 RATE = 0.1
-CACHED_WORDS = 300_000
+CACHED_WORDS = 100_000
 #: Terms of one list name groups of one kind.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
     ("women", "men", "girls", "boys", "frauen", "männer", "femmes", "hommes", "mujeres", "hombres"),
