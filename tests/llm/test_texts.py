@@ -134,6 +134,34 @@ def test_banded_alignment_is_exact_from_the_threshold_on():
         assert found == pytest.approx(exact) if exact >= 0.8 else found <= exact + 1e-9
 
 
+def test_alignment_of_repeated_shingles_is_exact():
+    rng = random.Random(6)
+    for kinds in (1, 2, 5, 30):
+        for _ in range(150):
+            a = [rng.randrange(kinds) for _ in range(rng.randint(1, 150))]
+            b = a[rng.choice([0, 0, 1, 5]):] or [0]
+            for _ in range(rng.randint(0, 8)):
+                at = rng.randrange(len(b))
+                b[at:at + 1] = rng.choice([[], [1000], [*b[at:at + 1], rng.randrange(kinds)]])
+                b = b or [0]
+            m = _lcs(a, b)
+            exact = m / (len(a) + len(b) - m)
+            found = near_dedup.similarity(np.array(a, np.uint64), np.array(b, np.uint64))
+            assert found == pytest.approx(exact) if exact >= 0.8 else found <= exact + 1e-9
+
+
+def _paged(rng, pages):
+    header = [f"h{i}" for i in range(20)]
+    return [header + [f"own{rng.randrange(10**6)}" for _ in range(80)] for _ in range(pages)]
+
+
+def test_text_without_its_first_header_is_a_near_duplicate(spark):
+    whole = [w for page in _paged(random.Random(7), 20) for w in page]
+    texts = [" ".join(whole), " ".join(whole[20:]), " ".join(w for p in _paged(random.Random(8), 20) for w in p)]
+    df = spark.createDataFrame(list(enumerate(texts)), "d long, t string")
+    assert {r["id"]: r["class"] for r in near_dedup.classes(df, "d", "t").collect()} == {0: 0, 1: 0, 2: 2}
+
+
 def test_near_duplicates_as_by_brute_force(spark):
     rng = random.Random(4)
     base = _texts(rng, 12, 60, 120)
