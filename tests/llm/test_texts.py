@@ -162,6 +162,20 @@ def test_text_without_its_first_header_is_a_near_duplicate(spark):
     assert {r["id"]: r["class"] for r in near_dedup.classes(df, "d", "t").collect()} == {0: 0, 1: 0, 2: 2}
 
 
+def test_short_texts_are_all_compared(spark):
+    rng = random.Random(9)
+    texts = []
+    for i in range(150):
+        words = [f"s{i}x{j}" for j in range(rng.choice([8, 9, 10, 14, 19, 44]))]
+        more = max(1, int((len(words) - 4) / 0.8 + 1e-9) - (len(words) - 4))
+        texts += [words, rng.choice([[*words, *"abcdefghijkl"[:more]], [*"abcdefghijkl"[:more], *words]])]
+    hasher = near_dedup.WordHasher()
+    seq = [near_dedup.shingles(hasher([w.encode() for w in x])) for x in texts]
+    assert all(near_dedup.similarity(a, b) >= 0.8 for a, b in zip(seq[::2], seq[1::2]))
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "d long, t string")
+    assert {r["id"]: r["class"] for r in near_dedup.classes(df, "d", "t").collect()} == {i: i - i % 2 for i in range(300)}
+
+
 def test_near_duplicates_as_by_brute_force(spark):
     rng = random.Random(4)
     base = _texts(rng, 12, 60, 120)
