@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import fresh_names, materialise
+from ordertide.llm.common import drop_tables, fresh_names, materialise
 
 HASH_BITS = 60
 BITS = 12
@@ -55,11 +55,19 @@ def shards(df: DataFrame, key: str, payload: str, limit: int) -> DataFrame:
     ``shard`` is the bucket's hash prefix in bits, so a directory lookup is a prefix test; overflow pages
     append ``-task-page``. The bytes of ``payload`` in a shard never exceed ``limit`` except in oversize rows.
     """
-    rows = materialise(df.select(
+    return _placed(df.select(*_sized(key, payload)), limit)
+
+
+def _sized(key: str, payload: str) -> list[Column]:
+    return [
         F.col(key).alias("key"), F.coalesce(F.octet_length(payload), F.lit(0)).cast("long").alias("bytes"),
         key_hash(F.col(key)).alias("hash"),
-    ), "shard-rows")
-    done, base = [], 0
+    ]
+
+
+def _placed(rows: DataFrame, limit: int, *own: str) -> DataFrame:
+    """The shard of each of ``rows`` (key, bytes, hash), with their columns ``own``."""
+    rows, done, base = materialise(rows, "shard-rows"), [], 0
     while base < HASH_BITS:
         found = materialise(_directory(rows, base, limit), "shard-directory")
         deep = min(base + BITS, HASH_BITS)
@@ -67,16 +75,16 @@ def shards(df: DataFrame, key: str, payload: str, limit: int) -> DataFrame:
         here = at.join(found.where("depth IS NOT NULL"), "cell")
         done.append(here.select(
             "key", "bytes", _prefix_text(F.col("prefix"), F.col("depth")).alias("shard"), "depth", "shard_rows",
-            "shard_bytes", F.lit(False).alias("oversize")))
+            "shard_bytes", F.lit(False).alias("oversize"), *own))
         open_cells = found.where("depth IS NULL").select("cell")
         if open_cells.isEmpty():
             return reduce(DataFrame.unionByName, done)
         rows = materialise(at.join(open_cells, "cell", "left_semi").drop("cell"), "shard-rows")
         base = deep
-    return reduce(DataFrame.unionByName, [*done, _overflow(rows, limit)])
+    return reduce(DataFrame.unionByName, [*done, _overflow(rows, limit, *own)])
 
 
-def _overflow(rows: DataFrame, limit: int) -> DataFrame:
+def _overflow(rows: DataFrame, limit: int, *own: str) -> DataFrame:
     """Pages for rows whose full hash does not fit a shard.
 
     Bytes run on within one hash and input task only, so a frequent key is spread over as many pages as tasks.
@@ -93,19 +101,21 @@ def _overflow(rows: DataFrame, limit: int) -> DataFrame:
     name = F.concat_ws("-", _prefix_text(F.col("hash"), F.lit(HASH_BITS)), "task", "page")
     return rows.join(sums, ["hash", "task", "page"]).select(
         "key", "bytes", name.alias("shard"), F.lit(HASH_BITS).alias("depth"), "shard_rows", "shard_bytes",
-        (F.col("shard_bytes") > limit).alias("oversize"))
+        (F.col("shard_bytes") > limit).alias("oversize"), *own)
 
 
 def write_shards(df: DataFrame, key: str, payload: str, limit: int, path: str) -> DataFrame:
-    """Write the rows of ``df`` with non-NULL keys, one folder per shard, and return the assignment.
+    """Write the rows of ``df``, one folder per shard, and return the assignment.
 
-    A folder is named ``s`` and the shard's bits, which readers cannot mistake for a number. Equal keys of equal
-    size go to one shard.
+    A folder is named ``s`` and the shard's bits, which readers cannot mistake for a number. Rows are numbered and
+    written first, so each goes to the shard that it was given itself, rows of repeated and of NULL keys too.
     """
-    placed = materialise(shards(df, key, payload, limit), "shard-placed")
-    size, shard = fresh_names(df.columns, "size", "shard")
-    assigned = placed.groupBy(F.col("key").alias(key), F.col("bytes").alias(size)).agg(F.min(F.concat(F.lit("s"), "shard")).alias(shard))
-    sized = df.withColumn(size, F.coalesce(F.octet_length(payload), F.lit(0)).cast("long"))
-    out = sized.join(assigned, [key, size]).drop(size)
+    number, shard = fresh_names(df.columns, "number", "shard")
+    numbered = materialise(df.withColumn(number, F.monotonically_increasing_id()), "shard-input")
+    rows = numbered.select(*_sized(key, payload), F.col(number).alias("number"))
+    placed = materialise(_placed(rows, limit, "number"), "shard-placed")
+    assigned = placed.select(F.col("number").alias(number), F.concat(F.lit("s"), "shard").alias(shard))
+    out = numbered.join(assigned, number).drop(number)
     out.repartition(shard).write.partitionBy(shard).parquet(path)
-    return placed
+    drop_tables(df.sparkSession, numbered)
+    return placed.select(*COLUMNS)

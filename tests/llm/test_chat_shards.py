@@ -89,3 +89,15 @@ def test_shards_are_written(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 200 and back.select("shard").distinct().count() == 1
     assert back.groupBy("shard_").count().agg(F.max("count")).first()[0] <= 20
+
+
+def test_written_shards_hold_what_was_assigned(spark, tmp_path):
+    rows = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(-1).alias("k"), F.lit("x" * 10).alias("t"))
+    rows = rows.union(spark.range(40).select(F.lit(None).cast("long"), F.lit("y" * 10)))
+    placed = shards.write_shards(rows, "k", "t", 100, str(tmp_path / "out"))
+    assert placed.columns == list(shards.COLUMNS)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    found = {r["shard"]: (r["n"], r["b"]) for r in back.groupBy("shard").agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("b")).collect()}
+    assert found == {"s" + r["shard"]: (r["shard_rows"], r["shard_bytes"]) for r in placed.distinct().collect()}
+    assert back.count() == 340 and back.where("k IS NULL").count() == 40 and back.where("k = -1").count() == 100
+    assert max(b for _, b in found.values()) <= 100
