@@ -23,6 +23,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +74,15 @@ def counterfactuals(sentence: bytes, groups: Sequence[Sequence[str]], turn: int)
         yield words, words | {group[turn // len(groups) % len(group)].lower().encode()}
 
 
+def swaps_of(text: bytes | None, groups: Sequence[Sequence[str]]) -> Iterator[tuple[frozenset[bytes], frozenset[bytes]]]:
+    """The words that go and those that come in each counterfactual of each sentence of ``text``."""
+    turn = crc32(text or b"")  # texts begin with different terms, wherever they are read
+    for sentence in _SENTENCE.split(text or b""):
+        for one, two in counterfactuals(sentence, groups, turn):
+            yield frozenset(one - two), frozenset(two - one)
+            turn += 1
+
+
 @dataclass(frozen=True)
 class Model:
     """A bias, and the weights of the features that were kept: no more than the sample's, so bounded with it."""
@@ -140,14 +150,11 @@ def fit(
         return Model(start, {})
     at = {f: i for i, f in enumerate(names)}
     row, col = _matrix(map(features_of, texts), at)
-    own, other = [], []
-    for text in texts:
-        for sentence in _SENTENCE.split(text or b""):
-            if len(own) < 4 * len(texts):
-                for one, two in counterfactuals(sentence, groups, len(own)):
-                    own.append({f for w in one - two for f in word_features(w) if f in at})
-                    other.append({f for w in two - one for f in word_features(w) if f in at})
-    pairs = len(own)
+    swaps = Counter(swap for text in texts for swap in swaps_of(text, groups))
+    # The score is linear in the features, so pairs that swap the same words count as one with their number.
+    own = [{f for w in gone for f in word_features(w)} for gone, _ in swaps]
+    other = [{f for w in come for f in word_features(w)} for _, come in swaps]
+    times, pairs = np.array(list(swaps.values()), float), sum(swaps.values())
     (gone_row, gone), (come_row, come) = _matrix(own, at), _matrix(other, at)
     size, bias, w = len(names), start, np.zeros(len(names))
     first, second = np.zeros(size + 1), np.zeros(size + 1)
@@ -156,7 +163,7 @@ def fit(
         error = (1 / (1 + np.exp(-z)) - y) / len(y)
         gradient = np.bincount(col, error[row], size) + ridge * w
         if pairs:
-            change = np.bincount(come_row, w[come], pairs) - np.bincount(gone_row, w[gone], pairs)
+            change = times * (np.bincount(come_row, w[come], len(times)) - np.bincount(gone_row, w[gone], len(times)))
             pull = np.bincount(come, change[come_row], size) - np.bincount(gone, change[gone_row], size)
             gradient += 2 * fairness / pairs * pull
         gradient = np.append(gradient, error.sum())

@@ -45,6 +45,14 @@ def test_group_terms_get_no_weight():
     assert fair.scores([b"p3 vilest p4"], {})[0] > 0.5 > fair.scores([neutral], {})[0]
 
 
+def test_every_sentence_of_the_sample_is_swapped(monkeypatch):
+    seen, swap = [], toxicity.counterfactuals
+    monkeypatch.setattr(toxicity, "counterfactuals", lambda sentence, *rest: seen.append(sentence) or swap(sentence, *rest))
+    rows = [(b"plain words. " * 100, i % 2) for i in range(20)] + [(b"muslims here." if y else b"others here.", y) for y in [1, 0] * 20]
+    toxicity.fit([t for t, _ in rows], [y for _, y in rows])
+    assert seen.count(b"muslims here") == 20
+
+
 def test_scores_of_odd_texts_and_samples(spark):
     for labels in ([], [1], [0, 0]):
         model = toxicity.fit([b"a b"] * len(labels), labels)
