@@ -7,7 +7,7 @@ turn adds a shallow tree's steps, fitted to the remaining error, to one table; t
 most of what is left are boosted alike. Scoring adds looked-up entries, for a whole batch of texts at once.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled texts of each class, the first by a hash of
-their id. Features and scores are computed in one pass over whole texts, without a shuffle.
+their id, described on the executors. Features and scores are computed in one pass over whole texts, without a shuffle.
 
 Defined results: NULL and empty texts have all-zero features and a score like others; NULL labels and labels whose id
 is NULL are not used; of repeated labels of one id the highest counts; with no labels, or only one class, scores are
@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.toxicity import sample
+from ordertide.llm.common import drop_tables
+from ordertide.llm.toxicity import collected, sample
 
 SAMPLE = 8000
 BINS, PAIR_BINS = 32, 8
@@ -171,9 +172,18 @@ def fit(features: np.ndarray, labels: Sequence[int]) -> Model:
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn: Column,
           per_class: int = SAMPLE) -> Model:
     """The model for ``label``."""
-    texts, classes = sample(docs, labels, key, text, label, learn, per_class)
-    features = np.stack([describe(t) for t in texts]) if texts else np.zeros((0, len(FEATURES)))
-    return fit(features, classes)
+    rows = sample(docs, labels, key, text, label, learn, per_class)
+    table = collected(rows.mapInArrow(_described, "hash long, digest string, label int, features array<double>"))
+    drop_tables(docs.sparkSession, rows)
+    features = np.array(table["features"].to_pylist(), float).reshape(-1, len(FEATURES))
+    return fit(features, table["label"].to_pylist())
+
+
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A sample with its texts' features in place of the texts."""
+    for batch in batches:
+        features = pa.array([describe(t.as_py()) for t in batch.column(3)], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], features], names=["hash", "digest", "label", "features"])
 
 
 def scored(docs: DataFrame, key: str, text: str, model: Model) -> DataFrame:

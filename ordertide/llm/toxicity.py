@@ -8,7 +8,8 @@ one at its end; the squared difference between the two scores is penalised. So g
 their own, whatever texts they happened to occur in, and neutral mentions are not rejected.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled texts of each class, the first by a hash of
-their id. Scoring is one pass over all texts, with a cache of word features, and no shuffle.
+their id. Features are counted and numbered on the executors, and the driver gets the numbers of the kept ones only.
+Scoring is one pass over all texts, with a cache of word features, and no shuffle.
 
 Defined results: NULL and empty texts have no words and get the bias' score; NULL labels and labels whose id is NULL
 are not used; of repeated labels of one id the highest counts; with no labels, or only one class, scores are the
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import chain
 from zlib import crc32
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordertide.llm.common import drop_tables, materialise
 from ordertide.llm.words import plain_words
 
 SAMPLE = 4000
@@ -113,6 +115,14 @@ def features_of(text: bytes | None) -> set[bytes]:
     return {f for w in set(plain_words(text)) for f in word_features(w)}
 
 
+def is_clear(total: np.ndarray, toxic: np.ndarray, rows: int, ones: int) -> np.ndarray:
+    """Whether features of ``total`` texts, ``toxic`` of class 1, have shares ``CLEAR`` standard errors apart."""
+    zeros = rows - ones
+    share = np.clip(total / rows, 1e-9, 1 - 1e-9)
+    apart = np.abs(toxic / ones - (total - toxic) / zeros) / np.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
+    return (total >= LEAST) & (apart >= CLEAR)
+
+
 def clear_features(texts: Sequence[bytes | None], labels: np.ndarray) -> list[bytes]:
     """Features of at least ``LEAST`` texts whose shares in the classes differ by ``CLEAR`` standard errors."""
     total, toxic = Counter(), Counter()
@@ -121,17 +131,18 @@ def clear_features(texts: Sequence[bytes | None], labels: np.ndarray) -> list[by
         total.update(own)
         if label:
             toxic.update(own)
-    names = [f for f, n in total.items() if n >= LEAST]
+    names = list(total)
     n, n1 = np.array([total[f] for f in names], float), np.array([toxic[f] for f in names], float)
-    ones, zeros = labels.sum(), len(labels) - labels.sum()
-    share = np.clip(n / len(labels), 1e-9, 1 - 1e-9)
-    apart = np.abs(n1 / ones - (n - n1) / zeros) / np.sqrt(share * (1 - share) * (1 / ones + 1 / zeros))
-    return sorted(f for f, z in zip(names, apart) if z >= CLEAR)
+    return sorted(f for f, clear in zip(names, is_clear(n, n1, len(labels), labels.sum())) if clear)
+
+
+def _places(rows: Iterable[set[bytes]], at: dict[bytes, int]) -> list[list[int]]:
+    """The numbers of the features that are in ``at``, of each row."""
+    return [[at[f] for f in own if f in at] for own in rows]
 
 
-def _matrix(rows: Iterable[set[bytes]], at: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the features that are in ``at``."""
-    found = [[at[f] for f in own if f in at] for own in rows]
+def _matrix(found: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column numbers."""
     return np.repeat(np.arange(len(found)), [len(x) for x in found]), np.array([x for y in found for x in y], np.int64)
 
 
@@ -141,21 +152,34 @@ def fit(
 ) -> Model:
     """The model for a bounded sample of labelled texts."""
     y = np.asarray(labels, float)
-    share = min(max(y.mean() if len(y) else 0.5, 1e-3), 1 - 1e-3)
-    start = float(np.log(share / (1 - share)))
     if len(set(labels)) < 2:
-        return Model(start, {})
+        return Model(_start(y), {})
     names = clear_features(texts, y)
+    places = _places(map(features_of, texts), {f: i for i, f in enumerate(names)})
+    swaps = Counter(swap for text in texts for swap in swaps_of(text, groups))
+    return _solved(y, names, places, swaps, fairness, ridge)
+
+
+def _start(y: np.ndarray) -> float:
+    share = min(max(y.mean() if len(y) else 0.5, 1e-3), 1 - 1e-3)
+    return float(np.log(share / (1 - share)))
+
+
+def _solved(
+    y: np.ndarray, names: list[bytes], places: Sequence[Sequence[int]],
+    swaps: dict[tuple[frozenset[bytes], frozenset[bytes]], int], fairness: float, ridge: float,
+) -> Model:
+    """The model for texts with classes ``y`` that have the features ``places`` of ``names``."""
+    start = _start(y)
     if not names:
         return Model(start, {})
     at = {f: i for i, f in enumerate(names)}
-    row, col = _matrix(map(features_of, texts), at)
-    swaps = Counter(swap for text in texts for swap in swaps_of(text, groups))
+    row, col = _matrix(places)
     # The score is linear in the features, so pairs that swap the same words count as one with their number.
     own = [{f for w in gone for f in word_features(w)} for gone, _ in swaps]
     other = [{f for w in come for f in word_features(w)} for _, come in swaps]
     times, pairs = np.array(list(swaps.values()), float), sum(swaps.values())
-    (gone_row, gone), (come_row, come) = _matrix(own, at), _matrix(other, at)
+    (gone_row, gone), (come_row, come) = _matrix(_places(own, at)), _matrix(_places(other, at))
     size, bias, w = len(names), start, np.zeros(len(names))
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, ROUNDS + 1):
@@ -175,25 +199,101 @@ def fit(
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn: Column,
-           per_class: int) -> tuple[list[bytes | None], list[int]]:
-    """At most ``per_class`` labelled texts of each class, the first by a hash of their id.
+           per_class: int) -> DataFrame:
+    """(hash, digest, label, text) of at most ``per_class`` labelled texts of each class, the first by a hash of their id.
 
-    ``learn``, on ``key``, says which rows may be learnt from. Ids are chosen before texts are read.
+    ``learn``, on ``key``, says which rows may be learnt from. Ids are chosen before texts are read, and texts are
+    written to the shared folder, so that what is learnt from them is computed there and texts never go to the driver.
     """
     usable = labels.where(learn & F.col(key).isNotNull() & F.col(label).isNotNull())
-    usable = usable.groupBy(F.col(key).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("_label"))
+    usable = usable.groupBy(F.col(key).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     order = F.xxhash64("_id")
-    parts = [usable.where(F.col("_label") == value).orderBy(order, "_id").limit(per_class) for value in (0, 1)]
+    parts = [usable.where(F.col("label") == value).orderBy(order, "_id").limit(per_class) for value in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # two times per_class ids at most
-    texts = docs.select(F.col(key).alias("_id"), F.col(text).cast("binary").alias("_text")).join(chosen, "_id")
-    rows = texts.orderBy(F.xxhash64("_id"), "_id", "_text").limit(2 * per_class).toPandas()
-    return [None if t is None else bytes(t) for t in rows["_text"]], [int(x) for x in rows["_label"]]
+    texts = docs.select(F.col(key).alias("_id"), F.col(text).cast("binary").alias("text")).join(chosen, "_id")
+    rows = materialise(texts.select(
+        F.xxhash64("_id").alias("hash"), F.md5("text").alias("digest"), "label", "text",
+        F.monotonically_increasing_id().alias("nr")), "sample")
+    # Ids of several rows could exceed the bound.
+    first = rows.select("hash", "digest", "nr").orderBy("hash", "digest", "nr").limit(2 * per_class).select("nr")
+    return rows.join(F.broadcast(first), "nr", "left_semi").select("hash", "digest", "label", "text")
+
+
+def collected(described: DataFrame) -> pa.Table:
+    """What was computed from each text of a sample, in the sample's order."""
+    return described.toArrow().sort_by([("hash", "ascending"), ("digest", "ascending")])
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, learn: Column,
           per_class: int = SAMPLE) -> Model:
     """The classifier for ``label``."""
-    return fit(*sample(docs, labels, key, text, label, learn, per_class))
+    rows = sample(docs, labels, key, text, label, learn, per_class)
+    n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not 0 < ones < n:
+        model = Model(_start(np.repeat([1.0, 0.0], [ones, n - ones])), {})
+    else:
+        names = _clear_names(rows, n, ones)
+        table = collected(rows.mapInArrow(_placing(names), "hash long, digest string, label int, places binary"))
+        places = [np.frombuffer(x.as_py(), np.int32) for x in table["places"]]
+        model = _solved(table["label"].to_numpy().astype(float), names, places, _counted_swaps(rows), FAIRNESS, RIDGE)
+    drop_tables(docs.sparkSession, rows)
+    return model
+
+
+def _clear_names(rows: DataFrame, n: int, ones: int) -> list[bytes]:
+    """``clear_features`` of a sample, counted where its texts are."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, toxic = Counter(), Counter()
+
+        def counts() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64()), pa.array([toxic[f] for f in total], pa.int64())],
+                names=["feature", "total", "toxic"])
+
+        for batch in batches:
+            for label, text in zip(batch.column(2).to_pylist(), batch.column(3)):
+                own = features_of(text.as_py())
+                total.update(own)
+                if label:
+                    toxic.update(own)
+                if len(total) > CACHED_WORDS:
+                    yield counts()
+                    total.clear()
+                    toxic.clear()
+        yield counts()
+
+    def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = is_clear(*(batch.column(i).to_numpy().astype(float) for i in (1, 2)), n, ones)
+            yield batch.select([0]).filter(pa.array(keep))
+
+    counts = rows.mapInArrow(counted, "feature binary, total long, toxic long").groupBy("feature")
+    counts = counts.agg(F.sum("total").alias("total"), F.sum("toxic").alias("toxic")).where(F.col("total") >= LEAST)
+    return sorted(bytes(r["feature"]) for r in counts.mapInArrow(clear, "feature binary").collect())
+
+
+def _placing(names: list[bytes]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {f: i for i, f in enumerate(names)}
+        for batch in batches:
+            found = [np.array(sorted(_places([features_of(t.as_py())], at)[0]), np.int32).tobytes() for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(found, pa.binary())], names=["hash", "digest", "label", "places"])
+
+    return placed
+
+
+def _counted_swaps(rows: DataFrame) -> Counter[tuple[frozenset[bytes], frozenset[bytes]]]:
+    """How often each swap is made in a sample; there are no more than pairs of terms."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Counter(swap for b in batches for t in b.column(3) for swap in swaps_of(t.as_py(), IDENTITY_TERMS))
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array([sorted(swap[i]) for swap in found], pa.list_(pa.binary())) for i in (0, 1)], pa.array(list(found.values()), pa.int64())],
+            names=["gone", "come", "times"])
+
+    parts = rows.mapInArrow(counted, "gone array<binary>, come array<binary>, times long")
+    sums = parts.groupBy("gone", "come").agg(F.sum("times").alias("times")).orderBy("gone", "come").collect()
+    return Counter({(frozenset(map(bytes, r["gone"])), frozenset(map(bytes, r["come"]))): r["times"] for r in sums})
 
 
 def scored(docs: DataFrame, key: str, text: str, model: Model) -> DataFrame:

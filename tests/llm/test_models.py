@@ -1,8 +1,10 @@
 """Classifiers: held-out accuracy, the counterfactual penalty and the edge cases."""
 
+import os
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ordertide.llm import gam, queries, toxicity
@@ -53,6 +55,26 @@ def test_every_sentence_of_the_sample_is_swapped(monkeypatch):
     assert seen.count(b"muslims here") == 20
 
 
+def test_samples_are_described_on_the_executors(spark, monkeypatch):
+    driver = os.getpid()
+
+    def away(function):
+        def watched(*args):
+            assert os.getpid() != driver
+            return function(*args)
+        return watched
+
+    rows = _sentences(random.Random(3), 300)
+    want = toxicity.fit([t for t, _ in rows], [y for _, y in rows])
+    docs = spark.createDataFrame([(i, t.decode(), y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+    monkeypatch.setattr(toxicity, "features_of", away(toxicity.features_of))
+    monkeypatch.setattr(gam, "describe", away(gam.describe))
+    model = toxicity.train(docs, docs, "doc_id", "text", "toxic", F.lit(True))
+    assert model.weights.keys() == want.weights.keys()
+    assert all(model.weights[f] == pytest.approx(want.weights[f], abs=0.1) for f in want.weights)
+    assert len(gam.train(docs, docs, "doc_id", "text", "toxic", F.lit(True)).pairs) == gam.PAIRS
+
+
 def test_scores_of_odd_texts_and_samples(spark):
     for labels in ([], [1], [0, 0]):
         model = toxicity.fit([b"a b"] * len(labels), labels)
