@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ordertide.llm.common import drop_tables, materialise
 from ordertide.llm.words import plain_words
 
-SAMPLE = 4000
+SAMPLE = 5000
 STEMS = (4, 5)
 CLEAR = 5.0  # standard errors between the classes' shares of a feature
 LEAST = 6  # texts of the sample that have a feature

@@ -99,3 +99,7 @@ def test_shallow_trees_and_pairs_learn_what_neither_feature_shows():
     model = gam.fit(x, y)
     assert ((model.scores(x) > 0.5) == y).mean() > 0.95
     assert {(a, b) for a, b, _ in model.pairs} >= {(0, 1)}
+
+
+def test_toxicity_sample_is_whole():
+    assert toxicity.SAMPLE == 5000
