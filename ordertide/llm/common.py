@@ -19,10 +19,12 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it.
 
-    Only where the session names none (local runs and tests) a new folder is made, and named in the session.
+    Only where a local session names none (local runs and tests) a new folder is made, and named in the session.
     """
     found = spark.conf.get(CHECKPOINT_DIR, None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         found = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
         spark.conf.set(CHECKPOINT_DIR, found)
     return found.rstrip("/")
