@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import materialise
+from ordertide.llm.common import drop_tables, materialise
 from ordertide.llm.words import plain_words
 
 WINDOW = 10
@@ -152,10 +152,15 @@ def contamination(
 def clean_rows(docs: DataFrame, items: DataFrame, item_key: str, item_text: str, text: str = "text",
                window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, in which no item window occurs."""
-    out = docs
+    out, waiting, last = docs, None, None
     for block in item_blocks(items, item_key, item_text, block_bytes):
-        out = _without(out, pattern_tables(block, window), text)
-    return out
+        if waiting is not None:
+            out = materialise(_without(out, waiting, text), "decontaminate")
+            if last is not None:
+                drop_tables(docs.sparkSession, last)
+            last = out
+        waiting = pattern_tables(block, window)
+    return out if waiting is None else _without(out, waiting, text)
 
 
 def _without(docs: DataFrame, patterns: list[PatternTable], text: str) -> DataFrame:

@@ -212,3 +212,11 @@ def test_components_of_long_chains(spark):
     links = spark.range(49).select((F.col("id") + 1).alias("a"), F.col("id").alias("b"))
     got = {r["id"]: r["class"] for r in near_dedup.components(members, links).collect()}
     assert got == {i: 0 if i < 50 else i for i in range(60)}
+
+
+def test_clean_rows_searches_one_block_at_a_time(spark):
+    docs = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(6)], "d long, text string")
+    bench = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(4)], "i long, t string").coalesce(1)
+    out = decontaminate.clean_rows(docs, bench, "i", "t", block_bytes=1)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted(r["d"] for r in out.collect()) == [4, 5]
