@@ -25,11 +25,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return SF
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows(df):
-    return sorted((tuple(row) for row in df.collect()), key=repr)

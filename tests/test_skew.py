@@ -1,7 +1,7 @@
 """Frequent and missing keys, broadcast and shuffled sides, forced on small rows."""
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from ordertide.operators import (

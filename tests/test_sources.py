@@ -5,7 +5,7 @@ import tempfile
 from datetime import date
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from ordertide.operators import publish_view

@@ -5,7 +5,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import plan
+from helpers import plan
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
