@@ -110,6 +110,30 @@ WITH codes AS (
 SELECT query_id, rank, neighbour_id, distance FROM ranked WHERE rank <= 10
 """
 
+SEARCH = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), totals AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM docs WHERE len(w) > 0),
+wanted AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(w) AS term FROM items) GROUP BY ALL),
+held AS (
+  SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held CROSS JOIN totals GROUP BY term
+), scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN held USING (term) CROSS JOIN totals GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE = {
     "op1_chat_formatting": CHATS,
     "op2_decontamination": DECONTAMINATION,
@@ -117,4 +141,5 @@ ORACLE = {
     "op5_warc_fixity": FIXITY,
     "op6_substring_dedup": REPEATS,
     "op10_hamming_search": HAMMING,
+    "op11_lexical_search": SEARCH,
 }

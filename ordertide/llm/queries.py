@@ -5,12 +5,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm import chat, decontaminate, gam, hamming, near_dedup, packing, shards, substrings, toxicity, warc
-from ordertide.llm.common import read_table
+from ordertide.llm import (
+    alignment, chat, decontaminate, gam, hamming, near_dedup, packing, ranked_search, shards, substrings, toxicity, transducer, warc,
+)
+from ordertide.llm.common import drop_tables, read_table
 from ordertide.llm.words import spaced_words
 
 SHARD_BYTES = 2**20
@@ -18,6 +21,8 @@ WARC_RECORDS = 1000
 NEIGHBOURS = 10
 TOXIC_FROM, QUALITY_FROM = 0.3, 0.5
 TOKENIZER, END_TOKEN = "word_bpe_49k.json", 1
+BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
+MOST_TOKENS, RANKED = 1024, 10
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -160,6 +165,57 @@ def hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.top_k(codes, codes.where(F.col("id") % 20 == 0), NEIGHBOURS)
 
 
+def lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for each benchmark item."""
+    index = ranked_search.build_index(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    found = ranked_search.search(index, read_table(spark, sf_dir, "benchmark"), "item_id", "text", RANKED)
+    if index:
+        drop_tables(spark, index.postings)
+    return found.withColumnRenamed("id", "item_id")
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents."""
+    import public_tokenizers
+
+    counts = transducer.token_counts(read_table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path(BYTE_TOKENIZER))
+    return counts.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > MOST_TOKENS).alias("over_limit"))
+
+
+class GroupsDigest:
+    """The SHA-256 of a text's groups, written as ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
+
+    def __init__(self) -> None:
+        self.texts: list[str] = []
+
+    def __call__(self, found: alignment.Aligned) -> str:
+        if not len(found.a):
+            return ""
+        # Each id is written with what follows it: tokens of A and B alternate group by group.
+        size = int(max(found.a.max(), found.b.max())) + 1
+        if len(self.texts) < 3 * size:
+            self.texts = [f"{i}{mark}" for mark in ",|;" for i in range(size)]
+        width = len(self.texts) // 3
+        in_a, in_b = found.sizes()
+        marked_a, marked_b = found.a.copy(), found.b.copy()
+        marked_a[found.a_cut - 1] += width
+        marked_b[found.b_cut - 1] += 2 * width
+        parts = np.empty(len(found.a) + len(found.b), np.int64)
+        parts[np.arange(len(found.a)) + np.repeat(found.b_cut - in_b, in_a)] = marked_a
+        parts[np.arange(len(found.b)) + np.repeat(found.a_cut, in_b)] = marked_b
+        return hashlib.sha256("".join(map(self.texts.__getitem__, parts.tolist()))[:-1].encode()).hexdigest()
+
+
+def cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers align in all documents."""
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in (BYTE_TOKENIZER, PIECE_TOKENIZER)]
+    found = alignment.scored(read_table(spark, sf_dir, "documents"), "doc_id", "text", *paths, GroupsDigest())
+    return found.select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("description").alias("groups_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat_formatting,
     "op2_decontamination": decontamination,
@@ -171,4 +227,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality_scores,
     "op9_vector_packing": vector_packing,
     "op10_hamming_search": hamming_search,
+    "op11_lexical_search": lexical_search,
+    "op12_token_counts": token_counts,
+    "op13_cross_alignment": cross_alignment,
 }
