@@ -7,13 +7,14 @@ from functools import wraps
 from ordertide.session import tune
 
 from . import (
-    operator_oracle, operator_queries, status_oracle, status_queries, timeline_oracle, timeline_queries,
+    intake_oracle, intake_queries, operator_oracle, operator_queries, status_oracle, status_queries, timeline_oracle, timeline_queries,
 )
 
 _MODULES = (
     (operator_queries.QUERIES, operator_oracle.ORACLE),
     (status_queries.QUERIES, status_oracle.ORACLE),
     (timeline_queries.QUERIES, timeline_oracle.ORACLE),
+    (intake_queries.QUERIES, intake_oracle.ORACLE),
 )
 
 

@@ -192,7 +192,17 @@ def _group(prefix: str, key: str) -> str:
 
 
 _MAX_QC = "max(quality_control_date) OVER (PARTITION BY batch_id)"
-GROUPS = LOOKUPS + f""",
+#: When forwarder, supply manager and supplier have released the shipment's telex, by the test tables' shipment number.
+_RELEASES = (
+    "coalesce(sh.n % 2 = 0 AND sh.n % 3 = 0, FALSE) OR coalesce(sh.n % 7 = 1, FALSE)",
+    "coalesce(sh.n % 2 = 0 AND sh.n % 4 = 0, FALSE)", "coalesce(sh.n % 5 = 1, FALSE)",
+)
+
+
+def groups(lookups: str, ships: str, number: str, releases: tuple[str, str, str]) -> str:
+    """Group statuses and what follows from them, after the looked-up lines ``l2``."""
+    ffw, manager, supplier = releases
+    return lookups + f""",
 l3 AS (
   SELECT l2.*, {_group('batch', 'batch_id')}, {_group('inb', 'shipment_number')},
     CASE WHEN batch_id IS NOT NULL AND bool_or(qc_pending = 'Yes') OVER (PARTITION BY batch_id) THEN 'Yes' ELSE qc_pending END AS batch_qc_pending,
@@ -202,15 +212,13 @@ l3 AS (
       WHEN bool_and(compliance_status = 'Approved') OVER (PARTITION BY batch_id) THEN 'Approved' ELSE 'Pending Approval' END AS group_compliance
   FROM l2),
 l4 AS (
-  SELECT l3.*, sh.n AS sn,
-    coalesce(sh.n % 2 = 0 AND sh.n % 3 = 0, FALSE) OR coalesce(sh.n % 7 = 1, FALSE) AS ffw_done,
-    coalesce(sh.n % 2 = 0 AND sh.n % 4 = 0, FALSE) AS sm_done, coalesce(sh.n % 5 = 1, FALSE) AS supplier_done,
+  SELECT l3.*, {number} AS sn, {ffw} AS ffw_done, {manager} AS sm_done, {supplier} AS supplier_done,
     CASE WHEN actual_pickup_date IS NOT NULL
         THEN CASE WHEN CAST(actual_pickup_date AS DATE) >= CAST({NOW} AS DATE) THEN 'Not Picked' ELSE 'Picked' END
       WHEN gate_in_date IS NOT NULL OR actual_shipping_date IS NOT NULL OR shipment_pickup_date IS NOT NULL
         OR actual_arrival_date IS NOT NULL OR actual_delivery_date IS NOT NULL
         OR shipment_status IN ('In Transit', 'Received', 'Partially Received') THEN 'Picked' ELSE 'Not Picked' END AS batch_pickup_status
-  FROM l3 LEFT JOIN {_SHIP} sh USING (shipment_number)),
+  FROM l3 LEFT JOIN {ships} sh USING (shipment_number)),
 l5 AS (
   SELECT *,
     CASE WHEN batch_pickup_status = 'Picked' THEN 'Booked' ELSE coalesce(batch_booking, 'Not Booked') END AS vp_booking_status,
@@ -234,6 +242,9 @@ l6 AS (
   SELECT l5.*, CASE WHEN team = 'CN->US' THEN coalesce('Priority ' || pr.n, 'Priority 3') ELSE 'Priority 3' END AS focus
   FROM l5 LEFT JOIN (SELECT 'AS' || (p_partkey % 300) AS asin, min(p_size % 2 + 1) AS n FROM part GROUP BY 1) pr USING (asin))"""
 
+
+GROUPS = groups(LOOKUPS, _SHIP, "sh.n", _RELEASES)
+
 _U = "batch_pickup_status <> 'Picked'"
 FLAGS = {
     "a": f"{_U} AND considered_anti_po = 'Yes'",
@@ -370,7 +381,17 @@ def _blocker_map() -> list[tuple]:
     return [(name, ("owner_1", "SM", "CM", "owner_2")[at % 4], ("owner_3", "IM")[at % 2]) for at, name in enumerate(names)]
 
 
-STAGE = GROUPS + f""",
+_TELEX_REMARKS = (
+    """CASE WHEN sn % 5 <> 0 THEN CASE WHEN sn % 2 = 0 THEN 'No Telex Blocker Mentioned' ELSE 'Supplier note' END
+       ELSE 'Not in Telex Sheet' END""",
+    """CASE WHEN sn % 7 <> 0 THEN CASE WHEN sn % 2 = 0 THEN 'No FFW Telex Blocker Mentioned' ELSE 'FFW note' END
+       ELSE 'Not in FFW Telex Sheet' END""",
+)
+
+
+def stage(grouped: str, remarks: tuple[str, str] = _TELEX_REMARKS) -> str:
+    """Stage, sub-stage, blocker and owner, after the grouped lines ``l6``."""
+    return grouped + f""",
 l7 AS (SELECT *, {_FLAG_COLUMNS} FROM l6),
 l8 AS (SELECT *, CASE WHEN flag_31 = 'Yes' THEN '{NAMES['31']}' {_CASES} END AS current_status FROM l7),
 l9 AS (SELECT *, {_BLOCKER} AS pickup_blocker FROM l8),
@@ -387,10 +408,7 @@ l12 AS (
   SELECT *, nullif(split_part(current_status, '.', 1), '') AS status_code,
     nullif(regexp_extract(sub_status, '^(\\d+[a-z]?)', 1), '') AS sub_code FROM l11),
 l13 AS (
-  SELECT *, CASE WHEN sub_code IN ('28a', '28b', '28d', '28e')
-      THEN CASE WHEN sn % 5 <> 0 THEN CASE WHEN sn % 2 = 0 THEN 'No Telex Blocker Mentioned' ELSE 'Supplier note' END ELSE 'Not in Telex Sheet' END
-      WHEN sn % 7 <> 0 THEN CASE WHEN sn % 2 = 0 THEN 'No FFW Telex Blocker Mentioned' ELSE 'FFW note' END
-      ELSE 'Not in FFW Telex Sheet' END AS l2_telex FROM l12),
+  SELECT *, CASE WHEN sub_code IN ('28a', '28b', '28d', '28e') THEN {remarks[0]} ELSE {remarks[1]} END AS l2_telex FROM l12),
 l14 AS (
   SELECT *, CASE WHEN pickup_blocker <> 'No' THEN pickup_blocker
     WHEN status_code = 'B' OR sub_code = '11a' THEN l2_compliance
@@ -419,6 +437,9 @@ l16 AS (
       ELSE 'Central Team' END AS final_team,
     coalesce('R' || upper(split_part(current_status, '.', 1)), '') AS reporting_status FROM l15)"""
 
+
+STAGE = stage(GROUPS)
+
 PUBLISHED = """id, associated_brands AS scm_associated_brands, incoterms, quantity_on_shipments, sm_line_signoff, date_created, document_number, po_vendor, supplier_confirmation_status, final_status,
   memo AS scm_po_scm_memo, marketplace AS marketplace_header, supplier_payment_terms, line_id, item, asin, quantity,
   quantity_received AS "quantity_fulfilled/received", first_prd, prd, planned_prd, confirmed_crd, quality_control_date,

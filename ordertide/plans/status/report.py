@@ -24,6 +24,8 @@ from .ladder import codes, current_stage, stage_flags, stage_rules, sub_stage
 from .ownership import add_pickup_blocker, l2_final, l2_telex, poc, responsibility, team_of
 
 LINE, DOCUMENT, ARTICLE = ["document_number", "item", "line_id"], ["document_number"], ["document_number", "item"]
+#: Hand-kept tables may name a line or an article by its visible id instead.
+VISIBLE = {"line_key": LINE, "article_key": ARTICLE}
 
 # What an unmatched line shows.
 DEFAULTS = {
@@ -87,7 +89,7 @@ def _one(tables: Mapping[str, DataFrame], name: str, keys: list[str]) -> DataFra
 def enrich(lines: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Line attributes and everything looked up for the line."""
     df = lines.withColumns({
-        "line_key": joined("document_number", "item", "line_id"), "mp": latam_group("marketplace"),
+        "line_key": joined(*LINE), "article_key": joined(*ARTICLE), "mp": latam_group("marketplace"),
         "vendor_id": first_word("po_vendor").try_cast("long"),
     })
     for step in (attr.add_pending, attr.add_prd_decision, attr.add_line_payment_type,
@@ -108,8 +110,11 @@ def enrich(lines: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
         (["batch_id"], ["batches", "packing_lists", "fob", "g4", "spd_blockers", "ffw_status", "ffw_blockers"], []),
     )
     for keys, names, prepared in by_key:
-        sides = [_one(tables, name, keys) for name in names] + prepared
-        df = lookup_many(df, keys, sides, DEFAULTS)
+        named = {name: next((v for v, whole in VISIBLE.items() if whole == keys and v in tables[name].columns), None) for name in names}
+        for on in (keys, *[[v] for v in VISIBLE]):
+            own = [name for name in names if ([named[name]] if named[name] else keys) == on]
+            sides = [_one(tables, name, on) for name in own] + (prepared if on is keys else [])
+            df = lookup_many(df, on, sides, DEFAULTS)
     own = F.when(F.col("line_payment_status") == "Paid", "Pay").otherwise(attr.NOT_IN_SHEET)
     return lookup(df, _one(tables, "payrun_invoices", ["invoice_number"]), "invoice_number",
                   {"line_payment_approval": "line_payment_approval"}, {"line_payment_approval": own})

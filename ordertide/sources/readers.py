@@ -82,10 +82,10 @@ def small_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> Data
     return spark.sql(f"SELECT {casts} FROM VALUES {values} AS rows({names})")
 
 
-def promote_header(df: DataFrame, order: str) -> DataFrame:
+def promote_header(df: DataFrame, order: str, keep_order: bool = False) -> DataFrame:
     """Use the first row (lowest ``order``) as header and leave it out of the rows.
 
-    Only that single row reaches the driver.
+    Only that single row reaches the driver. ``keep_order`` carries the order column along.
     """
     data = [name for name in df.columns if name != order]
     first = df.orderBy(order).limit(1).collect()[0]
@@ -93,7 +93,7 @@ def promote_header(df: DataFrame, order: str) -> DataFrame:
     if len(set(names)) != len(names):
         raise ValueError(f"the header row repeats a name: {names}")
     return df.where(F.col(order) > F.lit(first[order])).select(
-        *[F.col(f"`{old}`").alias(new) for old, new in zip(data, names)]
+        *[F.col(f"`{old}`").alias(new) for old, new in zip(data, names)], *([order] if keep_order else []),
     )
 
 

@@ -12,7 +12,7 @@ from ordertide.operators import publish_view
 from ordertide.session import drop_staged, staged
 from ordertide.sources import (
     at_snapshot, clean_tracker, coerce_dates, conform, publish, read_mapping_csv, read_mapping_tabs,
-    read_table, small_table, split_errors, write_csv, write_report,
+    read_published, read_table, small_table, split_errors, write_csv, write_report,
 )
 
 
@@ -71,8 +71,31 @@ def test_errors_are_set_apart(spark):
 def test_publish_replaces_the_old_content(spark, tmp_path):
     target = str(tmp_path / "out")
     publish(spark.range(5), target)
-    publish(spark.range(2), target, text=True)
-    assert rows(spark.read.parquet(target)) == [("0",), ("1",)]
+    before = read_published(spark, target)
+    publish(read_published(spark, target).where("id < 2"), target, text=True)  # made from what it replaces
+    assert rows(read_published(spark, target)) == [("0",), ("1",)]
+    assert before.count() == 5  # a reader who has begun can finish
+    publish(spark.range(7), target)
+    assert len(list((tmp_path / "out" / "versions").iterdir())) == 2
+    assert read_published(spark, target).count() == 7
+
+
+def test_a_failed_publish_leaves_the_old_content(spark, tmp_path):
+    target = str(tmp_path / "out")
+    publish(spark.range(5), target)
+    broken = spark.range(0, 100, 1, 4).select(F.when(F.col("id") == 99, F.raise_error(F.lit("broken"))).otherwise(F.col("id").cast("string")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        publish(broken, target)
+    assert read_published(spark, target).count() == 5
+    publish(spark.range(3), target)
+    publish(spark.range(4), target)
+    assert read_published(spark, target).count() == 4
+    assert len(list((tmp_path / "out" / "versions").iterdir())) == 2  # what the failed run left is pruned too
+
+
+def test_nothing_published_yet(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, str(tmp_path))
 
 
 def test_csv_and_report_sheets(spark, tmp_path):
