@@ -4,7 +4,7 @@ A text is encoded by a byte-level merge tokenizer (A, with a space put before it
 puts the space itself). Tokens of both are runs of bytes, so each text has two rising lists of byte offsets where tokens end.
 Offsets in both lists cut the text into groups of tokens that cover the same bytes. They are found by galloping
 intersection: the elements of the shorter list are looked up in the longer, from the place of the last one found, in steps
-that double until an element is bracketed, and then by halving the bracket. The common places cut both token lists into groups, and the differences of their ranks are the sizes.
+that double until an element is bracketed, and then by halving the bracket; runs of the shorter list do so side by side. The common places cut both token lists into groups, and the differences of their ranks are the sizes.
 
 Two tokens are linked where they lie in one group. A pair of ids counts the rows that hold it linked. Per row only its
 different pairs are kept, with how often they occur, so copies of words are counted once there; partial counts are taken in
@@ -19,10 +19,8 @@ text are read.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import tee
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +31,8 @@ from pyspark.sql import functions as F
 from ordertide.llm.common import drop_tables, materialise
 from ordertide.llm.transducer import character_classes, compiled
 
+LANES = 1024
+BLOCK = 2**20
 LARGE_GROUP = 4096  # links of one group, from which its different ids are paired instead of all its tokens
 BROADCAST_PAIRS = 4_000_000  # 16 bytes each
 BATCH_LINKS = 2**20
@@ -60,29 +60,59 @@ _NONE = np.zeros(0, np.int64)
 NOTHING = Aligned(_NONE, _NONE, _NONE, _NONE)
 
 
-def gallop(short: list[int], long: list[int]) -> tuple[list[int], list[int]]:
-    """Places of the common elements of two rising lists, in the first and in the second."""
-    in_short, in_long, at, last = [], [], 0, len(long)
-    for place, wanted in enumerate(short):
-        if at < last and long[at] < wanted:
-            step = 1
-            while at + step < last and long[at + step] < wanted:
-                at, step = at + step, step * 2
-            at = bisect_left(long, wanted, at + 1, min(at + step, last))
-        if at == last:
-            break
-        if long[at] == wanted:
-            in_short.append(place)
-            in_long.append(at)
-            at += 1
-    return in_short, in_long
+def _sought(long: np.ndarray, at: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For each place ``at`` the first from there on whose element is not below ``wanted``; ``long`` ends with a sentinel.
+
+    Steps double until an element is bracketed, then the bracket is halved.
+    """
+    open_ = np.flatnonzero(long[at] < wanted)
+    if not len(open_):
+        return at
+    low, high, step, last = at[open_], np.empty(len(open_), np.int64), 1, len(long) - 1
+    target, going = wanted[open_], np.arange(len(open_))
+    while len(going):
+        probe = np.minimum(low[going] + step, last)
+        smaller = long[probe] < target[going]
+        high[going[~smaller]] = probe[~smaller]
+        low[going[smaller]] = probe[smaller]
+        going, step = going[smaller], step * 2
+    while (wide := np.flatnonzero(high - low > 1)).size:
+        middle = (low[wide] + high[wide]) >> 1
+        smaller = long[middle] < target[wide]
+        low[wide[smaller]] = middle[smaller]
+        high[wide[~smaller]] = middle[~smaller]
+    out = at.copy()
+    out[open_] = high
+    return out
+
+
+def gallop(short: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the common elements of two rising lists, in the first and in the second.
+
+    The first list is cut into ``LANES`` runs that gallop side by side, each from the place of its last element.
+    """
+    if not len(short) or not len(long):
+        return _NONE, _NONE
+    size = -(-len(short) // LANES)
+    starts = np.arange(0, len(short), size)
+    padded = np.append(long, np.iinfo(np.int64).max)
+    places = np.empty(len(starts) * size, np.int64)
+    at = np.zeros(len(starts), np.int64)
+    for step in range(size):
+        wanted = short[np.minimum(starts + step, len(short) - 1)]
+        at = _sought(padded, at, wanted)
+        places[step::size] = at
+    places = places[:len(short)]
+    match = np.flatnonzero(padded[places] == short)
+    return match, places[match]
 
 
 def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the common elements of two rising lists in both; the shorter drives the search."""
-    one, two = (a, b) if len(a) <= len(b) else (b, a)
-    in_one, in_two = (np.array(x, np.int64) for x in gallop(one.tolist(), two.tolist()))
-    return (in_one, in_two) if len(a) <= len(b) else (in_two, in_one)
+    if len(a) <= len(b):
+        return gallop(a, b)
+    in_b, in_a = gallop(b, a)
+    return in_a, in_b
 
 
 class Pair:
@@ -100,16 +130,41 @@ class Pair:
         return bytes([int(piece[3:5], 16)]) if self.two.is_byte(number) else piece.replace("▁", " ").encode()
 
     def align(self, texts: Iterable[str | None]) -> Iterator[Aligned]:
-        """The tokens and groups of each text."""
-        ahead, behind = tee(texts)
-        for text, (a, ends) in zip(behind, self.one.encoded(" " + t if t else "" for t in ahead)):
+        """The tokens and groups of each text, in blocks of about ``BLOCK`` characters."""
+        block, size = [], 0
+        for text in texts:
+            block.append(text)
+            size += len(text or "")
+            if size >= BLOCK:
+                yield from self._block(block)
+                block, size = [], 0
+        yield from self._block(block)
+
+    def _block(self, texts: list[str | None]) -> Iterator[Aligned]:
+        """The ends of all texts that both tokenizers spell follow each other, so one search serves them all."""
+        kept, base = [], 0
+        for text, (a, ends) in zip(texts, self.one.encoded(" " + t if t else "" for t in texts)):
             two = self.two.encode(text, num_threads=1) if text else []
             if not two or b"".join(map(self.bytes_b.__getitem__, two)) != (" " + text).encode():
-                yield NOTHING
+                kept.append(None)
                 continue
             b = np.array(two, np.int64)
-            in_a, in_b = common_ends(ends, np.cumsum(self.length_b[b]))
-            yield Aligned(a, b, in_a + 1, in_b + 1)
+            kept.append((a, b, ends + base, np.cumsum(self.length_b[b]) + base))
+            base += int(ends[-1])
+        whole = [k for k in kept if k]
+        in_a, in_b = common_ends(*(np.concatenate([_NONE, *(k[i] for k in whole)]) for i in (2, 3)))
+        # The end of a text is common, so no group reaches into the next one.
+        after_a = np.cumsum([0, *(len(k[0]) for k in whole)])
+        cuts = iter(np.searchsorted(in_a, after_a).tolist())
+        before = (0, 0)
+        first = next(cuts)
+        for k in kept:
+            if k is None:
+                yield NOTHING
+                continue
+            end = next(cuts)
+            yield Aligned(k[0], k[1], in_a[first:end] + 1 - before[0], in_b[first:end] + 1 - before[1])
+            first, before = end, (before[0] + len(k[0]), before[1] + len(k[1]))
 
 
 def linked_pairs(found: Aligned, width: int) -> tuple[np.ndarray, np.ndarray]:
