@@ -53,6 +53,8 @@ def stage_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
          + F.col("l_linenumber") * 5).alias("h"),
         F.coalesce("o_orderdate", plus_days("l_shipdate", -90)).alias("po_created_date"),
     )
+    # One row group of the test tables is one task, which would do all the work that follows.
+    lines = lines.repartition("po_id")
     h = F.col("h")
     dates = []
     for k, name in enumerate(TIMELINE_DATES[1:], start=1):

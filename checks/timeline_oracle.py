@@ -44,14 +44,14 @@ def days(column: str, n: int) -> str:
 
 # id: (predecessor date, actual, fallback, lead time, team, on the critical path, name)
 SMALL = {
-    1: ("NULL", "po_approval_date", "po_created_date", 2, "Procurement", True, "1. Approval"),
-    2: ("d1", "supplier_confirmation_date", "NULL", 3, "Procurement", True, "2. Confirmation"),
-    3: ("CASE WHEN pi_applicable = 1 THEN d2 END", "pi_payment_date",
-        f"greatest(pi_payment_date, {days('supplier_confirmation_date', 2)})", 5, "Finance", False, "3. Advance"),
-    4: ("CASE WHEN ci_applicable <> 0 THEN greatest(d3, d2) ELSE d1 END", "ci_payment_date", "NULL", 1,
-        "Finance", True, "4. Invoice"),
-    5: ("greatest(d3, d4)", "spd_ts", days("d3", 2), 0, "Logistics", True, "5. Pick-up"),
-    6: ("NULL", "NULL", "greatest(actual_delivery_date, d5 + to_days(plt - 21))", 1, "Warehouse", True, "6. Receipt"),
+    1: ("NULL", "receive_first_prd_date", "po_created_date", 4, "Desk", True, "Ready date known"),
+    2: ("d1", "sm_signoff_ts", "NULL", 1, "Desk", True, "Goods released"),
+    3: ("CASE WHEN ci_applicable = 0 THEN d1 END", "qc_schedule_date",
+        f"greatest(batch_created_ts, {days('po_sm_date_value', 6)})", 2, "Lab", False, "Inspection"),
+    4: ("CASE WHEN pi_applicable IS DISTINCT FROM 1 THEN greatest(d3, d2) ELSE d1 END", "ffw_booking_ts", "NULL", 7,
+        "Freight", True, "Space booked"),
+    5: ("greatest(d3, d4)", "actual_shipping_date", days("d3", 9), 0, "Freight", True, "Departure"),
+    6: ("NULL", "NULL", "greatest(item_receipt_date, d5 + to_days(plt - 8))", 3, "Dock", True, "Stock in"),
 }
 _CI, _PI = "ci_applicable = 1", "CASE WHEN pi_applicable = 1 THEN d5 ELSE d2 END"
 
@@ -282,11 +282,11 @@ def _delay_rows() -> str:
 
 
 def _dependency_rows() -> str:
-    used = {1: [], 2: [(1, "TRUE")], 3: [(2, "pi_applicable = 1")],
-            4: [(3, "ci_applicable <> 0"), (2, "ci_applicable <> 0"), (1, "ci_applicable = 0")],
+    both, one = "pi_applicable IS DISTINCT FROM 1", "pi_applicable IS NOT DISTINCT FROM 1"
+    used = {1: [], 2: [(1, "TRUE")], 3: [(1, "ci_applicable = 0")], 4: [(3, both), (2, both), (1, one)],
             5: [(3, "TRUE"), (4, "TRUE")], 6: []}
-    formula = {1: "po_created_date", 3: "max(pi_payment_date, add_days(supplier_confirmation_date, 2))",
-               5: "stage_3+2", 6: "max(actual_delivery_date, stage_5+plt-21)"}
+    formula = {1: "po_created_date", 3: "max(batch_created_ts, add_days(po_sm_date_value, 6))",
+               5: "stage_3 + 9", 6: "max(item_receipt_date, stage_5 + plt - 8)"}
     rows = []
     for k, (_, actual, _f, lead, *_rest) in SMALL.items():
         listed = ", ".join(
@@ -320,8 +320,8 @@ def _dependency_rows() -> str:
 
 
 def _metadata() -> str:
-    facts = {1: ("approval", ""), 2: ("confirmation", ""), 3: ("payment", "4"), 4: ("payment", "3,5"),
-             5: ("pickup", ""), 6: ("receiving", "")}
+    facts = {1: ("planning", ""), 2: ("release", ""), 3: ("check", "2"), 4: ("booking", "2,3"),
+             5: ("transport", ""), 6: ("storing", "")}
     rows = " UNION ALL ".join(
         f"SELECT po_id, '{k}' AS stage_id, '{SMALL[k][6]}' AS stage_name, d{k} AS date, '{SMALL[k][4]}' AS team_owner,"
         f" '{facts[k][0]}' AS process_type, {str(SMALL[k][5]).upper()} AS critical_path,"
@@ -406,7 +406,7 @@ ORACLE = {
     "stage_matrix_computed":
         f"""{chain(FULL)} SELECT po_id, {_wide(FULL, 'CAST(d{k} AS DATE) AS "{name}"')} FROM tl""",
     "stage_matrix_delay": f"""{delayed(FULL)} SELECT po_id, {_wide(FULL, 'x{k} AS "{name}"')} FROM dl""",
-    "stage_wide": f"""{delayed(SMALL, 'integrated')} SELECT po_id, po_created_date, pi_applicable, {_wide(SMALL,
+    "stage_wide": f"""{delayed(SMALL, 'integrated')} SELECT po_id, po_created_date, ci_applicable, {_wide(SMALL,
         'CAST(d{k} AS DATE) AS "{name}_Date", x{k} AS "{name}_Delay_Days", y{k} AS "{name}_Status"')} FROM dl""",
     "stage_dependencies": _dependency_rows(),
     "stage_metadata": _metadata(),

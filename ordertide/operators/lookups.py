@@ -120,8 +120,9 @@ def inner_lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str], where:
 
 def restrict_to(df: DataFrame, other: DataFrame, on) -> DataFrame:
     """Rows whose key occurs in ``other``; a row never multiplies."""
-    marked = flag_exists(df, other, on, "_kept")
-    return marked.where(F.col("_kept") == "Yes").drop("_kept")
+    pairs = _key_pairs(on)
+    known = other.select(*[F.col(f"`{right}`").alias(left) for left, right in pairs.items()])
+    return df.join(known, list(pairs), "left_semi").select(*[F.col(f"`{name}`") for name in df.columns])
 
 
 def shipment_star(

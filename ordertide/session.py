@@ -14,8 +14,6 @@ DEFAULTS = {
     # Split a partition with a frequent key even if what follows must shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    # Small files are split so that every core has work; large ones have more splits anyway.
-    "spark.sql.files.openCostInBytes": "65536",
     # Generated methods above 8000 bytes are never compiled to machine code; past that size let
     # each operator run its own, smaller generated code instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",

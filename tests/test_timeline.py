@@ -77,14 +77,14 @@ def walk(row, variant):
                 out = (plus(fallback, lead), "fallback") if fallback else (None, "failed")
         made[key] = out
 
-    stage("1", [], "po_approval_date", v["po_created_date"], 2)
-    stage("2", ["1"], "supplier_confirmation_date", None, 3)
-    stage("3", ["2"] if v["pi_applicable"] == 1 else [], "pi_payment_date",
-          top(v["pi_payment_date"], plus(v["supplier_confirmation_date"], 2)), 5)
-    stage("4", ["3", "2"] if v["ci_applicable"] != 0 else ["1"], "ci_payment_date", None, 1)
-    stage("5", ["3", "4"], "spd_ts", plus(made["3"][0], 2), 0)
-    plt = None if v["plt"] is None else v["plt"] - 21
-    stage("6", [], "", top(v["actual_delivery_date"], plus(made["5"][0], plt)), 1)
+    stage("1", [], "receive_first_prd_date", v["po_created_date"], 4)
+    stage("2", ["1"], "sm_signoff_ts", None, 1)
+    stage("3", ["1"] if v["ci_applicable"] == 0 else [], "qc_schedule_date",
+          top(v["batch_created_ts"], plus(v["po_sm_date_value"], 6)), 2)
+    stage("4", ["3", "2"] if v["pi_applicable"] != 1 else ["1"], "ffw_booking_ts", None, 7)
+    stage("5", ["3", "4"], "actual_shipping_date", plus(made["3"][0], 9), 0)
+    plt = None if v["plt"] is None else v["plt"] - 8
+    stage("6", [], "", top(v["item_receipt_date"], plus(made["5"][0], plt)), 3)
     return made
 
 
@@ -110,7 +110,9 @@ def test_timeline_needs_no_shuffle_and_no_python(spark, sf):
     from checks.timeline_queries import QUERIES
     for name in ("timeline_full", "po_delay_summary", "insights"):
         text = plan(QUERIES[name](spark, sf))
-        assert "hashpartitioning" not in text and "Python" not in text and "Pandas" not in text
+        shuffles = [line for line in text.splitlines() if "Exchange " in line and "BroadcastExchange" not in line]
+        assert len(shuffles) == 1 and "REPARTITION_BY_COL" in shuffles[0], shuffles  # that deals out the test rows
+        assert "Python" not in text and "Pandas" not in text
 
 
 def test_summaries_of_a_sample_line(spark):
