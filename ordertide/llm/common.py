@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +53,40 @@ def drop_tables(spark: SparkSession, *tables: DataFrame) -> None:
         folder.getFileSystem(settings).delete(folder, True)
 
 
+BATCH_BYTES = 4 * 2**20
+Mapping = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``BATCH_BYTES``; a row is never cut."""
+    for batch in batches:
+        parts = max(1, min(batch.num_rows, -(-batch.nbytes // BATCH_BYTES)))
+        size = max(1, -(-batch.num_rows // parts))
+        for start in range(0, max(1, batch.num_rows), size):
+            yield batch.slice(start, size)
+
+
+def _give_back() -> None:
+    """Return free memory to the system: Python workers are kept, and what they hold counts on top of what comes next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not on this platform
+        pass
+
+
+def bounded(function: Mapping) -> Mapping:
+    """``function`` for ``mapInArrow``, given batches of bounded bytes, and its memory given back when a task ends."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(_cut(batches))
+        finally:
+            _give_back()
+
+    return run
+
+
 def null_safe_key(column: Column) -> Column:
     """A text that is equal for equal values, with NULL as a value of its own, for joins on keys that may be NULL."""
     return F.coalesce(F.concat(F.lit("v"), column.cast("string")), F.lit("n"))

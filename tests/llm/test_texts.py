@@ -2,7 +2,7 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -166,39 +166,58 @@ def test_short_texts_are_all_compared(spark):
     rng = random.Random(9)
     texts = []
     for i in range(150):
-        words = [f"s{i}x{j}" for j in range(rng.choice([8, 9, 10, 14, 19, 44]))]
-        more = max(1, int((len(words) - 4) / 0.8 + 1e-9) - (len(words) - 4))
-        texts += [words, rng.choice([[*words, *"abcdefghijkl"[:more]], [*"abcdefghijkl"[:more], *words]])]
+        words = [f"s{i}x{j}" if j % 3 else f"common{j}" for j in range(rng.choice([5, 8, 9, 10, 14, 19, 44, 50]))]
+        own = list(words)
+        if rng.random() < 0.5:  # as many words more as the threshold allows, on either side
+            more = int(len(words) / 0.8 + 1e-9) - len(words)
+            own = [*[f"m{i}y{j}" for j in range(more)], *words] if rng.random() < 0.5 else [*words, *[f"m{i}y{j}" for j in range(more)]]
+        else:  # as many words changed as the threshold allows, spread over the text
+            changed = int(len(words) / 9 + 1e-9)
+            for j in range(changed):
+                own[j * len(words) // changed] = f"m{i}y{j}"
+        texts += [words, own]
     hasher = near_dedup.WordHasher()
-    seq = [near_dedup.shingles(hasher([w.encode() for w in x])) for x in texts]
+    seq = [hasher([w.encode() for w in x]) for x in texts]
     assert all(near_dedup.similarity(a, b) >= 0.8 for a, b in zip(seq[::2], seq[1::2]))
     df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "d long, t string")
     assert {r["id"]: r["class"] for r in near_dedup.classes(df, "d", "t").collect()} == {i: i - i % 2 for i in range(300)}
 
 
+def _exact_classes(texts):
+    """Class of each id by comparing all pairs, with an alignment of the words."""
+    hasher = near_dedup.WordHasher()
+    seq = {i: hasher((t or "").encode().split()) for i, t in texts}
+    label = {i: i for i in seq}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a in seq:
+        for b in seq:
+            if a < b and root(a) != root(b) and near_dedup.similarity(seq[a], seq[b]) >= 0.8:
+                low, high = sorted((root(a), root(b)))
+                label[high] = low
+    return {i: root(i) for i in seq}
+
+
+def _edited(rng, words, most):
+    own = list(words)
+    for _ in range(rng.randint(0, most)):
+        at = rng.randrange(len(own))
+        own[at:at + 1] = rng.choice([[f"new{rng.randrange(10**6)}"], [], [own[at], f"new{rng.randrange(10**6)}"]])
+    return own
+
+
 def test_near_duplicates_as_by_brute_force(spark):
     rng = random.Random(4)
     base = _texts(rng, 12, 60, 120)
-    rows = []
-    for t in base:
-        words = t.split()
-        for _ in range(6):
-            own = list(words)
-            for _ in range(rng.randint(0, 3)):
-                own[rng.randrange(len(own))] = f"new{rng.randrange(10**6)}"
-            rows.append(" ".join(own))
+    rows = [" ".join(_edited(rng, t.split(), 4)) for t in base for _ in range(6)]
     rows += [base[0], base[0], None, "", "one two", "one two", "one two three four"]
     rng.shuffle(rows)
     rows = [(i * 3 - 7, t) for i, t in enumerate(rows)]
-    hasher = near_dedup.WordHasher()
-    seq = {i: near_dedup.labelled(near_dedup.shingles(hasher((t or "").encode().split()))) for i, t in rows}
-    label = {i: i for i, _ in rows}
-    links = [(a, b) for a in seq for b in seq if a < b and (
-        not len(seq[a]) and not len(seq[b]) or len(seq[a]) and len(seq[b])
-        and _lcs(seq[a].tolist(), seq[b].tolist()) / (len(seq[a]) + len(seq[b]) - _lcs(seq[a].tolist(), seq[b].tolist())) >= 0.8)]
-    for _ in rows:
-        for a, b in links:
-            label[a] = label[b] = min(label[a], label[b])
+    label = _exact_classes(rows)
     df = spark.createDataFrame([*rows, rows[3], (None, base[0]), (None, None)], "d long, t string").withColumn("stays", F.lit(1))
     got = {r["id"]: r["class"] for r in near_dedup.classes(df, "d", "t").collect()}
     assert got == label
@@ -207,6 +226,55 @@ def test_near_duplicates_as_by_brute_force(spark):
     assert near_dedup.classes(df.limit(0), "d", "t").count() == 0
 
 
+def test_a_passage_that_many_share_is_no_group_of_pairs(spark, monkeypatch):
+    """Texts with a common passage are not compared with each other, and near copies among them are found."""
+    rng = random.Random(12)
+    passage = [f"p{j}" for j in range(60)]
+    texts = []
+    for i in range(400):
+        own = [f"o{i}x{j}" for j in range(90)]
+        at = rng.randrange(90)
+        texts.append(own[:at] + passage + own[at:])
+    copies = [_edited(rng, texts[i], 6) for i in range(0, 400, 10)]
+    rows = [(i, " ".join(x)) for i, x in enumerate(texts + copies)]
+    compared = []
+    whole = near_dedup._all_between
+    monkeypatch.setattr(near_dedup, "_all_between", lambda placed, met: compared.append(whole(placed, met).count()) or whole(placed, met))
+    found = {r["id"]: r["class"] for r in near_dedup.classes(spark.createDataFrame(rows, "d long, t string"), "d", "t").collect()}
+    assert {i: c for i, c in found.items() if i < 400} == {i: i for i in range(400)}
+    assert sum(found[400 + n] == 10 * n for n in range(40)) >= 38
+    assert sum(compared) < 440 * near_dedup.FEW
+
+
+def test_recall_on_the_documents(spark):
+    """Of all pairs of different texts that are similar, found by a search of all shingles, 95 in 100 share a class."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = {r["id"]: r["class"] for r in near_dedup.classes(docs, "doc_id", "text").collect()}
+    hasher, holders, seq = near_dedup.WordHasher(10**7), defaultdict(set), {}
+    for r in docs.collect():
+        seq[r["doc_id"]] = hasher((r["text"] or "").encode().split())
+        for w in np.unique(near_dedup.shingles(seq[r["doc_id"]], 3)).tolist():
+            holders[w].add(r["doc_id"])
+    pairs = Counter((a, b) for ids in holders.values() if len(ids) > 1 for a in ids for b in ids if a < b)
+    similar = [(a, b) for (a, b), n in pairs.items() if 8 * n >= min(len(seq[a]), len(seq[b])) and near_dedup.similarity(seq[a], seq[b]) >= 0.8]
+    assert len(similar) > 50
+    assert sum(found[a] == found[b] for a, b in similar) >= 0.95 * len(similar)
+    together = defaultdict(list)
+    for one, label in found.items():
+        together[label].append(one)
+    for ids in together.values():  # nobody is in a class without someone similar
+        for a in ids if len(ids) > 1 else ():
+            assert any(near_dedup.similarity(seq[a], seq[b]) >= 0.8 for b in ids if a != b)
+
+
+def test_long_texts_are_compared_whole(spark):
+    rng = random.Random(13)
+    words = [f"w{rng.randrange(3000)}" for _ in range(30000)]
+    texts = [words, _edited(rng, words, 900), [*words[:15000], *[f"z{j}" for j in range(15000)]]]
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "d long, t string")
+    assert {r["id"]: r["class"] for r in near_dedup.classes(df, "d", "t").collect()} == {0: 0, 1: 0, 2: 2}
+
+
 def test_components_of_long_chains(spark):
     members = spark.range(60).select("id")
     links = spark.range(49).select((F.col("id") + 1).alias("a"), F.col("id").alias("b"))
