@@ -11,6 +11,8 @@ _TERMS = """WITH t AS (SELECT p_partkey, p_size, CASE WHEN p_size % 7 = 0 THEN '
       || (p_size % 3 * 10) || '% BL ' || (p_size + 20) || 'd' END AS terms FROM part)"""
 
 ORACLE = {
+    "incremental_latest": """SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity FROM lineitem
+      QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1""",
     "open_lines_latest": """WITH l AS (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
           ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1)
         SELECT l_orderkey, l_linenumber, l_shipdate, coalesce(o_orderpriority, 'No Order') AS priority, l_returnflag,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ordertide.plans.status import full_columns
+
 NOW = "TIMESTAMP '1998-06-01 12:00:00'"
 
 BASE = """
@@ -463,7 +465,28 @@ def _from(ctes: str, columns: str, last: str) -> str:
     return f"WITH {ctes} SELECT {columns} FROM {last}"
 
 
+def _full() -> str:
+    """All shown columns: those not in ``l16`` are written out, the others are taken as they are."""
+    own = {
+        "article_key": "document_number || item", "article_market": "item || marketplace", "asin_market": "asin || marketplace",
+        "pending_units": "CAST(pending_units AS DOUBLE)", "days": "''", "days_bucket": "''", "flag_d": "flag_d", "sub_d": "'NA'",
+        **{name: "NULL" for name in ("subsidiary", "quantity_billed", "item_rate", "currency", "amount_foreign_currency", "prd_change_reason",
+                                     "historical_anti_po")},
+        **{f"sub_{code}": f"CASE WHEN lower(status_code) = '{code}' THEN sub_status ELSE 'NA' END" for code in FLAGS},
+    }
+    columns = ", ".join(f'{own.get(inside, inside)} AS "{shown}"' for inside, shown in full_columns().items())
+    return _from(STAGE, columns, "l16")
+
+
+_LATE = f"""SELECT line_key, status_code, CASE WHEN TRY_CAST(status_code AS INTEGER) IS NOT NULL
+    THEN CASE WHEN shipped IS NOT NULL THEN CAST(floor((epoch_us(shipped) - epoch_us(made)) / 86400000000.0) AS BIGINT)
+      WHEN {NOW} > made THEN CAST(floor((epoch_us({NOW}) - epoch_us(made)) / 86400000000.0) AS BIGINT) END END AS days
+  FROM l12 LEFT JOIN (SELECT document_number || item || line_id AS line_key, CAST(min(l_shipdate) AS TIMESTAMP) AS made,
+      CASE WHEN min(k) % 3 <> 0 THEN CAST(max(l_shipdate) AS TIMESTAMP) END AS shipped FROM lg GROUP BY document_number, item, line_id) USING (line_key)"""
+
 ORACLE = {
+    "full_report": _full(),
+    "late_days": f"WITH {STAGE} {_LATE}",
     "open_lines": _from(BASE, "line_key, final_status, memo, quantity, quantity_received", """po
         WHERE final_status NOT IN ('Closed', 'Legacy Closed', 'Fully Billed') AND quantity - quantity_received > 0
           AND (memo IS NULL OR memo <> 'import_ic_flow')"""),

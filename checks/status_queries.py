@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from ordertide.operators import open_lines
 from ordertide.plans.status import (
-    add_invoice_submitted, add_line_paid, add_line_payment_type, add_pending, add_prd_decision,
-    status_report, sub_stage_columns,
+    add_invoice_submitted, add_line_paid, add_line_payment_type, add_pending, add_prd_decision, attach_stage_days,
+    full_view, status_report, sub_stage_columns,
 )
 from ordertide.plans.status.attributes import booking_status
 from ordertide.plans.status.ladder import STAGES, flag_column
 from ordertide.plans.status.report import enrich, group_statuses, published, settle
 
-from .status_tables import AS_OF, po_lines, status_tables
+from ordertide.plans.timeline import Stage, stage_delay, stages_long, timeline
+
+from .status_tables import AS_OF, log_lines, po_lines, status_tables
 from .tables import staging_dir, table
 
 
@@ -76,7 +78,27 @@ def sub_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("line_key", *[f"sub_{code.lower()}" for code in STAGES])
 
 
+def full_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 204 columns."""
+    return full_view(_whole(spark, sf_dir))
+
+
+def late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's lines with the days that they are late in their current stage, by the timeline."""
+    lines = _whole(spark, sf_dir).select("line_key", "document_number", "line_id", "status_code", "days")
+    planned = F.col("l_shipdate").cast("timestamp")
+    dates = log_lines(spark, sf_dir).groupBy("document_number", "item", "line_id").agg(
+        F.min(planned).alias("po_created_date"), F.max(planned).alias("shipped"), F.min("k").alias("k"))
+    dates = dates.select(F.concat("document_number", "item", "line_id").alias("po_id"), "po_created_date",
+                         F.when(F.col("k") % 3 != 0, F.col("shipped")).alias("shipped"))
+    stages = [Stage(str(n), f"Stage {n}", "shipped", None, "po_created_date", n) for n in range(1, 32)]
+    delays = stages_long(stage_delay(timeline(dates, stages, keep=["po_id"]), stages, AS_OF), stages, ["po_id"])
+    return attach_stage_days(lines, delays).select("line_key", "status_code", "days")
+
+
 QUERIES = {
+    "full_report": full_report,
+    "late_days": late_days,
     "open_lines": open_line_rows,
     "pending_units": lambda spark, sf: add_pending(_open(spark, sf)).select("line_key", "pending_units", "pending_value"),
     "prd_decision": lambda spark, sf: add_prd_decision(_open(spark, sf)).select("line_key", "prd_delay_decision"),

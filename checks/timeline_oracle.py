@@ -319,6 +319,48 @@ def _dependency_rows() -> str:
     return f"{chain(SMALL)} " + " UNION ALL ".join(rows)
 
 
+_READY = "CASE WHEN plt IS NULL OR plt NOT IN (41, 42) THEN receive_first_prd_date END"
+FAILING = {
+    1: ("NULL", _READY, "po_created_date", 1, "", False, "Ready"),
+    2: ("CASE WHEN plt > 30 THEN d1 END", "qc_schedule_date", f"greatest(batch_created_ts, {_READY})", 2, "", False, "Checked"),
+    3: ("CASE WHEN d2 >= po_created_date THEN d2 ELSE d1 END", "spd_ts", "NULL", 0, "", False, "Sent"),
+}
+
+
+def _failures() -> str:
+    errors = (
+        (1, "actual", "receive_first_prd_date is no date", "plt = 41"), (2, "preceding", "plt > 30: a side is missing", "plt IS NULL"),
+        (2, "fallback", "receive_first_prd_date is no date", "plt = 41"),
+        (3, "preceding", "stage_2 >= po_created_date: a side is missing", "d2 IS NULL"),
+    )
+    rows = [
+        f"SELECT po_id, '{k}' AS stage_id, '{part}' AS part, '{error}' AS error, {part == 'preceding'} AS fatal FROM tl WHERE {test}"
+        for k, part, error, test in errors
+    ]
+    rows.append("""SELECT po_id, '3' AS stage_id, 'date' AS part, strftime(d3, '%Y-%m-%d %H:%M') AS error, FALSE AS fatal FROM tl
+        WHERE plt IS NOT NULL AND d2 IS NOT NULL""")
+    return f"{chain(FAILING)} " + " UNION ALL ".join(rows)
+
+
+def _documents() -> str:
+    both, one = "pi_applicable IS DISTINCT FROM 1", "pi_applicable IS NOT DISTINCT FROM 1"
+    used = {1: [], 2: [(1, "TRUE")], 3: [(1, "ci_applicable = 0")], 4: [(3, both), (2, both), (1, one)],
+            5: [(3, "TRUE"), (4, "TRUE")], 6: []}
+    rows = []
+    for k, (_, _a, _f, lead, team, _critical, name) in SMALL.items():
+        listed = ", ".join(
+            f"CASE WHEN {test} AND d{n} IS NOT NULL THEN '{n}@' || strftime(d{n}, '%Y-%m-%d %H:%M') END" for n, test in used[k])
+        needs = f"concat_ws(';', {listed})" if listed else "''"
+        rows.append(
+            f"SELECT po_id, '{k}' AS stage_id, '{name}' AS stage_name, d{k} AS date, m{k} AS method, {lead} AS lead_time_days, '{team}' AS team_owner,"
+            f" x{k} AS delay_days, y{k} AS delay_status, {needs} AS needs, calculated_stages, delayed_stages, total_delay_days FROM dl JOIN sums USING (po_id)")
+    sums = "SELECT po_id, " + ", ".join((
+        " + ".join(f"(d{k} IS NOT NULL)::BIGINT" for k in SMALL) + " AS calculated_stages",
+        " + ".join(f"(y{k} = 'delayed')::BIGINT" for k in SMALL) + " AS delayed_stages",
+        " + ".join(f"CASE WHEN y{k} IN ('delayed', 'pending_overdue') THEN x{k} ELSE 0 END" for k in SMALL) + " AS total_delay_days"))
+    return f"{delayed(SMALL)}, sums AS ({sums} FROM dl) " + " UNION ALL ".join(rows)
+
+
 def _metadata() -> str:
     facts = {1: ("planning", ""), 2: ("release", ""), 3: ("check", "2"), 4: ("booking", "2,3"),
              5: ("transport", ""), 6: ("storing", "")}
@@ -383,6 +425,10 @@ def _null_profile() -> str:
 
 
 ORACLE = {
+    "timeline_failures": _failures(),
+    "timeline_documents": _documents(),
+    "timeline_document_teams": f"""{delayed(FULL)}, {_teams(FULL)} SELECT po_id, team, total_stages, delayed_stages,
+        total_delay_days, average_delay_days FROM tm""",
     "timeline_small": _variant_sql("modular"),
     "timeline_legacy": _variant_sql("legacy"),
     "timeline_notebook": _variant_sql("notebook"),

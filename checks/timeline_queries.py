@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertide.functions.dates import parse_any_date
 from ordertide.plans.timeline import (
-    TIMELINE_DATES, explain_stages, global_delay, insights, method_counts, po_delay_summary,
-    stage_delay, stage_dim, stage_matrix, stage_wide, stages_from_dict, stages_long,
-    standard_stages, team_delay, timeline, with_stage_dim, worst_team,
+    TIMELINE_DATES, documents, explain_stages, flat_tables, global_delay, insights, method_counts, po_delay_summary,
+    read_documents, stage_delay, stage_dim, stage_matrix, stage_wide, stages_from_dict, stages_long,
+    standard_stages, team_delay, timeline, timeline_or_failures, with_stage_dim, worst_team,
 )
-from ordertide.sources import coerce_dates, null_profile
+from ordertide.sources import coerce_dates, null_profile, write_json
 
-from .tables import AS_OF, stage_dates
+from .tables import AS_OF, stage_dates, staging_dir
 
 #: Six stages of one kind each: first with a fallback date, plain, of some lines only, after one or two others, after
 #: two with a fallback that reads a stage, and without predecessors or an actual date.
@@ -172,7 +174,58 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", parse_any_date(text).alias("parsed"))
 
 
+#: Stages whose predecessors depend on comparisons that some rows cannot answer.
+FAILING_CONFIG = {"stages": {
+    "1": {"name": "Ready", "actual_timestamp": "receive_first_prd_date", "preceding_stage": None,
+          "fallback_calculation": {"expression": "po_created_date"}, "lead_time": 1},
+    "2": {"name": "Checked", "actual_timestamp": "qc_schedule_date", "preceding_stage": "cond(plt > 30, ['1'], [])",
+          "fallback_calculation": {"expression": "max(batch_created_ts, receive_first_prd_date)"}, "lead_time": 2},
+    "3": {"name": "Sent", "actual_timestamp": "spd_ts", "preceding_stage": "cond(stage_2 >= po_created_date, ['2'], ['1'])",
+          "fallback_calculation": {"expression": ""}, "lead_time": 0},
+}}
+
+
+def timeline_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates that arrive as text, some of them no dates: errors by stage, and the last date of the rows that go on."""
+    source = stage_dates(spark, sf_dir)
+    text = F.date_format("receive_first_prd_date", "yyyy-MM-dd HH:mm:ss")
+    source = source.withColumn("receive_first_prd_date", F.when(F.col("plt") == 41, "soon").when(F.col("plt") == 42, " ").otherwise(text))
+    good, failures = timeline_or_failures(
+        source, stages_from_dict(FAILING_CONFIG), ID, keep=ID, text_dates=["receive_first_prd_date"])
+    passed = good.select("po_id", F.lit("3").alias("stage_id"), F.lit("date").alias("part"),
+                         F.date_format("stage_3.date", "yyyy-MM-dd HH:mm").alias("error"), F.lit(False).alias("fatal"))
+    return failures.unionByName(passed)
+
+
+def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents written as JSON, read back and flattened again: stages with delays and dependencies."""
+    kept = ["po_id", "pi_applicable", "ci_applicable"]
+    made = documents(_delays(spark, sf_dir, small(), keep=kept), small(), ID)
+    path = f"{staging_dir(spark).rstrip('/')}/documents-{uuid.uuid4().hex}"
+    write_json(made, path)
+    flat = flat_tables(read_documents(spark, path), ID)
+    needs = flat["dependencies"].groupBy("po_id", "stage_id").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("position", "needs", "needs_date"))),
+        lambda d: F.concat(d["needs"], F.lit("@"), F.date_format(d["needs_date"], "yyyy-MM-dd HH:mm"))), ";").alias("needs"))
+    stages = flat["stages"].join(needs, ["po_id", "stage_id"], "left").join(
+        flat["summary"].select("po_id", "calculated_stages", "delayed_stages", "total_delay_days"), "po_id")
+    return stages.select("po_id", "stage_id", "stage_name", "date", "method", "lead_time_days", "team_owner", "delay_days", "delay_status",
+                         F.coalesce("needs", F.lit("")).alias("needs"), "calculated_stages", "delayed_stages", "total_delay_days")
+
+
+def document_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The teams and remarks of the documents, read back from JSON."""
+    stages = standard_stages()
+    made = documents(_delays(spark, sf_dir, stages, keep=["po_id", "pi_applicable", "ci_applicable"]), stages, ID)
+    path = f"{staging_dir(spark).rstrip('/')}/documents-{uuid.uuid4().hex}"
+    write_json(made.select("po_id", "delays_by_team", "insights"), path)
+    return flat_tables(read_documents(spark, path), ID)["teams"]
+
+
 QUERIES = {
+    "timeline_failures": timeline_failures,
+    "timeline_documents": document_rows,
+    "timeline_document_teams": document_teams,
     "timeline_small": _variant("modular"),
     "timeline_legacy": _variant("legacy"),
     "timeline_notebook": _variant("notebook"),

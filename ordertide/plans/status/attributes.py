@@ -14,7 +14,7 @@ from ...functions.dates import as_timestamp, plus_days
 from ...functions.text import bl_days, first_char, pct_of
 from ...functions.values import is_value, present, to_number, yes_no
 from ...operators.lookups import lookup_many, lookup_when
-from ...operators.rollups import all_of, any_of, max_date, max_date_state, priority_of, roll_up
+from ...operators.rollups import all_of, any_of, max_date, max_date_state, priority_of, roll_up, roll_up_all
 
 NOT_IN_SHEET = "Not In Payment Sheet"
 SHIPPED_STATES = ("In Transit", "Received", "Partially Received")
@@ -68,9 +68,12 @@ def _payment_rollups(prefix: str) -> dict:
     }
 
 
-def add_group_statuses(df: DataFrame, group: str, prefix: str, more: Mapping | None = None) -> DataFrame:
-    """Payment type, invoice, payment and approval of the line's batch or shipment."""
-    return roll_up(df, group, {**_payment_rollups(prefix), **(more or {})})
+def add_group_statuses(df: DataFrame, prefixes: Mapping[str, str], more: Mapping[str, Mapping] | None = None) -> DataFrame:
+    """Payment type, invoice, payment and approval of the line's batch and shipment (key column -> prefix).
+
+    ``more`` are further rules by key column.
+    """
+    return roll_up_all(df, {group: {**_payment_rollups(prefix), **(more or {}).get(group, {})} for group, prefix in prefixes.items()})
 
 
 def add_qc_stage(df: DataFrame) -> DataFrame:

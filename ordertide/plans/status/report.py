@@ -122,8 +122,8 @@ def enrich(lines: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def group_statuses(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Batch and shipment statuses, and the telex state of the shipment."""
-    df = attr.add_group_statuses(df, "batch_id", "batch", {**attr.qc_rollups(), **attr.compliance_rollup()})
-    df = attr.add_group_statuses(df, "shipment_number", "inb")
+    batch = {**attr.qc_rollups(), **attr.compliance_rollup()}
+    df = attr.add_group_statuses(df, {"batch_id": "batch", "shipment_number": "inb"}, {"batch_id": batch})
     telex = [_one(tables, name, ["shipment_number"]) for name in ("telex", "telex_supplier", "telex_ffw")]
     return attr.add_telex(df, [side.drop("telex_remark") for side in telex])
 

@@ -5,7 +5,8 @@ The configuration holds a handful of short texts such as
 into a Column; rows never see the text. Anything outside the small set below is rejected.
 
 Missing values: arithmetic on a missing value is missing, ``max`` skips what is not a date,
-``==`` with a missing side is False and ``!=`` is True.
+``==`` with a missing side is False and ``!=`` is True. Ordering a missing value is an error of the row, and so is a text
+that should be a date and is none: every term carries, beside its value, the text of the first error on the way to it.
 """
 
 from __future__ import annotations
@@ -32,10 +33,11 @@ _COMPARE = {
 
 @dataclass(frozen=True)
 class Term:
-    """A typed column: kind is date, int, number, bool, text or null."""
+    """A typed column: kind is date, int, number, bool, text or null. ``error`` is NULL in rows without one."""
 
     column: Column
     kind: str
+    error: Column | None = None
 
     @property
     def numeric(self) -> bool:
@@ -43,6 +45,20 @@ class Term:
 
 
 
+def first_error(*errors: Column | None) -> Column | None:
+    """The first error that a row has; None where no row can have one."""
+    known = [error for error in errors if error is not None]
+    return known[0] if len(known) == 1 else F.coalesce(*known) if known else None
+
+
+def _chosen_error(test: Column, yes: Column | None, no: Column | None) -> Column | None:
+    """The error of the branch that a row takes."""
+    if yes is None and no is None:
+        return None
+    none = F.lit(None).cast("string")
+    return F.when(test, none if yes is None else yes).otherwise(none if no is None else no)
+
+
 def null_date() -> Column:
     return F.lit(None).cast("timestamp")
 
@@ -72,11 +88,15 @@ def column_term(name: str, kind: T.DataType) -> Term:
 
 
 class Scope:
-    """What names mean: source columns first by schema, ``stage_N`` by computed stage."""
+    """What names mean: source columns first by schema, ``stage_N`` by computed stage.
+
+    ``unreadable`` holds the error of source columns that were read from text.
+    """
 
-    def __init__(self, schema: T.StructType, stage_dates: dict[str, Column]):
+    def __init__(self, schema: T.StructType, stage_dates: dict[str, Column], unreadable: dict[str, Column] | None = None):
         self.kinds = {item.name: item.dataType for item in schema.fields}
         self.stage_dates = stage_dates
+        self.unreadable = unreadable or {}
 
     def latest(self, stage_ids: Iterable[str]) -> Column:
         """The latest date among the listed stages."""
@@ -87,7 +107,8 @@ class Scope:
         if stage and stage.group(1) in self.stage_dates:
             return Term(self.stage_dates[stage.group(1)], "date")
         if name in self.kinds:
-            return column_term(name, self.kinds[name])
+            term = column_term(name, self.kinds[name])
+            return Term(term.column, term.kind, self.unreadable.get(name))
         return Term(F.lit(None), "null")
 
 
@@ -98,9 +119,11 @@ def compile_term(node: ast.expr, scope: Scope) -> Term:
         return _constant(node.value)
     if isinstance(node, ast.UnaryOp) and isinstance(node.op, ast.USub):
         inner = compile_term(node.operand, scope)
-        return Term(-inner.column, inner.kind) if inner.numeric else Term(F.lit(None), "null")
+        return Term(-inner.column, inner.kind, inner.error) if inner.numeric else Term(F.lit(None), "null", inner.error)
     if isinstance(node, ast.BinOp):
-        return _arithmetic(node.op, compile_term(node.left, scope), compile_term(node.right, scope))
+        left, right = compile_term(node.left, scope), compile_term(node.right, scope)
+        term = _arithmetic(node.op, left, right)
+        return Term(term.column, term.kind, first_error(left.error, right.error))
     if isinstance(node, ast.Compare):
         return _comparison(node, scope)
     if isinstance(node, ast.Call) and isinstance(node.func, ast.Name):
@@ -163,10 +186,11 @@ def _comparison(node: ast.Compare, scope: Scope) -> Term:
     if isinstance(op, (ast.Eq, ast.NotEq)):
         comparable = left.kind == right.kind or (left.numeric and right.numeric)
         equal = F.coalesce(left.column == right.column, F.lit(False)) if comparable else F.lit(False)
-        return Term(equal if isinstance(op, ast.Eq) else ~equal, "bool")
+        return Term(equal if isinstance(op, ast.Eq) else ~equal, "bool", first_error(left.error, right.error))
     if type(op) not in _COMPARE:
         raise ValueError(f"comparison {type(op).__name__} is not allowed in a stage expression")
-    return Term(_COMPARE[type(op)](left.column, right.column), "bool")
+    missing = F.when(left.column.isNull() | right.column.isNull(), F.lit(f"{ast.unparse(node)}: a side is missing"))
+    return Term(_COMPARE[type(op)](left.column, right.column), "bool", first_error(left.error, right.error, missing))
 
 
 def _truth(term: Term) -> Column:
@@ -182,21 +206,24 @@ def _call(node: ast.Call, scope: Scope) -> Term:
     if name in ("cond", "iff"):
         if len(node.args) != 3:
             raise ValueError(f"{name} needs a condition and two values")
-        test = _truth(compile_term(node.args[0], scope))
+        asked = compile_term(node.args[0], scope)
+        test = _truth(asked)
         yes, no = (compile_term(arg, scope) for arg in node.args[1:])
+        error = first_error(asked.error, _chosen_error(test, yes.error, no.error))
         kinds = {yes.kind, no.kind} - {"null"}
         if kinds == {"int", "number"}:
             kinds = {"number"}
         if len(kinds) > 1:
             raise ValueError(f"{name} has values of different kinds: {sorted(kinds)}")
-        return Term(F.when(test, yes.column).otherwise(no.column), kinds.pop() if kinds else "null")
+        return Term(F.when(test, yes.column).otherwise(no.column), kinds.pop() if kinds else "null", error)
     terms = [compile_term(arg, scope) for arg in node.args]
+    error = first_error(*[term.error for term in terms])
     if name == "max":
-        return Term(latest_of([term.column for term in terms if term.kind == "date"]), "date")
+        return Term(latest_of([term.column for term in terms if term.kind == "date"]), "date", error)
     if name == "add_days":
         if len(terms) < 2 or terms[0].kind != "date" or not terms[1].numeric:
-            return Term(null_date(), "date")
-        return Term(plus_days(terms[0].column, terms[1].column), "date")
+            return Term(null_date(), "date", error)
+        return Term(plus_days(terms[0].column, terms[1].column), "date", error)
     raise ValueError(f"unknown function {name} in a stage expression")
 
 
@@ -216,14 +243,28 @@ def date_expression(text: str | None, scope: Scope) -> Column | None:
     return term.column if term.kind == "date" else None
 
 
+def expression_error(text: str | None, scope: Scope) -> Column | None:
+    """The error that a row has in the text; None where no row can have one."""
+    node = parse(text)
+    return None if node is None else compile_term(node, scope).error
+
+
 @dataclass(frozen=True)
 class Edges:
-    """Predecessors of a stage: a plain list, or two lists chosen per row."""
+    """Predecessors of a stage: a plain list, or two lists chosen per row. ``wrong`` is the error of the test."""
 
     ids: tuple[str, ...] = ()
     test: Column | None = None
     yes: Edges | None = None
     no: Edges | None = None
+    wrong: Column | None = None
+
+    @property
+    def error(self) -> Column | None:
+        """The error that a row has on the way to its list."""
+        if self.test is None:
+            return None
+        return first_error(self.wrong, _chosen_error(self.test, self.yes.error, self.no.error))
 
     def choose(self, build):
         """Apply ``build`` (list of ids -> Column) under the per-row choice."""
@@ -252,8 +293,8 @@ def _edges(node: ast.expr, scope: Scope, known: set[str]) -> Edges:
     if isinstance(node, ast.Call) and isinstance(node.func, ast.Name) and node.func.id in ("cond", "iff"):
         if len(node.args) != 3:
             raise ValueError(f"{node.func.id} needs a condition and two lists")
-        test = _truth(compile_term(node.args[0], scope))
-        return Edges((), test, _edges(node.args[1], scope, known), _edges(node.args[2], scope, known))
+        asked = compile_term(node.args[0], scope)
+        return Edges((), _truth(asked), _edges(node.args[1], scope, known), _edges(node.args[2], scope, known), asked.error)
     return Edges()
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from checks.timeline_queries import SMALL_CONFIG
 from ordertide.plans.timeline import (
-    TIMELINE_DATES, Stage, load_stages, method_counts, nested_results, stage_delay, stages_from_dict,
-    stages_long, standard_stages, timeline, topological_order, validate,
+    TIMELINE_DATES, Stage, documents, explain_stages, flat_tables, insights, load_stages, method_counts, nested_results,
+    po_delay_summary, read_documents, stage_delay, stages_from_dict, stages_long, standard_stages, team_delay, timeline,
+    timeline_or_failures, topological_order, validate,
 )
 from ordertide.plans.timeline.expressions import Scope, compile_term, parse
 from ordertide.sources import write_json
@@ -197,3 +198,54 @@ def test_nested_results_as_json(spark, tmp_path):
     documents = [json.loads(line) for part in (tmp_path / "out").glob("part-*") for line in part.read_text().splitlines()]
     assert len(documents) == 5
     assert set(documents[0]["stages"]) == set("123456") and documents[0]["summary"]["total_stages"] == 6
+
+
+def test_every_row_is_in_the_timeline_or_has_a_fatal_error(spark):
+    stages = [
+        Stage("1", "Ready", "ready", None, "made", 1), Stage("2", "Sent", "sent", "cond(n > 3, ['1'], [])", "max(made, sent)", 0),
+        Stage("3", "There", None, "cond(stage_2 > made, ['2'], cond(n == 9, ['1'], []))", "add_days(stage_2, n)", 0),
+    ]
+    df = spark.createDataFrame(
+        [("a", day(0), "2025-01-05", None, 5), ("b", day(0), "soon", "2025-01-06", 5), ("c", day(0), " ", "never", None), ("d", day(0), None, "NA", 1)],
+        "id string, made timestamp, ready string, sent string, n int")
+    good, failed = timeline_or_failures(df, stages, ["id"], keep=["id", "ready"], text_dates=["ready", "sent"])
+    found = {(r["id"], r["stage_id"], r["part"], r["fatal"]): r["error"] for r in failed.collect()}
+    assert found == {
+        ("b", "1", "actual", False): "ready is no date", ("c", "2", "preceding", True): "n > 3: a side is missing",
+        ("c", "2", "actual", False): "sent is no date", ("c", "2", "fallback", False): "sent is no date",
+        ("c", "3", "preceding", True): "stage_2 > made: a side is missing", ("d", "3", "preceding", True): "stage_2 > made: a side is missing",
+    }
+    rows = {r["id"]: r for r in good.collect()}
+    assert set(rows) == {"a", "b"} and good.columns == ["id", "ready", "stage_1", "stage_2", "stage_3"]
+    assert rows["a"]["stage_1"]["date"] == datetime(2025, 1, 5) and rows["b"]["stage_1"]["actual_date"] is None
+    strict, _ = timeline_or_failures(df, stages, ["id"], keep=["id"], text_dates=["ready", "sent"], fatal=("preceding", "actual", "fallback"))
+    assert [r["id"] for r in strict.collect()] == ["a"]
+
+
+def test_documents_come_back_whole(spark, tmp_path):
+    stages = stages_from_dict(SMALL_CONFIG)
+    df = spark.createDataFrame(random_rows(60, 5), SCHEMA)
+    delayed = stage_delay(timeline(df, stages), stages, day(3000))
+    made = documents(delayed, stages, ["po_id"])
+    write_json(made, str(tmp_path / "out"))
+    read = read_documents(spark, str(tmp_path / "out"))
+    before, after = flat_tables(made, ["po_id"]), flat_tables(read, ["po_id"])
+    assert set(before) == {"summary", "stages", "dependencies", "teams", "insights"}
+    for name in before:
+        assert before[name].schema.simpleString() == after[name].schema.simpleString()
+        assert sorted(map(repr, before[name].collect())) == sorted(map(repr, after[name].collect())), name
+    ids = lambda df, *columns: sorted(map(repr, (tuple(r) for r in df.select(*columns).collect())))
+    long = stages_long(delayed, stages, ["po_id"])
+    shown = ("po_id", "stage_id", "date", "method", "target_date", "delay_days", "delay_status", "delay_reason", "team_responsible", "target_timestamp")
+    assert ids(after["stages"], *shown) == ids(long, *shown)
+    teams = ("po_id", "team", "total_stages", "delayed_stages", "total_delay_days", "average_delay_days")
+    assert ids(after["teams"], *teams) == ids(team_delay(delayed, stages, ["po_id"]), *teams)
+    told = explain_stages(delayed, stages, ["po_id"])
+    assert ids(after["stages"], "po_id", "stage_id", "source", "decision", "reason") == ids(told, "po_id", "stage_id", "source", "decision", "reason")
+    needs = told.select("po_id", "stage_id", F.posexplode("dependencies").alias("position", "d")).select("po_id", "stage_id", "position", "d.*")
+    assert [r[3] for r in after["dependencies"].orderBy("po_id", "stage_id", "position").collect()] == [
+        r[3] for r in needs.orderBy("po_id", "stage_id", "position").collect()]
+    figures = ("po_id", "delayed_stages", "total_delay_days", "average_delay_days", "critical_path_delays")
+    assert ids(after["summary"], *figures) == ids(po_delay_summary(delayed, stages, ["po_id"]), *figures)
+    texts = insights(delayed, stages, ["po_id"]).select("po_id", F.posexplode("insights").alias("position", "insight"))
+    assert ids(after["insights"], "po_id", "position", "insight") == ids(texts, "po_id", "position", "insight")
