@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ordertide.llm.common import bounded
+from ordertide.llm.transducer import CompiledWords
+
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
 POOL = 512
-CACHED_WORDS = 600_000
+CACHED_WORDS = 100_000
+BLOCK = 2**20  # characters encoded at a time
 TASK_SHIFT = 40
 _LETTERS_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&)]*)")
 SCHEMA = "id {id}, start long, length long, ids binary, loss_tokens long, doc_tokens long, sequence_id long, offset long"
@@ -52,12 +57,19 @@ def _byte_letters() -> list[str]:
 class WordTokenizer:
     """Token ids of texts by a public tokenizer whose words never reach across white space.
 
-    Texts are cut at spaces and line breaks, and each distinct word is encoded once; the cache is dropped when full.
-    Latin letters, with or without marks after them, go to the merge model directly, since nothing in them is
-    composed, and lower-casing is plain; all other words pass through the whole tokenizer.
+    Latin texts go through the compiled machines of ``transducer``. Others are cut at spaces and line breaks, and each
+    distinct word is encoded once; the cache is dropped when full. There Latin letters, with or without marks after
+    them, go to the merge model directly, since nothing in them is composed, and lower-casing is plain; all other
+    words pass through the whole tokenizer. Whether the loaded tokenizer does treat texts so is tried on ``PROBES``; if not,
+    the machines are not used, all words pass through the whole of it, and if words do reach across white space, so do
+    whole texts.
     """
 
     LETTERS = _byte_letters()
+    PROBES = (
+        "the", "The", "ABc", "naïve", "Ünïcödé", "éÀÿ", "a.", "word,", "End).", "x!?", "Straße;", "çà*#$%&)", "it's", "I'LL", "'r", "x''t",
+        "12ab3", "a1.5%", "@mail.com", "<b>", "Tie", "rendous",
+    )
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -65,6 +77,18 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self._clear()
+        alone = [self._whole(word) for word in self.PROBES]
+        together = " \n".join(self.PROBES)
+        self.plain = True
+        self.plain = all(self._encoded(word) == ids for word, ids in zip(self.PROBES, alone))
+        self.by_word = self._whole(together) == [i for ids in alone for i in ids] and not self._whole(" \n ")
+        self._clear()
+        try:
+            self.compiled = CompiledWords(path)
+        except ValueError:
+            self.compiled = None
+        if self.compiled and [x.tolist() for x in self.compiled.encoded([*self.PROBES, together])] != [*alone, self._whole(together)]:
+            self.compiled = None
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {"": 0}
@@ -75,7 +99,7 @@ class WordTokenizer:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _encoded(self, word: str) -> list[int]:
-        match = _LETTERS_AND_MARKS.fullmatch(word)
+        match = _LETTERS_AND_MARKS.fullmatch(word) if self.plain else None
         if not match:
             return self._whole(word)
         letters, marks = match.groups()
@@ -89,20 +113,35 @@ class WordTokenizer:
             found += self.marks[marks]
         return found
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of each text, as unsigned 32-bit numbers."""
+        block: list[str] = []
+        size = 0
         for text in texts:
-            parts = text.replace("\n", " ").split(" ")
-            missing = set(parts).difference(self.known)
-            if len(self.known) + len(missing) > CACHED_WORDS:
-                self._clear()
-                missing = set(parts) - {""}
-            for word in missing:
-                self.known[word] = len(self.known)
-                self.ids.extend(self._encoded(word))
-                self.starts.append(len(self.ids))
-            at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-            yield self._gathered(at)
+            block.append(text)
+            size += len(text)
+            if size >= BLOCK:
+                yield from self._block(block)
+                block, size = [], 0
+        yield from self._block(block)
+
+    def _block(self, texts: list[str]) -> Iterator[np.ndarray]:
+        readable = [self.compiled is not None and self.compiled.reads(t) for t in texts]
+        quick = self.compiled.encoded([t for t, r in zip(texts, readable) if r]) if self.compiled else iter(())
+        for text, r in zip(texts, readable):
+            yield next(quick).astype(np.uint32) if r else self._by_word(text) if self.by_word else np.array(self._whole(text), np.uint32)
+
+    def _by_word(self, text: str) -> np.ndarray:
+        parts = text.replace("\n", " ").split(" ")
+        missing = set(parts).difference(self.known)
+        if len(self.known) + len(missing) > CACHED_WORDS:
+            self._clear()
+            missing = set(parts) - {""}
+        for word in missing:
+            self.known[word] = len(self.known)
+            self.ids.extend(self._encoded(word))
+            self.starts.append(len(self.ids))
+        return self._gathered(np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts)))
 
     def _gathered(self, at: np.ndarray) -> np.ndarray:
         starts = np.frombuffer(self.starts, np.int64)
@@ -113,6 +152,12 @@ class WordTokenizer:
         return np.frombuffer(self.ids, np.uint32)[place] if len(place) else np.zeros(0, np.uint32)
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str) -> WordTokenizer:
+    """One tokenizer per process, which keeps its states and words from task to task."""
+    return WordTokenizer(path)
+
+
 @dataclass
 class Piece:
     """Consecutive tokens of one example."""
@@ -148,7 +193,6 @@ class Packer:
     limits: Limits
     number: int
     pool: list[Piece] = field(default_factory=list)
-    demand: np.ndarray = field(default_factory=lambda: np.zeros((0, 3)))
 
     def add(self, piece: Piece) -> Iterator[tuple[Piece, int, int]]:
         rest: Piece | None = piece
@@ -164,20 +208,18 @@ class Packer:
     def empty(self, down_to: int) -> Iterator[tuple[Piece, int, int]]:
         """Fill sequences until at most ``down_to`` pieces wait."""
         limits = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], float)
-        need = [[len(p.ids), 1, p.bearing(len(p.ids))] for p in self.pool]
-        waiting = np.ones(len(self.pool), bool)
-        need = np.array(need, float).reshape(-1, 3)
+        need = np.array([[len(p.ids), 1, p.bearing(len(p.ids))] for p in self.pool], float).reshape(-1, 3)
+        share = need / limits
         left = len(self.pool)
         while left > down_to:
             room, offset = limits.copy(), 0
-            while left and room.min() > 0 or left and room[0] > 0 and room[1] > 0 and not need[waiting, 2].all():
-                fits = waiting & (need <= room).all(axis=1)
-                if fits.any():
-                    score = np.where(fits, (need / limits) @ (room / limits), -1.0)
-                    at = int(score.argmax())
+            while left and room[0] > 0 and room[1] > 0 and (room[2] > 0 or (need[:, 2] == 0).any()):
+                fits = np.flatnonzero((need <= room).all(axis=1))
+                if len(fits):
+                    at = int(fits[(share[fits] @ (room / limits)).argmax()])
                     head, rest = self.pool[at], None
                 else:
-                    at = int(np.where(waiting, need[:, 0], -1.0).argmax())
+                    at = int(np.where(np.isinf(need[:, 0]), -1.0, need[:, 0]).argmax())
                     length = self.pool[at].longest(int(room[0]), int(room[2]))
                     if length == 0:
                         break
@@ -186,13 +228,14 @@ class Packer:
                 offset += len(head.ids)
                 room -= [len(head.ids), 1, head.bearing(len(head.ids))]
                 if rest is None:
-                    waiting[at] = False
+                    need[at] = np.inf  # placed: it fits nowhere any more
                     left -= 1
                 else:
                     self.pool[at] = rest
                     need[at] = [len(rest.ids), 1, rest.bearing(len(rest.ids))]
+                    share[at] = need[at] / limits
             self.number += 1
-        self.pool = [p for p, w in zip(self.pool, waiting) if w]
+        self.pool = [p for p, n in zip(self.pool, need[:, 0]) if n < np.inf]
 
 
 def pack(
@@ -209,7 +252,7 @@ def pack(
     schema = SCHEMA.format(id=kind)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = loaded(tokenizer_path)
         packer = Packer(limits, TaskContext.get().partitionId() << TASK_SHIFT)
         end = np.array([end_id], np.uint32)
         id_type = None
@@ -217,8 +260,8 @@ def pack(
         size = 0
         for batch in batches:
             id_type = batch.column(0).type
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            prompts = tokenizer.encode([t or "" for t in batch.column(2).to_pylist()]) if prompt else None
+            texts = (t.as_py() or "" for t in batch.column(1))
+            prompts = tokenizer.encode(t.as_py() or "" for t in batch.column(2)) if prompt else None
             for one, ids in zip(batch.column(0).to_pylist(), tokenizer.encode(texts)):
                 ids, loss = np.concatenate([ids, end]), None
                 if prompts is not None:
@@ -235,7 +278,7 @@ def pack(
         if out:
             yield _batch(out, id_type)
 
-    return df.select(*columns).mapInArrow(packed, schema)
+    return df.select(*columns).mapInArrow(bounded(packed), schema)
 
 
 def _batch(rows: list[tuple[Piece, int, int]], id_type: pa.DataType) -> pa.RecordBatch:

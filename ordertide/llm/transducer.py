@@ -28,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -81,9 +81,32 @@ def _step(state: int, kind: int) -> tuple[int, int]:
     return fresh, HERE
 
 
+def _bare_step(state: int, kind: int) -> tuple[int, int]:
+    """``_step`` where white space joins no word, and every digit and every blank is a word of its own."""
+    fresh = WORD if kind in _LETTERS else {OTHER: MARKS, APOSTROPHE: QUOTE}.get(kind, FRESH)
+    if state in _FINISH:
+        if kind == _FINISH[state]:
+            return FRESH, 0
+        return fresh, BEFORE | (0 if kind in _LETTERS else HERE)
+    if state == QUOTE and kind in (SINGLE, R, V, LL):
+        return {SINGLE: FRESH, R: QUOTE_R, V: QUOTE_V, LL: QUOTE_L}[kind], 0
+    if state == WORD and kind in _LETTERS or state in (MARKS, QUOTE) and kind in (OTHER, APOSTROPHE):
+        return (MARKS if state == QUOTE else state), 0
+    return fresh, HERE
+
+
 _STATES, _KINDS = 12, 12
-_NEXT = np.array([_step(s, k)[0] for s in range(_STATES) for k in range(_KINDS)], np.uint8)
-_MARKS = np.array([_step(s, k)[1] for s in range(_STATES) for k in range(_KINDS)], np.uint8)
+
+
+class Splitter:
+    """The transitions of a splitter as tables."""
+
+    def __init__(self, step: Callable[[int, int], tuple[int, int]]):
+        edges = [step(s, k) for s in range(_STATES) for k in range(_KINDS)]
+        self.next, self.marks = (np.array([e[i] for e in edges], np.uint8) for i in (0, 1))
+
+
+SPACED, BARE = Splitter(_step), Splitter(_bare_step)
 
 
 @lru_cache(maxsize=4)
@@ -126,11 +149,11 @@ def _lanes(symbols: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(full.reshape(chunks, CHUNK).T)
 
 
-def chunk_maps(lanes: np.ndarray) -> np.ndarray:
+def chunk_maps(lanes: np.ndarray, splitter: Splitter = SPACED) -> np.ndarray:
     """For each chunk (column) the exit state of every entry state (row)."""
     states = np.repeat(np.arange(_STATES, dtype=np.uint8)[:, None], lanes.shape[1], axis=1)
     for at, row in enumerate(lanes, start=1):
-        states = _NEXT[states.astype(np.intp) * _KINDS + row]
+        states = splitter.next[states.astype(np.intp) * _KINDS + row]
         # Two characters mostly settle the state whatever the entry; then one row stands for all.
         if len(states) > 1 and at & 3 == 0 and (states == states[0]).all():
             states = states[:1]
@@ -150,14 +173,14 @@ def entry_states(maps: np.ndarray) -> np.ndarray:
     return np.concatenate([[np.uint8(FRESH)], scanned[FRESH, :-1]])
 
 
-def word_starts(symbols: np.ndarray) -> np.ndarray:
+def word_starts(symbols: np.ndarray, splitter: Splitter = SPACED) -> np.ndarray:
     """Places where words begin, in order; end marks count as words."""
     lanes = _lanes(symbols)
-    state = entry_states(chunk_maps(lanes))
+    state = entry_states(chunk_maps(lanes, splitter))
     marks = np.empty(lanes.shape, np.uint8)
     for at, row in enumerate(lanes):
         edge = state.astype(np.intp) * _KINDS + row
-        marks[at], state = _MARKS[edge], _NEXT[edge]
+        marks[at], state = splitter.marks[edge], splitter.next[edge]
     marks = marks.T.ravel()[:len(symbols)]
     here = (marks & HERE) > 0
     here[:-1] |= (marks[1:] & BEFORE) > 0
@@ -171,26 +194,43 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
+WORD_END = 0xFE  # in no UTF-8 text
+
+
 class Merges:
-    """A merge tokenizer: which tokens may stand next to each other. Tokens are numbered in the order of their bytes."""
+    """A merge tokenizer: which tokens may stand next to each other. Tokens are numbered in the order of their bytes.
+
+    Where the vocabulary marks the ends of words, ``WORD_END`` follows the last byte of a word, and joins it before any
+    other merge.
+    """
 
     def __init__(self, path: str, cached: int = 1000):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         letters = byte_letters()
-        data = {token: bytes(map(letters.__getitem__, token)) for token in model["vocab"]}
-        in_order = sorted(data, key=data.get)
-        self.tokens, self.ids = [data[token] for token in in_order], [model["vocab"][token] for token in in_order]
+        suffix, end = model.get("end_of_word_suffix") or "", bytes([WORD_END])
+
+        def spelt(token: str) -> bytes:
+            ends = suffix and token.endswith(suffix)
+            return bytes(map(letters.__getitem__, token.removesuffix(suffix) if ends else token)) + (end if ends else b"")
+
+        ids = {spelt(token): number for token, number in model["vocab"].items()}
+        merges = [tuple(map(spelt, pair.split(" ") if isinstance(pair, str) else pair)) for pair in model["merges"]]
+        if suffix:
+            ids[end] = -1
+            merges = [(bytes([b]), end) for b in range(256) if bytes([b, WORD_END]) in ids] + merges
+        self.tokens = sorted(ids)
+        self.ids = [ids[token] for token in self.tokens]
+        self.sizes = np.array([len(token) for token in self.tokens])
         number = {token: i for i, token in enumerate(self.tokens)}
         self.cached = cached
         ranks: dict[tuple[int, int], int] = {}
         self.made: dict[int, tuple[int, int, int]] = {}  # token: its left part, right part and rank
-        for rank, pair in enumerate(model["merges"]):
-            left, right = (data[p] for p in (pair.split(" ") if isinstance(pair, str) else pair))
+        for rank, (left, right) in enumerate(merges):
             one, two, whole = number[left], number[right], number[left + right]
             ranks.setdefault((one, two), rank)
             self.made.setdefault(whole, (one, two, rank))
-        self.last = len(model["merges"])
+        self.last = len(merges)
         # For each left piece of a merge its right pieces with the ranks, and for each piece the tokens that began with
         # it while they were merged, with the rank that ended it.
         right = sorted((x, rank, y) for (x, y), rank in ranks.items())
@@ -319,7 +359,7 @@ class Counter:
     def token_ends(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(token, place of its last byte) of all tokens in order; end marks have none."""
         last = self._read(data, starts, "last", np.int32)
-        sizes = np.array([len(t) for t in self.merges.tokens])
+        sizes = self.merges.sizes
         words = data[starts] != self.END_BYTE
         low, at = starts[words], np.append(starts[1:], len(data))[words] - 1
         ends = np.zeros(len(data), bool)
@@ -476,6 +516,67 @@ class CompiledTokenizer:
                     yield np.concatenate([none, *(x for x, _ in own)]), np.concatenate([none, *(x for _, x in own)])
 
 
+class CompiledWords:
+    """Token ids of Latin texts by a tokenizer that lower-cases, drops white space and marks the ends of words."""
+
+    # The settings that these machines are made for, and the characters whose lower case is one other
+    # character and which never combine with their neighbours.
+    NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+    PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+    LATIN = re.compile("[\t\n\r\x20-\x7EÀ-ÖØ-öø-ÿ]*")
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            whole = json.load(file)
+        first = (whole["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        fits = (
+            whole["model"]["type"] == "BPE" and whole["model"].get("end_of_word_suffix") and not whole["model"].get("dropout")
+            and (whole["normalizer"] or {}).get("normalizers") == self.NORMALIZERS
+            and first.get("pattern") == {"Regex": self.PATTERN} and first.get("invert") and first.get("behavior") == "Removed")
+        if not fits:
+            raise ValueError("only tokenizers of lower-cased words with marked ends can be compiled")
+        self.added = [t["content"] for t in whole["added_tokens"]]
+        self.counter = Counter(Merges(path))
+        self.ids = np.array(self.counter.merges.ids, np.int64)
+        self.classes = np.full(0x110001, OTHER, np.uint8)
+        for c in map(chr, range(256)):
+            kind = LETTER if c.isalpha() else NUMBER if c.isdigit() else BLANK if c.isspace() else OTHER
+            self.classes[ord(c)] = {"'": APOSTROPHE}.get(c, _AFTER_APOSTROPHE.get(c, kind))
+        self.classes[0x110000] = END
+
+    def reads(self, text: str) -> bool:
+        """Whether the text can be read here."""
+        return self.LATIN.fullmatch(text) is not None and not any(a in text for a in self.added)
+
+    def encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text; all must be readable."""
+        if not texts:
+            return
+        lower = [t.lower() for t in texts]
+        points = np.frombuffer(b"".join(t.encode("utf-32-le") + b"\0\0\x11\0" for t in lower), np.uint32)
+        data = np.frombuffer(b"".join(t.encode() + b"\xff" for t in lower), np.uint8)
+        kinds = self.classes[points]
+        starts = word_starts(kinds, BARE)
+        width = 1 + ((points >= 0x80) & (points < 0x110000)).astype(np.int64)
+        first = (np.cumsum(width) - width)[starts]
+        size = np.diff(np.append(first, len(data)))
+        kept = kinds[starts] != BLANK
+        ends = kinds[starts] == END
+        text = (np.cumsum(ends) - ends)[kept & ~ends]
+        words = np.repeat(kept & ~ends, size)
+        size = size[kept & ~ends]
+        # Every word is followed by its end mark, so each byte moves on by the number of words before its own.
+        marked = np.full(int(size.sum()) + len(size), WORD_END, np.uint8)
+        marked[np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)] = data[words]
+        begins = np.cumsum(size + 1) - size - 1
+        tokens, places = self.counter.token_ends(marked, begins) if len(size) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        cut = np.append(begins, len(marked))[np.searchsorted(text, np.arange(len(texts) + 1))]
+        cut = np.searchsorted(places, cut)
+        ids = self.ids[tokens]
+        for k in range(len(texts)):
+            yield ids[cut[k]:cut[k + 1]]
+
+
 @lru_cache(maxsize=1)
 def compiled(path: str, runs: tuple[tuple[int, int], ...]) -> CompiledTokenizer:
     """One compiled tokenizer per process, which keeps its states from task to task."""

@@ -1,5 +1,6 @@
 """Packing is an exact round trip within its limits; the pipeline stages agree with the operators."""
 
+import random
 import zlib
 
 import numpy as np
@@ -52,6 +53,41 @@ def test_every_token_lies_in_one_piece(spark):
     assert padding < 0.05
 
 
+def test_compiled_words_are_the_tokenizer_s():
+    tokenizer = packing.loaded(PATH)
+    assert tokenizer.plain and tokenizer.by_word and tokenizer.compiled is not None
+    rng = random.Random(3)
+    letters = "abcdefABtsvrelmd'' ..,!1234\n\t éÀßÿ<|>$%"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(70))) for _ in range(3000)] + ["", " ", "'", "x" * 5000, "ab " * 3000]
+    assert sum(map(tokenizer.compiled.reads, texts)) == len(texts)
+    for text, ids in zip(texts, tokenizer.encode(texts)):
+        assert ids.tolist() == _ids(text)[:-1], text
+
+
+def test_texts_that_are_not_latin_take_the_long_way(monkeypatch):
+    texts = [t or "" for t in ODD] + ["日本 語 " * 400, "a 😀 b", "x\x85y"]
+    monkeypatch.setattr(packing, "BLOCK", 20)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 5)
+    tokenizer = packing.WordTokenizer(PATH)
+    assert [x.tolist() for x in tokenizer.encode(texts)] == [_ids(t)[:-1] for t in texts]
+
+
+def test_another_tokenizer_is_read_whole():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, library = packing.WordTokenizer(path), Tokenizer.from_file(path)
+    assert not tokenizer.plain and not tokenizer.by_word and tokenizer.compiled is None
+    texts = ["it's  a\n\ntest", "", "Ünïcödé 12"]
+    assert [x.tolist() for x in tokenizer.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ties_repeated_rows_and_very_long_texts(spark):
+    rows = [(1, "same words here")] * 50 + [(2, "word " * 9000), (2, "word " * 9000), (3, "x" * 40000)]
+    found = packing.pack(spark.createDataFrame(rows, "k long, t string").coalesce(1), "k", "t", PATH, 1).collect()
+    _, padding = _checked(found, packing.Limits())
+    assert sum(r["length"] for r in found) == sum(len(_ids(t)) for _, t in rows)
+    assert sum(r["start"] == 0 for r in found) == len(rows) and padding < 0.2
+
+
 def test_limits_on_segments_and_loss(spark):
     rows = [(i, "some prompt words " * (i % 9), "answer " * (i % 40)) for i in range(400)]
     docs = spark.createDataFrame(rows, "k long, p string, t string").coalesce(1)
