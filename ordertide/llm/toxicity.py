@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain
 from zlib import crc32
 
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import drop_tables, materialise
+from ordertide.llm.common import bounded, drop_tables, materialise
 from ordertide.llm.words import plain_words
 
 SAMPLE = 5000
@@ -219,6 +219,20 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     return rows.join(F.broadcast(first), "nr", "left_semi").select("hash", "digest", "label", "text")
 
 
+def prior_shift(labels: DataFrame, key: str, label: str, learn: Column, n: int, ones: int) -> float:
+    """What a bias fitted on a sample of ``n`` texts, ``ones`` of class 1, lacks to the classes' shares among all labels.
+
+    A sample of so many texts a class changes only the shares of the classes, which changes only the bias of a logistic
+    score: by the log of the ratio of their odds. So scores do not move with the number of labels.
+    """
+    usable = labels.where(learn & F.col(key).isNotNull() & F.col(label).isNotNull())
+    usable = usable.groupBy(F.col(key)).agg(F.max(F.col(label).cast("int")).alias("_label"))
+    every, toxic = usable.agg(F.count("*"), F.coalesce(F.sum("_label"), F.lit(0))).first()
+    if not 0 < ones < n or not 0 < toxic < every:
+        return 0.0
+    return float(np.log(toxic / (every - toxic)) - np.log(ones / (n - ones)))
+
+
 def collected(described: DataFrame) -> pa.Table:
     """What was computed from each text of a sample, in the sample's order."""
     return described.toArrow().sort_by([("hash", "ascending"), ("digest", "ascending")])
@@ -233,9 +247,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, l
         model = Model(_start(np.repeat([1.0, 0.0], [ones, n - ones])), {})
     else:
         names = _clear_names(rows, n, ones)
-        table = collected(rows.mapInArrow(_placing(names), "hash long, digest string, label int, places binary"))
+        table = collected(rows.mapInArrow(bounded(_placing(names)), "hash long, digest string, label int, places binary"))
         places = [np.frombuffer(x.as_py(), np.int32) for x in table["places"]]
         model = _solved(table["label"].to_numpy().astype(float), names, places, _counted_swaps(rows), FAIRNESS, RIDGE)
+        model = replace(model, bias=model.bias + prior_shift(labels, key, label, learn, n, ones))
     drop_tables(docs.sparkSession, rows)
     return model
 
@@ -267,9 +282,9 @@ def _clear_names(rows: DataFrame, n: int, ones: int) -> list[bytes]:
             keep = is_clear(*(batch.column(i).to_numpy().astype(float) for i in (1, 2)), n, ones)
             yield batch.select([0]).filter(pa.array(keep))
 
-    counts = rows.mapInArrow(counted, "feature binary, total long, toxic long").groupBy("feature")
+    counts = rows.mapInArrow(bounded(counted), "feature binary, total long, toxic long").groupBy("feature")
     counts = counts.agg(F.sum("total").alias("total"), F.sum("toxic").alias("toxic")).where(F.col("total") >= LEAST)
-    return sorted(bytes(r["feature"]) for r in counts.mapInArrow(clear, "feature binary").collect())
+    return sorted(bytes(r["feature"]) for r in counts.mapInArrow(bounded(clear), "feature binary").collect())
 
 
 def _placing(names: list[bytes]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -291,7 +306,7 @@ def _counted_swaps(rows: DataFrame) -> Counter[tuple[frozenset[bytes], frozenset
             [*[pa.array([sorted(swap[i]) for swap in found], pa.list_(pa.binary())) for i in (0, 1)], pa.array(list(found.values()), pa.int64())],
             names=["gone", "come", "times"])
 
-    parts = rows.mapInArrow(counted, "gone array<binary>, come array<binary>, times long")
+    parts = rows.mapInArrow(bounded(counted), "gone array<binary>, come array<binary>, times long")
     sums = parts.groupBy("gone", "come").agg(F.sum("times").alias("times")).orderBy("gone", "come").collect()
     return Counter({(frozenset(map(bytes, r["gone"])), frozenset(map(bytes, r["come"]))): r["times"] for r in sums})
 
@@ -307,7 +322,7 @@ def scored(docs: DataFrame, key: str, text: str, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["id", "score"])
 
     only = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
-    return only.mapInArrow(score, f"id {kind}, score double")
+    return only.mapInArrow(bounded(score), f"id {kind}, score double")
 
 
 def accepted_rows(docs: DataFrame, text: str, model: Model, threshold: float) -> DataFrame:
@@ -320,4 +335,4 @@ def accepted_rows(docs: DataFrame, text: str, model: Model, threshold: float) ->
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             yield batch.filter(pa.array(model.scores(texts, cache) < threshold))
 
-    return docs.mapInArrow(accept, docs.schema)
+    return docs.mapInArrow(bounded(accept), docs.schema)
