@@ -4,10 +4,11 @@ Each text is described by some twenty numbers of its form (lengths, shares of ch
 feature's values are cut at quantiles into bins, and the score is the logistic of a sum of table entries: one per
 feature, and one per chosen pair of features. Tables are learnt by cyclic boosting: features take turns, and each
 turn adds a shallow tree's steps, fitted to the remaining error, to one table; then the pairs whose cells explain
-most of what is left are boosted alike. Scoring adds looked-up entries, for a whole batch of texts at once.
+most of what is left are boosted alike, by trees whose leaves are boxes of cells. Scoring adds looked-up entries, for a whole batch of texts at once.
 
 The model is fitted on a bounded sample: at most ``SAMPLE`` labelled texts of each class, the first by a hash of
-their id, described on the executors. Features and scores are computed in one pass over whole texts, without a shuffle.
+their id, described on the executors; the classes' shares among all labels then set the bias, so scores do not move
+with the number of labels. Features and scores are computed in one pass over whole texts, without a shuffle.
 
 Defined results: NULL and empty texts have all-zero features and a score like others; NULL labels and labels whose id
 is NULL are not used; of repeated labels of one id the highest counts; with no labels, or only one class, scores are
@@ -18,15 +19,15 @@ give no rows. Only the columns named are read.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import drop_tables
-from ordertide.llm.toxicity import collected, sample
+from ordertide.llm.common import bounded, drop_tables
+from ordertide.llm.toxicity import collected, prior_shift, sample
 
 SAMPLE = 8000
 BINS, PAIR_BINS = 32, 8
@@ -127,6 +128,39 @@ def _steps(gradient: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return out
 
 
+def _boxes(gradient: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """A tree of ``LEAVES`` leaves over the cells of two features, as its value in each cell: a leaf is a box of cells,
+    and the split, along either feature, that gains most comes first."""
+    g, h = (np.pad(x.cumsum(0).cumsum(1), ((1, 0), (1, 0))) for x in (gradient, weight))
+
+    def inside(x: np.ndarray, a, b, c, d):
+        return x[b, d] - x[a, d] - x[b, c] + x[a, c]
+
+    def value(*box):
+        return inside(g, *box) ** 2 / (inside(h, *box) + RIDGE)
+
+    leaves = [(0, gradient.shape[0], 0, gradient.shape[1])]
+    for _ in range(LEAVES - 1):
+        gain, best = 1e-12, None
+        for at, (a, b, c, d) in enumerate(leaves):
+            whole = value(a, b, c, d)
+            for cuts, parts in (
+                (np.arange(a + 1, b), lambda cut: ((a, cut, c, d), (cut, b, c, d))),
+                (np.arange(c + 1, d), lambda cut: ((a, b, c, cut), (a, b, cut, d))),
+            ):
+                if len(cuts):
+                    found = sum(value(*part) for part in parts(cuts)) - whole
+                    if found.max() > gain:
+                        gain, best = float(found.max()), (at, parts(int(cuts[found.argmax()])))
+        if best is None:
+            break
+        leaves[best[0]:best[0] + 1] = best[1]
+    out = np.zeros(gradient.shape)
+    for a, b, c, d in leaves:
+        out[a:b, c:d] = inside(g, a, b, c, d) / (inside(h, a, b, c, d) + RIDGE)
+    return out
+
+
 def fit(features: np.ndarray, labels: Sequence[int]) -> Model:
     """The model for a bounded sample of described texts."""
     y = np.asarray(labels, float)
@@ -158,11 +192,12 @@ def fit(features: np.ndarray, labels: Sequence[int]) -> Model:
 
     ranked = sorted(((gain(a, b), a, b) for a in range(width) for b in range(a + 1, width)), reverse=True)[:PAIRS]
     pairs = [(a, b, np.zeros(cells(a, b))) for _, a, b in ranked]
-    for _ in range(ROUNDS // 4):
+    for _ in range(ROUNDS // 2):
         for a, b, table in pairs:
             p = 1 / (1 + np.exp(-total))
-            g, h = (np.bincount(cell(a, b), v, len(table)) for v in (y - p, p * (1 - p)))
-            step = RATE * g / (h + RIDGE)
+            shape = (len(pair_edges[a]) + 1, len(pair_edges[b]) + 1)
+            g, h = (np.bincount(cell(a, b), v, len(table)).reshape(shape) for v in (y - p, p * (1 - p)))
+            step = RATE * _boxes(g, h).ravel()
             table += step
             total += step[cell(a, b)]
     shaped = [(a, b, t.reshape(len(pair_edges[a]) + 1, len(pair_edges[b]) + 1)) for a, b, t in pairs]
@@ -173,10 +208,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, l
           per_class: int = SAMPLE) -> Model:
     """The model for ``label``."""
     rows = sample(docs, labels, key, text, label, learn, per_class)
-    table = collected(rows.mapInArrow(_described, "hash long, digest string, label int, features array<double>"))
+    table = collected(rows.mapInArrow(bounded(_described), "hash long, digest string, label int, features array<double>"))
     drop_tables(docs.sparkSession, rows)
-    features = np.array(table["features"].to_pylist(), float).reshape(-1, len(FEATURES))
-    return fit(features, table["label"].to_pylist())
+    features, classes = np.array(table["features"].to_pylist(), float).reshape(-1, len(FEATURES)), table["label"].to_pylist()
+    model = fit(features, classes)
+    return replace(model, bias=model.bias + prior_shift(labels, key, label, learn, len(classes), sum(classes)))
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,4 +233,4 @@ def scored(docs: DataFrame, key: str, text: str, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["id", "score"])
 
     only = docs.select(F.col(key).alias("id"), F.col(text).cast("binary").alias("text"))
-    return only.mapInArrow(score, f"id {kind}, score double")
+    return only.mapInArrow(bounded(score), f"id {kind}, score double")
