@@ -7,7 +7,7 @@ from functools import wraps
 from ordertide.session import tune
 
 from . import (
-    intake_oracle, intake_queries, operator_oracle, operator_queries, status_oracle, status_queries, timeline_oracle, timeline_queries,
+    file_queries, intake_oracle, intake_queries, operator_oracle, operator_queries, status_oracle, status_queries, timeline_oracle, timeline_queries,
 )
 
 _MODULES = (
@@ -15,6 +15,7 @@ _MODULES = (
     (status_queries.QUERIES, status_oracle.ORACLE),
     (timeline_queries.QUERIES, timeline_oracle.ORACLE),
     (intake_queries.QUERIES, intake_oracle.ORACLE),
+    (file_queries.QUERIES, file_queries.ORACLE),
 )
 
 

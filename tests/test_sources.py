@@ -8,6 +8,9 @@ import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
+from checks.compare import compare, connect
+from checks.file_queries import ORACLE as FILE_ORACLE
+from checks.file_queries import QUERIES as FILES
 from ordertide.operators import publish_view
 from ordertide.session import drop_staged, staged
 from ordertide.sources import (
@@ -123,3 +126,9 @@ def test_staging_uses_the_folder_the_cluster_names(spark):
 def test_small_table_is_seen_as_small(spark):
     df = small_table(spark, [("it's", 1, None), ("b\\", 2, True)], "a string, n int, f boolean")
     assert {tuple(r) for r in df.collect()} == {("b\\", 2, True), ("it's", 1, None)}
+
+
+@pytest.mark.parametrize("name", list(FILES))
+def test_files_written_and_read_back(spark, sf, name):
+    state, detail = compare(spark, connect(sf), sf, FILES[name], FILE_ORACLE[name])
+    assert state == "ok", detail
