@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from ordertide.llm import (
     alignment, chat, decontaminate, gam, hamming, near_dedup, packing, ranked_search, shards, substrings, toxicity, transducer, warc,
 )
-from ordertide.llm.common import drop_tables, read_table
-from ordertide.llm.words import spaced_words
+from ordertide.llm.common import bounded, drop_tables, read_table
 
 SHARD_BYTES = 2**20
 WARC_RECORDS = 1000
@@ -85,27 +84,22 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What all documents keep when words of windows seen in a smaller document are removed."""
-    docs = read_table(spark, sf_dir, "documents")
-    lost = substrings.removals(docs, "doc_id", "text")
-    whole = docs.select(F.col("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        _whole_texts, "doc_id long, digest binary, n_words long, whole_sha256 string")
-    lost = lost.select(F.col("id").alias("doc_id"), "digest", "n_removed", F.sha2("kept", 256).alias("cut_sha256"))
-    return whole.join(lost, ["doc_id", "digest"], "left").select(
-        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = substrings.with_spans(docs, "doc_id", "text", "spans").select("doc_id", F.col("text").cast("binary").alias("text"), "spans")
+    return marked.mapInArrow(bounded(_kept_digests), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
-def _whole_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to what a text that keeps all words has."""
+def _kept_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text, spans) to how many words a text has and loses, and the digest of those that it keeps."""
     for batch in batches:
         rows = []
-        for text in batch.column(1):
-            words = spaced_words(text.as_py())
-            rows.append((substrings.digest_of(words), len(words), hashlib.sha256(b" ".join(words)).hexdigest()))
-        kinds = (pa.binary(), pa.int64(), pa.string())
+        for text, spans in zip(batch.column(1), batch.column(2)):
+            kept, lost = substrings.kept_words(text.as_py(), spans.as_py())
+            rows.append((len(kept) + lost, lost, hashlib.sha256(b" ".join(kept)).hexdigest()))
+        kinds = (pa.int64(), pa.int64(), pa.string())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), *[pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]],
-            names=["doc_id", "digest", "n_words", "whole_sha256"])
+            names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,22 +7,25 @@ The tree is never built whole; suffixes are split into groups by a prefix, and e
 * The prefix of a window is its anchor: of its runs of ``PREFIX`` words the one with the smallest hash. Equal windows
   have equal anchors at the same place, and neighbouring windows mostly share one, so the windows of one anchor
   travel together as one stretch of words.
-* Anchors that occur in one document only cannot repeat, and their stretches are never moved. They are found from
-  hashes in buckets of bounded size; an anchor met in several documents of one batch is sent once.
+* A text's words are hashed once, for its anchors; later steps read these. Texts move once to the stretches that repeat
+  in them, and once to the words that they lose, which are told as spans.
+* Anchors that occur in one document only cannot repeat, and their stretches are never moved. Anchors with their ids
+  are dealt by anchor and sorted, and a pass over them keeps those that several documents have.
 * Equal stretches are first counted as one, with the smallest id. Then the stretches of an anchor are one group. Where
-  more than ``GROUP`` different stretches share an anchor, the prefix is made longer, up to the whole window.
-* In a group the suffixes that start a window are sorted; neighbours agreeing in ``WINDOW`` words or more are leaves
-  of one deep internal node, whose smallest id decides for all of them.
+  more than ``GROUP`` different stretches share an anchor, its windows are split by their own first words, two words more
+  each time, until a group fits or the prefix is the whole window.
+* In a group the suffixes that start a window are sorted; neighbours with a common prefix of ``WINDOW`` words or more are
+  leaves of one deep internal node, whose smallest id decides for all of them.
 
 Equal texts (equal word sequences) are settled first: all but the one of smallest id consist of repeats.
 
-Hashes only choose groups and tell stretches of one group apart (64 bits beside the anchor's 48); windows are compared
-by their words.
+Hashes only choose groups and tell rows apart (64 bits each for anchors, for stretches beside them, and for texts
+beside their ids); windows are compared by their words.
 
 Defined results: NULL and empty texts, and texts of fewer than ``WINDOW`` words, lose nothing; rows without an id
 are kept whole and count for nobody; rows with one id never remove words from each other; texts that keep all words
 stay as they are, others are their kept words joined by spaces, which may be none. Empty tables give no rows. Only id
-and text are read; filtering keeps all columns.
+and text are read; filtering keeps all columns. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -32,187 +35,162 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import drop_tables, fresh_names, materialise
+from ordertide.llm.common import bounded, drop_tables, fresh_names, materialise
 from ordertide.llm.near_dedup import WordHasher, shingles
 from ordertide.llm.words import spaced_words
 
 WINDOW, PREFIX = 13, 5
 GROUP = 4096
+LONGER = (7, 9, 11)  # words of the prefixes that split an over-full group
 BATCH_ANCHORS = 2**18
-BUCKET_BYTES = 32 * 2**20  # of text, for each bucket of anchor hashes
-_BITS48 = np.uint64(2**48 - 1)
 
 
-def _pack48(values: np.ndarray) -> bytes:
+def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value, first window) of each anchor of a text's word hashes, in order."""
+    if len(hashes) < WINDOW:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    runs = shingles(hashes, PREFIX)
+    views = np.lib.stride_tricks.sliding_window_view(runs, WINDOW - PREFIX + 1)
+    at = views.argmin(axis=1) + np.arange(len(views))
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return runs[at[first]], first
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """48 bits of each value."""
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
-def _unpack48(data: bytes) -> np.ndarray:
+def _unpack(data: bytes) -> np.ndarray:
     out = np.zeros((len(data) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+    return out.view("<i8").ravel()
 
 
-def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(value, position, first window) of each anchor of a text's word hashes, in order."""
-    if len(hashes) < WINDOW:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    runs = shingles(hashes, PREFIX)
-    views = np.lib.stride_tricks.sliding_window_view(runs, WINDOW - PREFIX + 1)
-    at = views.argmin(axis=1) + np.arange(len(views))
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return runs[at[first]] & _BITS48, at[first], first
-
+_PREPARED = "id long, h long, digest binary, n_words long, anchors binary, steps binary"
 
-def digest_of(words: list[bytes]) -> bytes:
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
+def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, text) to the text's digest and its anchors: their values, and the windows from one to the next.
 
-def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Rows that cannot lose words, as they have too few or no id, have no anchors.
+    """
+    hasher = WordHasher()
     for batch in batches:
-        digests, counts = [], []
-        for text in batch.column(1):  # one text's words at a time: a batch's words take ten times its bytes
+        out = []
+        for one, text in zip(batch.column(0), batch.column(2)):
             words = spaced_words(text.as_py())
-            digests.append(digest_of(words))
-            counts.append(len(words))
+            value, first = anchors(hasher(words)) if one.is_valid and len(words) >= WINDOW else (_NONE, _NONE)
+            # No anchor holds for more windows than it has places in a window.
+            out.append((hashlib.sha256(b" ".join(words)).digest(), len(words), _pack(value), np.diff(first, prepend=0).astype(np.uint8).tobytes()))
+        kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int64())], names=["id", "digest", "n_words"])
-
-
-def _bucketed(buckets: int):
-    """(id, text) to rows of a bucket: anchors with their ids, anchors known to repeat, and ids known to have them."""
-
-    def rows(values: list[np.ndarray], ids: list[int]) -> Iterator[tuple]:
-        counts = [len(v) for v in values]
-        flat, owner = np.concatenate(values), np.repeat(np.array(ids, np.int64), counts)
-        order = np.lexsort((owner, flat))
-        flat, owner = flat[order], owner[order]
-        fresh = np.concatenate([[True], (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])])
-        flat, owner = flat[fresh], owner[fresh]
-        start = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
-        several = np.repeat(np.diff(np.append(start, len(flat))) > 1, np.diff(np.append(start, len(flat))))
-        known, single = np.unique(flat[several]), ~several
-        by_owner = np.lexsort((flat[single], owner[single]))
-        lone, lone_owner = flat[single][by_owner], owner[single][by_owner]
-        lone_bucket, known_bucket = lone % np.uint64(buckets), known % np.uint64(buckets)
-        for b in np.unique(np.concatenate([lone_bucket, known_bucket])).tolist():
-            here = lone_bucket == b
-            yield b, _pack48(lone[here]), lone_owner[here].tobytes(), _pack48(known[known_bucket == b]), None
-        by_owner = np.argsort(owner[several], kind="stable")
-        repeated, of = flat[several][by_owner], owner[several][by_owner]
-        for one, found in _by_id(of, repeated):
-            yield one % buckets, b"", b"", b"", (one, found)
-
-    def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
-        values, ids, size = [], [], 0
-        for batch in batches:
-            for one, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = np.unique(anchors(hasher(spaced_words(text.as_py())))[0])
-                if len(found):
-                    values.append(found)
-                    ids.append(one)
-                    size += len(found)
-                if size >= BATCH_ANCHORS:
-                    yield _bucket_batch(rows(values, ids))
-                    values, ids, size = [], [], 0
-        if values:
-            yield _bucket_batch(rows(values, ids))
-
-    return bucketed
-
-
-def _by_id(of: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    if len(of):
-        cut = np.flatnonzero(of[1:] != of[:-1]) + 1
-        for one, part in zip(of[np.concatenate([[0], cut])].tolist(), np.split(values, cut)):
-            yield one, _pack48(part)
-
-
-_BUCKET = "bucket long, lone binary, owners binary, known binary, id long, anchors binary"
-
-
-def _bucket_batch(rows: Iterator[tuple]) -> pa.RecordBatch:
-    rows = list(rows)
-    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-    columns.append(pa.array([r[4] and r[4][0] for r in rows], pa.int64()))
-    columns.append(pa.array([r[4] and r[4][1] for r in rows], pa.binary()))
-    return pa.RecordBatch.from_arrays(columns, names=["bucket", "lone", "owners", "known", "id", "anchors"])
-
-
-def _repeated(table: pa.Table) -> pa.Table:
-    """One bucket: (id, anchors) of the anchors that several documents have."""
-    join = lambda name: b"".join(x.as_py() for x in table.column(name))
-    flat, owner, known = _unpack48(join("lone")), np.frombuffer(join("owners"), np.int64), _unpack48(join("known"))
-    order = np.lexsort((owner, flat))
-    flat, owner = flat[order], owner[order]
-    start = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
-    end = np.append(start[1:], len(flat))
-    several = owner[start] != owner[end - 1] if len(flat) else np.zeros(0, bool)
-    keep = np.repeat(several | np.isin(flat[start], known), end - start)
-    flat, owner = flat[keep], owner[keep]
-    by_owner = np.argsort(owner, kind="stable")
-    out = list(_by_id(owner[by_owner], flat[by_owner]))
-    told = table.filter(pa.compute.is_valid(table.column("id"))).select(["id", "anchors"])
-    found = pa.table({"id": pa.array([x for x, _ in out], pa.int64()), "anchors": pa.array([x for _, x in out], pa.binary())})
-    return pa.concat_tables([found, told.cast(found.schema)])
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            [batch.column(0), batch.column(1), *[pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]],
+            names=["id", "h", "digest", "n_words", "anchors", "steps"])
+
+
+_NONE = np.zeros(0, np.int64)
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, anchors) to (anchor, id) rows, an anchor once per text."""
+    values, ids, size = [], [], 0
+
+    def rows() -> pa.RecordBatch:
+        owner = np.repeat(np.array(ids, np.int64), [len(v) for v in values])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([_NONE, *values])), pa.array(owner)], names=["anchor", "id"])
+
+    for batch in batches:
+        for one, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            values.append(np.unique(_unpack(packed.as_py())))
+            ids.append(one)
+            size += len(values[-1])
+            if size >= BATCH_ANCHORS:
+                yield rows()
+                values, ids, size = [], [], 0
+    yield rows()
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, id), sorted, to the rows whose anchor several ids have.
+
+    Of a run of one anchor only rows of its first id wait, until another id comes.
+    """
+    wait_anchor, wait_id = _NONE, _NONE
+    known = None  # the anchor of the last run, once it is known to repeat
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        anchor = np.concatenate([wait_anchor, batch.column(0).to_numpy()])
+        one = np.concatenate([wait_id, batch.column(1).to_numpy()])
+        start = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        end = np.append(start[1:], len(anchor))
+        several = one[start] != one[end - 1]
+        if known is not None and anchor[0] == known:
+            several[0] = True
+        keep = np.repeat(several, end - start)
+        waits = len(anchor) if several[-1] else int(start[-1])
+        known = anchor[-1] if several[-1] else None
+        wait_anchor, wait_id = anchor[waits:], one[waits:]
+        keep[waits:] = False
+        yield pa.RecordBatch.from_arrays([pa.array(anchor[keep]), pa.array(one[keep])], names=["anchor", "id"])
+
+
+_STRETCH = "anchor long, id long, h long, start int, content binary"
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, n_words, anchors, steps, repeated) to (id, h, anchors, firsts, ends) of the anchors that repeat."""
+    for batch in batches:
+        out = []
+        for n_words, value, step, found in zip(*(batch.column(i) for i in range(2, 6))):
+            value, first = _unpack(value.as_py()), np.cumsum(np.frombuffer(step.as_py(), np.uint8), dtype=np.int64)
+            # The stretch of an anchor ends with the last word of its last window.
+            end = np.append(first[1:], n_words.as_py() - WINDOW + 1) + WINDOW - 1
+            at = np.isin(value, found.values.to_numpy())
+            out.append((value[at], first[at], end[at]))
+        lists = [pa.array([r[i] for r in out], pa.list_(pa.int64())) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["id", "h", "anchors", "firsts", "ends"])
+
+
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, text) to (id, h, words joined by spaces and compressed), to move less."""
     import zstandard
 
     press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
-        digests, packed = [], []
-        for text in batch.column(1):
-            words = spaced_words(text.as_py())
-            digests.append(digest_of(words))
-            packed.append(press.compress(b" ".join(words)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(digests, pa.binary()), pa.array(packed, pa.binary())], names=["id", "digest", "packed"])
+        packed = [press.compress(b" ".join(spaced_words(t.as_py()))) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["id", "h", "packed"])
 
 
-def _stretches(with_words: bool):
-    """(id, version, packed, anchors) to the stretches of windows whose anchor repeats."""
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, packed, anchors, firsts, ends) to the stretches of windows whose anchor repeats."""
     import zstandard
 
-    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, unpress = WordHasher(), zstandard.ZstdDecompressor()
-        for batch in batches:
-            # A long document has many stretches; about 32k go into one batch.
-            out: list[tuple] = []
-            for row in zip(*(batch.column(i) for i in range(4))):
-                one, version, packed, found = (x.as_py() for x in row)
-                words = unpress.decompress(packed).split()
-                value, at, first = anchors(hasher(words))
-                known = np.concatenate([_unpack48(x) for x in found])
-                after = np.append(first[1:], len(words) - WINDOW + 1)
-                for i in np.flatnonzero(np.isin(value, known)).tolist():
-                    start = int(first[i])
-                    content = b" ".join(words[start:int(after[i]) - 1 + WINDOW])
-                    mark = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little", signed=True)
-                    out.append((int(value[i]), mark, one, version, start, content if with_words else None))
-                if len(out) >= 2**15:
-                    yield _stretch_batch(out, with_words)
-                    out = []
-            if out:
-                yield _stretch_batch(out, with_words)
-
-    return stretches
-
-
-def _stretch_batch(rows: list[tuple], with_words: bool) -> pa.RecordBatch:
-    names, kinds = ["anchor", "mark", "id", "version", "start"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-    if with_words:
-        names, kinds = [*names, "content"], [*kinds, pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
-
-
-_STRETCH = "anchor long, mark long, id long, version int, start int"
+    unpress = zstandard.ZstdDecompressor()
+    for batch in batches:
+        out: list[tuple] = []
+        for row in zip(*(batch.column(i) for i in range(6))):
+            one, h, joined = row[0].as_py(), row[1].as_py(), unpress.decompress(row[2].as_py())
+            value, first, end = (x.values.to_numpy() for x in row[3:])
+            # Word i lies from begin[i] to before begin[i + 1] - 1.
+            begin = np.concatenate([[0], np.flatnonzero(np.frombuffer(joined, np.uint8) == 32) + 1, [len(joined) + 1]])
+            left, right = begin[first].tolist(), (begin[end] - 1).tolist()
+            out += [(v, one, h, s, joined[x:y]) for v, s, x, y in zip(value.tolist(), first.tolist(), left, right)]
+            if len(out) >= 2**15:  # a long document has many
+                yield _stretch_batch(out)
+                out = []
+        if out:
+            yield _stretch_batch(out)
+
+
+def _stretch_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["anchor", "id", "h", "start", "content"])
 
 
 def smallest_below(group: list[tuple[list[bytes], int]]) -> list[list[int]]:
@@ -284,66 +262,84 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["anchor", "mark", "s", "words", "low", "high"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, digest, packed, parts) to (id, digest, n_removed, kept)."""
-    import zstandard
-
-    unpress = zstandard.ZstdDecompressor()
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, parts) to (id, h, spans); ``parts`` are stretches: start, smallest id of each window."""
     for batch in batches:
-        removed, kept = [], []
-        for row in zip(*(batch.column(i) for i in (0, 2, 3))):
-            one, packed, parts = (x.as_py() for x in row)
-            words = unpress.decompress(packed).split()
-            edge = np.zeros(len(words) + 1, np.int64)
-            for part in parts:
-                for w, low in enumerate(part["lows"], part["start"]):
-                    if low < one:
-                        edge[w] += 1
-                        edge[w + WINDOW] -= 1
-            gone = np.cumsum(edge[:-1]) > 0
-            removed.append(int(gone.sum()))
-            kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g))
+        found = []
+        for one, parts in zip(batch.column(0).to_pylist(), batch.column(2)):
+            starts, lows = parts.values.field("start").to_numpy(), parts.values.field("lows")
+            size = np.diff(lows.offsets.to_numpy())
+            low = lows.values.to_numpy()[lows.offsets[0].as_py():lows.offsets[-1].as_py()]
+            window = np.unique((np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(len(low)))[low < one])
+            new = np.flatnonzero(np.concatenate([[True], window[1:] > window[:-1] + WINDOW]))  # windows that touch are one span
+            found.append(np.stack([window[new], window[np.append(new[1:], len(window)) - 1] + WINDOW], axis=1).ravel())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())],
-            names=["id", "digest", "n_removed", "kept"])
+            [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["id", "h", "spans"])
+
+
+def text_mark(text: str) -> Column:
+    """What tells texts under one id apart."""
+    return F.xxhash64(F.col(text).cast("binary"))
 
 
 def removals(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The documents that lose words: (id, digest, n_removed, kept), ``kept`` the words left as bytes.
+    """(id, h, spans) once for each text that loses words, a table in the shared folder. Ids must be whole numbers.
 
-    ``digest`` tells texts under one id apart, see ``digest_of``. Ids must be whole numbers.
+    ``h`` is the text's ``text_mark``; ``spans`` are the words lost: first, end, first, end, ... in rising order.
     """
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text")).where("id IS NOT NULL")
-    seen = materialise(rows.mapInArrow(_digested, "id long, digest binary, n_words long"), "repeats-digests")
-    texts = seen.distinct()
-    texts = texts.join(seen.groupBy("digest").agg(F.min("id").alias("low")), "digest")
-    texts = texts.withColumn("version", F.row_number().over(Window.partitionBy("id").orderBy("digest")))
-    texts = materialise(texts, "repeats-texts")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, total // BUCKET_BYTES)
-    spread = rows.mapInArrow(_bucketed(buckets), _BUCKET)
-    repeated = spread.groupBy("bucket").applyInArrow(_repeated, "id long, anchors binary")
-    repeated = repeated.groupBy("id").agg(F.collect_list("anchors").alias("anchors"))
-    firsts = texts.where(f"id = low AND n_words >= {WINDOW}").select("id", "digest", "version").join(repeated, "id")
-    packed = rows.mapInArrow(_packed, "id long, digest binary, packed binary")
-    known = packed.join(firsts, ["id", "digest"]).dropDuplicates(["id", "digest"])
-    known = materialise(known.select("id", "version", "packed", "anchors", "digest"), "repeats-candidates")
-    source = known.select("id", "version", "packed", "anchors")
-    stretches = source.mapInArrow(_stretches(True), _STRETCH + ", content binary")
+    spark = docs.sparkSession
+    rows = docs.select(F.col(key).cast("long").alias("id"), text_mark(text).alias("h"), F.col(text).cast("binary").alias("text"))
+    seen = materialise(rows.mapInArrow(bounded(_prepared), _PREPARED), "repeats-texts")
+    texts = seen.where(F.col("id").isNotNull() & (F.col("n_words") >= WINDOW)).select("id", "h", "digest", "n_words").distinct()
+    texts = materialise(texts.join(texts.groupBy("digest").agg(F.min("id").alias("low")), "digest").drop("digest"), "repeats-lows")
+    firsts = texts.where("id = low").select("id", "h")
+    own = seen.select("id", "h", "n_words", "anchors", "steps").join(firsts, ["id", "h"], "left_semi")
+    pairs = own.select("id", "anchors").mapInArrow(bounded(_exploded), "anchor long, id long")
+    pairs = pairs.repartition("anchor").sortWithinPartitions("anchor", "id")
+    repeated = pairs.mapInArrow(_repeated, "anchor long, id long").groupBy("id").agg(F.collect_set("anchor").alias("repeated"))
+    places = own.dropDuplicates(["id", "h"]).join(repeated, "id").select("id", "h", "n_words", "anchors", "steps", "repeated").mapInArrow(
+        bounded(_placed), "id long, h long, anchors array<long>, firsts array<long>, ends array<long>")
+    places = materialise(places, "repeats-places")
+    drop_tables(spark, seen)
+    packed = rows.mapInArrow(bounded(_squeezed), "id long, h long, packed binary")
+    known = packed.join(places, ["id", "h"]).dropDuplicates(["id", "h"]).select("id", "h", "packed", "anchors", "firsts", "ends")
+    known = materialise(known, "repeats-candidates")
+    drop_tables(spark, places)
+    stretches = known.mapInArrow(bounded(_stretches), _STRETCH).withColumn("mark", F.xxhash64("content"))
     groups = stretches.groupBy("anchor", "mark", "content").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     lows = _decided(groups)
-    found = source.mapInArrow(_stretches(False), _STRETCH).join(lows, ["anchor", "mark"])
+    found = stretches.select("anchor", "mark", "id", "h", "start").join(lows, ["anchor", "mark"])
     found = found.where(F.exists("lows", lambda low: low < F.col("id")))
-    parts = found.groupBy("id", "version").agg(F.collect_list(F.struct("start", "lows")).alias("parts"))
-    cut = known.select("id", "version", "digest", "packed").join(parts, ["id", "version"]).select("id", "digest", "packed", "parts")
-    cut = cut.mapInArrow(_cut, "id long, digest binary, n_removed long, kept binary")
-    copies = texts.where(f"low < id AND n_words >= {WINDOW}").select(
-        "id", "digest", F.col("n_words").alias("n_removed"), F.lit(b"").alias("kept"))
-    out = materialise(cut.unionByName(copies), "repeats-removed")
-    drop_tables(docs.sparkSession, seen, texts, known, lows)
+    parts = found.groupBy("id", "h").agg(F.collect_list(F.struct("start", "lows")).alias("parts"))
+    spans = parts.mapInArrow(bounded(_spans), "id long, h long, spans array<long>")
+    copies = texts.where("low < id").select("id", "h", F.array(F.lit(0).cast("long"), F.col("n_words")).alias("spans"))
+    out = materialise(spans.unionByName(copies), "repeats-spans")
+    drop_tables(spark, texts, known, lows)
     return out
 
 
+def kept_words(text: bytes | None, spans: list[int] | None) -> tuple[list[bytes], int]:
+    """The words that a text keeps, and how many it loses."""
+    words = spaced_words(text)
+    if not spans:
+        return words, 0
+    kept, at = [], 0
+    for first, end in zip(spans[::2], spans[1::2]):
+        kept += words[at:first]
+        at = end
+    kept += words[at:]
+    return kept, len(words) - len(kept)
+
+
+def with_spans(docs: DataFrame, key: str, text: str, name: str) -> DataFrame:
+    """``docs`` with all columns, and the spans that each row's text loses, or NULL, as column ``name``."""
+    lost = removals(docs, key, text)
+    id_, mark = fresh_names([*docs.columns, name], "lost_id", "lost_mark")
+    lost = lost.select(F.col("id").alias(id_), F.col("h").alias(mark), F.col("spans").alias(name))
+    same = (F.col(key).cast("long") == F.col(id_)) & (text_mark(text) == F.col(mark))
+    return docs.join(lost, same, "left").select(*[docs[c] for c in docs.columns], name)
+
+
 def _decided(groups: DataFrame) -> DataFrame:
     """(anchor, mark, lows) of the stretches of which some document loses words."""
     groups = materialise(groups, "repeats-groups")
@@ -351,47 +347,86 @@ def _decided(groups: DataFrame) -> DataFrame:
     large = materialise(large, "repeats-large")
     columns = ["anchor", "mark", "content", "low", "high"]
     if large.isEmpty():
-        return _written(_grouped(groups.select(*columns)), groups)
+        return _written(_grouped(groups.select(*columns), "anchor"), groups, large)
     small = groups.join(large, "anchor", "left_anti").select(*columns)
     windows = groups.join(large, "anchor", "left_semi").select(*columns).mapInArrow(
-        _windows, "anchor long, mark long, s int, words binary, low long, high long")
-    least = windows.groupBy("words").agg(F.min("low").alias("least"))
-    lows = windows.join(least, "words").groupBy("anchor", "mark").agg(
+        bounded(_windows), "anchor long, mark long, s int, words binary, low long, high long")
+    lows = _lengthened(materialise(windows, "repeats-windows")).groupBy("anchor", "mark").agg(
         F.sort_array(F.collect_list(F.struct("s", "least"))).alias("lows"), F.max("high").alias("high"))
     lows = lows.select("anchor", "mark", F.col("lows.least").alias("lows"), "high")
     lows = lows.where(F.exists("lows", lambda low: low < F.col("high"))).drop("high")
-    return _written(_grouped(small).unionByName(lows), groups)
+    return _written(_grouped(small, "anchor").unionByName(lows), groups, large)
+
+
+def _lengthened(windows: DataFrame) -> DataFrame:
+    """(anchor, mark, s, high, least): the smallest id below each window's node, over groups of ever longer prefixes."""
+    settled, rest = None, windows
+    for length in LONGER:
+        split = rest.withColumn("prefix", F.substring_index(F.col("words").cast("string"), " ", length))
+        sizes = split.groupBy("prefix").count()
+        small = split.join(sizes.where(F.col("count") <= GROUP).select("prefix"), "prefix")
+        least = small.repartition("prefix").sortWithinPartitions("prefix").select("prefix", "words", "low", "anchor", "mark", "s", "high")
+        least = least.mapInArrow(_least, "anchor long, mark long, s int, high long, least long")
+        settled = least if settled is None else settled.unionByName(least)
+        rest = split.join(sizes.where(F.col("count") > GROUP).select("prefix"), "prefix").drop("prefix")
+    # The whole window as the prefix: all leaves of a group lie below one node.
+    whole = rest.join(rest.groupBy("words").agg(F.min("low").alias("least")), "words").select("anchor", "mark", "s", "high", "least")
+    return settled.unionByName(whole)
+
+
+def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows, sorted by prefix, to the smallest id of the node that each lies below; a group is held at a time."""
+    def settle(group: list[tuple]) -> list[tuple]:
+        lows = smallest_below([(row[1].split(), row[2]) for row in group])
+        return [(*row[3:], low[0]) for row, low in zip(group, lows)]
+
+    group: list[tuple] = []
+    for batch in batches:
+        done: list[tuple] = []
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if group and group[0][0] != row[0]:
+                done += settle(group)
+                group = []
+            group.append(row)
+        yield _least_batch(done)
+    yield _least_batch(settle(group))
+
 
+def _least_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["anchor", "mark", "s", "high", "least"])
 
-def _written(lows: DataFrame, groups: DataFrame) -> DataFrame:
+
+def _written(lows: DataFrame, *used: DataFrame) -> DataFrame:
     """``lows`` as a table; the groups' words are not needed any more."""
-    lows = materialise(lows, "repeats-lows")
-    drop_tables(lows.sparkSession, groups)
+    lows = materialise(lows, "repeats-decided")
+    drop_tables(lows.sparkSession, *used)
     return lows
 
 
-def _grouped(groups: DataFrame) -> DataFrame:
-    return groups.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        _subtrees, "anchor long, mark long, lows array<long>")
+def _grouped(groups: DataFrame, by: str) -> DataFrame:
+    return groups.repartition(by).sortWithinPartitions(by).mapInArrow(
+        bounded(_subtrees), "anchor long, mark long, lows array<long>")
 
 
 def cleaned(docs: DataFrame, key: str, text: str, length: str | None = None) -> DataFrame:
     """``docs`` with all columns, repeated words taken out of ``text``; ``length``, if named, is its new length."""
-    lost = removals(docs, key, text)
     columns = docs.columns
-    own, id_, digest, kept = fresh_names(columns, "own_digest", "lost_id", "lost_digest", "kept")
-    lost = lost.select(F.col("id").alias(id_), F.col("digest").alias(digest), F.col("kept").cast("string").alias(kept))
-    at = columns.index(text)
+    (spans,) = fresh_names(columns, "spans")
+    at, last = columns.index(text), len(columns)
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
-            digests = pa.array([digest_of(spaced_words(t)) for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=[*columns, own])
-
-    marked = docs.mapInArrow(keyed, docs.select("*", F.lit(b"").alias(own)).schema)
-    same = (F.col(key).cast("long") == F.col(id_)) & (F.col(own) == F.col(digest))
-    out = marked.join(lost, same, "left").withColumn(text, F.coalesce(kept, text))
+            texts = [
+                t.as_py() if not s.is_valid else b" ".join(kept_words(t.as_py().encode(), s.as_py())[0]).decode()
+                for t, s in zip(batch.column(at), batch.column(last))
+            ]
+            arrays = [pa.array(texts, batch.column(at).type) if i == at else batch.column(i) for i in range(last + 1)]
+            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+
+    marked = with_spans(docs, key, text, spans)
+    out = marked.mapInArrow(bounded(cut), marked.schema)
     if length:
-        out = out.withColumn(length, F.when(F.col(id_).isNull(), F.col(length)).otherwise(F.length(text)))
+        out = out.withColumn(length, F.when(F.col(spans).isNull(), F.col(length)).otherwise(F.length(text)))
     return out.select(*columns)
