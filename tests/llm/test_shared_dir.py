@@ -1,11 +1,12 @@
-"""Only a local session may do without a shared folder."""
+"""Only a local session may do without a shared folder; batches handed to Python are bounded."""
 
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
-from checks.tables import staging_dir
-from ordertide.llm.common import shared_dir
+from ordertide.llm import common
+from ordertide.llm.common import bounded, shared_dir
 
 
 def _session(master):
@@ -14,8 +15,17 @@ def _session(master):
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
-@pytest.mark.parametrize("folder", [shared_dir, staging_dir])
-def test_a_cluster_needs_a_shared_folder(folder):
-    assert folder(_session("local[2]"))
+def test_a_cluster_needs_a_shared_folder():
+    assert shared_dir(_session("local[2]"))
     with pytest.raises(ValueError):
-        folder(_session("spark://host:7077"))
+        shared_dir(_session("spark://host:7077"))
+
+
+def test_batches_are_cut_and_keep_their_rows(monkeypatch):
+    monkeypatch.setattr(common, "BATCH_BYTES", 1000)
+    rows = [b"x" * n for n in (10, 5000, 0, 300, 300, 300, 300, 300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows), pa.array(range(8))], names=["a", "b"])
+    empty = batch.slice(0, 0)
+    found = list(bounded(lambda batches: batches)(iter([batch, empty, batch.slice(2, 1)])))
+    assert [x for b in found for x in b.column(0).to_pylist()] == [*rows, b""]
+    assert len(found) > 4 and any(b.num_rows == 0 for b in found)
