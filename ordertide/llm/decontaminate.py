@@ -15,18 +15,17 @@ as no item but their words are still hit. Empty tables give no rows, or no hits.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import drop_tables, materialise
+from ordertide.llm.common import bounded, drop_tables, materialise
 from ordertide.llm.words import plain_words
 
 WINDOW = 10
-BLOCK_BYTES = 8 * 2**20
+BLOCK_BYTES = 2 * 2**20  # about 200 MB of tables in a task
 #: Which words are hit, as pairs of first word and end, and the items found.
 MARKS = "id {id}, text binary, n_words long, spans array<int>, items array<string>"
 
@@ -39,17 +38,19 @@ class PatternTable:
         self.block = min(2, length)
         self.skip = length - self.block + 1
         self.shift: dict[bytes, int] = {}
-        self.buckets: dict[bytes, dict[tuple[bytes, ...], set[str | None]]] = defaultdict(dict)
+        self.buckets: dict[bytes, dict[tuple[bytes, ...], tuple[str | None, ...]]] = {}
 
     def add(self, pattern: tuple[bytes, ...], item: str | None) -> None:
-        known = self.buckets[b" ".join(pattern[-self.block:])].setdefault(pattern, set())
+        bucket = self.buckets.setdefault(b" ".join(pattern[-self.block:]), {})
+        known = bucket.get(pattern, ())
         if not known:
             for end in range(self.block, self.length + 1):
                 block = b" ".join(pattern[end - self.block:end])
                 self.shift[block] = min(self.shift.get(block, self.skip), self.length - end)
-        known.add(item)
+        if item not in known:
+            bucket[pattern] = (*known, item)
 
-    def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, set[str | None]]]:
+    def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, tuple[str | None, ...]]]:
         """(first word, items) of each pattern found."""
         shift, skip, length = self.shift.get, self.skip, self.length
         two = self.block == 2
@@ -108,9 +109,9 @@ def _search(marked: DataFrame, patterns: list[PatternTable], schema: str, keep_t
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, all_spans, all_items = [], [], []
-            for text, spans, items in zip(*(batch.column(i).to_pylist() for i in (1, 3, 4))):
-                words = plain_words(text)
-                spans, items = list(spans), set(items)
+            for text, spans, items in zip(*(batch.column(i) for i in (1, 3, 4))):
+                words = plain_words(text.as_py())
+                spans, items = spans.as_py(), set(items.as_py())
                 for table in patterns:
                     for first, found in table.occurrences(words):
                         # Runs of overlapping windows are kept as one span.
@@ -128,7 +129,7 @@ def _search(marked: DataFrame, patterns: list[PatternTable], schema: str, keep_t
                 pa.array(all_items, pa.list_(pa.string())),
             ], names=["id", "text", "n_words", "spans", "items"])
 
-    return marked.mapInArrow(searched, schema)
+    return marked.mapInArrow(bounded(searched), schema)
 
 
 def contamination(
@@ -141,10 +142,13 @@ def contamination(
     marked = docs.select(
         F.col(key).alias("id"), F.col(text).cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<int>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"))
-    waiting = None
+    waiting, last = None, None
     for block in item_blocks(items, item_key, item_text, block_bytes):
         if waiting is not None:
             marked = materialise(_search(marked, waiting, schema, True), "decontaminate")
+            if last is not None:
+                drop_tables(docs.sparkSession, last)
+            last = marked
         waiting = pattern_tables(block, window)
     return _search(marked, waiting or [], schema, False).drop("text")
 
@@ -168,8 +172,8 @@ def _without(docs: DataFrame, patterns: list[PatternTable], text: str) -> DataFr
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).cast(pa.binary()).to_pylist()
+            texts = (t.as_py() for t in batch.column(at).cast(pa.binary()))
             keep = [not any(True for p in patterns for _ in p.occurrences(plain_words(t))) for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(bounded(clean), docs.schema)

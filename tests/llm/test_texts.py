@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -288,3 +289,17 @@ def test_clean_rows_searches_one_block_at_a_time(spark):
     out = decontaminate.clean_rows(docs, bench, "i", "t", block_bytes=1)
     assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert sorted(r["d"] for r in out.collect()) == [4, 5]
+
+
+def test_a_block_at_its_limit_is_bounded():
+    """The tables of as many benchmark bytes as one block may hold, of words that mostly differ."""
+    rng = random.Random(14)
+    text, size = [], 0
+    while size < decontaminate.BLOCK_BYTES // 8:  # an eighth, so that the test is quick
+        text.append(f"w{rng.randrange(200000)}".encode())
+        size += len(text[-1]) + 1
+    tracemalloc.start()
+    tables = decontaminate.pattern_tables([("item", b" ".join(text))], decontaminate.WINDOW)
+    used = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert tables and used * 8 < 300 * 2**20
