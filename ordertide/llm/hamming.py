@@ -77,10 +77,12 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     still = queries.select(F.col("code").alias("qcode"), F.lit(CODE_BITS).alias("kth")).distinct()
     still = materialise(still, "hamming-open")
     found, done = None, None
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
     for radius in range(WIDTH + 1):
         flips = F.explode(_flips(radius))
-        probes = still.select("qcode", "kth", F.explode(_segments(F.col("qcode"))).alias("s")).select(
-            "qcode", "kth", "s.segment", F.col("s.value").alias("own"), flips.alias("flip"))
+        # A few rows become thousands of probes each, so they are dealt to all cores first.
+        dealt = still.select("qcode", "kth", F.explode(_segments(F.col("qcode"))).alias("s")).repartition(tasks, "qcode", "s")
+        probes = dealt.select("qcode", "kth", "s.segment", F.col("s.value").alias("own"), flips.alias("flip"))
         probes = probes.select("qcode", "kth", "segment", F.col("own").bitwiseXOR(F.col("flip")).cast("int").alias("value"))
         # The probes are many more than their estimated size, so they must never be broadcast.
         met = probes.hint("merge").join(index, ["segment", "value"]).where(_worth(radius)).select(
