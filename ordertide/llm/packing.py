@@ -18,6 +18,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,14 @@ from pyspark.sql import functions as F
 from ordertide.llm.common import bounded
 from ordertide.llm.transducer import CompiledWords
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
 POOL = 512
 CACHED_WORDS = 100_000
-BLOCK = 2**20  # characters encoded at a time
+BLOCK = 2**18  # characters encoded at a time
 TASK_SHIFT = 40
 _LETTERS_AND_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&)]*)")
 SCHEMA = "id {id}, start long, length long, ids binary, loss_tokens long, doc_tokens long, sequence_id long, offset long"
@@ -72,10 +76,7 @@ class WordTokenizer:
     )
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.path, self.library = path, None
         self._clear()
         alone = [self._whole(word) for word in self.PROBES]
         together = " \n".join(self.PROBES)
@@ -89,6 +90,16 @@ class WordTokenizer:
             self.compiled = None
         if self.compiled and [x.tolist() for x in self.compiled.encoded([*self.PROBES, together])] != [*alone, self._whole(together)]:
             self.compiled = None
+        if self.compiled:
+            self.library = None  # until a text needs it
+
+    @property
+    def tokenizer(self) -> Tokenizer:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return self.library
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {"": 0}
@@ -106,7 +117,7 @@ class WordTokenizer:
         letters = letters.lower()
         if not letters.isascii():
             letters = "".join(map(self.LETTERS.__getitem__, letters.encode()))
-        found = [t.id for t in self.model.tokenize(letters)]
+        found = [t.id for t in self.tokenizer.model.tokenize(letters)]
         if marks:
             if marks not in self.marks:
                 self.marks[marks] = self._whole(marks)

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 PART = 2**20  # characters read at a time
 CHUNK = 256  # characters, or bytes, of one chunk
 MAX_STATES = 40_000
+MORE_STATES = 4096
 SCHEMA = "id {id}, n_bytes long, n_tokens long"
 
 # Classes of characters. SINGLE, R, E, V and LL are letters that matter after an apostrophe.
@@ -204,7 +205,7 @@ class Merges:
     other merge.
     """
 
-    def __init__(self, path: str, cached: int = 1000):
+    def __init__(self, path: str, cached: int = 400):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         letters = byte_letters()
@@ -300,9 +301,10 @@ class Counter:
         self._clear()
 
     def _clear(self) -> None:
-        size = 1024
-        self.next, self.change = np.full(size * 256, -1, np.int32), np.zeros(size * 256, np.int16)
-        self.last = np.full(size * 256, -1, np.int32)
+        # Transitions of all states in rows of 256, grown by a fixed number of states, since workers keep them.
+        self.next = np.full(MORE_STATES * 256, -1, np.int32)
+        self.change = np.zeros(MORE_STATES * 256, np.int16)
+        self.last = np.zeros(MORE_STATES * 256, np.min_scalar_type(len(self.merges.tokens)))
         #: A state: the token before the guess that begins here, and the other open guesses, each (its count less the
         #: valid one's, trie node, which tokens below the node may follow the token before it).
         self.states: list[tuple] = []
@@ -316,9 +318,10 @@ class Counter:
             number = self.known[state] = len(self.states)
             self.states.append(state)
             if number * 256 >= len(self.next):
-                self.next = np.concatenate([self.next, np.full(len(self.next), -1, np.int32)])
-                self.change = np.concatenate([self.change, np.zeros(len(self.change), np.int16)])
-                self.last = np.concatenate([self.last, np.full(len(self.last), -1, np.int32)])
+                more = MORE_STATES * 256
+                self.next = np.concatenate([self.next, np.full(more, -1, np.int32)])
+                self.change = np.concatenate([self.change, np.zeros(more, np.int16)])
+                self.last = np.concatenate([self.last, np.zeros(more, self.last.dtype)])
         return number
 
     def _representative(self, token: int) -> int:
