@@ -1,7 +1,8 @@
 """Chat formatting: reply trees to the best-scored paths, each formatted as one conversation.
 
-Only DataFrame functions. Paths are enumerated with ids alone: ancestors of all leaves are found by joining
-the parent table with itself, doubling the distance each round, so a path of n turns takes log2(n) rounds.
+Only DataFrame functions. Paths are found with ids alone: the step table, a node's ancestor with the sum of the scores
+on the way, is joined with itself, doubling the distance each round, so a path of n turns takes log2(n) rounds and every
+node on it at most one row in each. That ranks the leaves; only the chosen paths are then written out node by node, by the same steps.
 Texts are joined once, to the chosen paths.
 
 The template writes a turn as ``### role: text</turn>`` and a line break. Inside texts and roles a backslash is
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import materialise, null_safe_key
+from ordertide.llm.common import drop_tables, materialise, null_safe_key
 
 HEAD, COLON, END = "### ", ": ", "</turn>\n"
 
@@ -67,30 +68,42 @@ def best_paths(nodes: DataFrame, best: int) -> tuple[DataFrame, DataFrame]:
     keyed = keyed.groupBy("tree", "node").agg(first.alias("row")).select("tree", "node", "row.*")
     keyed = materialise(keyed, "chat-nodes")
     ids = keyed.select("tree", "node", "parent_id", "score")
-    known = ids.select("tree", F.col("node").alias("to"))
-    hop = ids.select("tree", "node", F.col("parent_id").alias("to")).join(known, ["tree", "to"])
-    hop = materialise(hop.select("tree", "node", "to"), "chat-hop")
-    roots = ids.join(hop, ["tree", "node"], "left_anti").select("tree", "node", F.lit(True).alias("is_root"))
-    leaves = ids.join(hop.select("tree", F.col("to").alias("node")), ["tree", "node"], "left_anti")
-    reached = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up"))
+    known = ids.select("tree", F.col("node").alias("to"), F.lit(True).alias("known"))
+    # A node's path up to, but without, the node that ``to`` names; above the root there is none.
+    step = ids.withColumnRenamed("parent_id", "to").join(known, ["tree", "to"], "left").select(
+        "tree", "node", F.when(F.col("known"), F.col("to")).alias("to"), F.col("score").alias("sum"), F.lit(1).cast("long").alias("turns"))
+    step = materialise(step, "chat-steps")
+    leaves = ids.select("tree", "node").join(step.where("to IS NOT NULL").select("tree", F.col("to").alias("node")), ["tree", "node"], "left_anti")
     largest = ids.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    distance = 1
-    # A path holds at most every node of its tree once; only a cycle could go on beyond that.
-    while distance < largest and not hop.isEmpty():
-        further = reached.join(hop, ["tree", "node"]).select(
-            "tree", "leaf", F.col("to").alias("node"), (F.col("up") + distance).alias("up"))
-        reached = materialise(reached.unionByName(further), "chat-reached")
-        again = hop.select("tree", F.col("node").alias("to"), F.col("to").alias("far"))
-        hop = materialise(hop.join(again, ["tree", "to"]).select("tree", "node", F.col("far").alias("to")), "chat-hop")
+    steps, done, distance = [step], step.where("to IS NULL"), 1
+    # A path holds at most every node of its tree once; only a cycle could go on beyond that. A round only takes nodes
+    # that have not come to the root; those that have keep the sum of their whole path.
+    while distance < largest:
+        going = step.where("to IS NOT NULL")
+        if going.isEmpty():
+            break
+        above = (done.unionByName(going)).select(
+            "tree", F.col("node").alias("to"), F.col("to").alias("far"), F.col("sum").alias("more"), F.col("turns").alias("further"))
+        step = materialise(going.join(above, ["tree", "to"]).select(
+            "tree", "node", F.col("far").alias("to"), (F.col("sum") + F.col("more")).alias("sum"),
+            (F.col("turns") + F.col("further")).alias("turns")), "chat-steps")
+        steps.append(step)
+        done = done.unionByName(step.where("to IS NULL"))
         distance *= 2
-    scored = reached.join(ids.select("tree", "node", "score"), ["tree", "node"]).join(roots, ["tree", "node"], "left")
-    leaves = scored.groupBy("tree", "leaf").agg(
-        F.sum("score").alias("path_score"), F.max("up").alias("top"), F.max("is_root").alias("rooted"),
-    ).where("rooted")
-    rank = Window.partitionBy("tree").orderBy(F.desc("path_score"), F.desc("top"), "leaf")
-    chosen = leaves.withColumn("path_rank", F.row_number().over(rank)).where(F.col("path_rank") <= best)
-    paths = reached.join(chosen, ["tree", "leaf"]).select(
-        "tree", "leaf", "node", (F.col("top") - F.col("up")).alias("pos"), "path_rank", "path_score")
+    # Leaves are ranked by the sums of their paths, one row each, before any path is written out.
+    rank = Window.partitionBy("tree").orderBy(F.desc("sum"), F.desc("turns"), "node")
+    chosen = done.join(leaves, ["tree", "node"]).withColumn("path_rank", F.row_number().over(rank))
+    chosen = chosen.where(F.col("path_rank") <= best).select(
+        "tree", F.col("node").alias("leaf"), "node", (F.col("turns") - 1).alias("pos"), "path_rank", F.col("sum").alias("path_score"))
+    paths, distance = materialise(chosen, "chat-paths"), 1
+    for hop in steps[:-1] if len(steps) > 1 else []:
+        hops = hop.where("to IS NOT NULL").select("tree", "node", "to")
+        further = paths.join(hops, ["tree", "node"]).select(
+            "tree", "leaf", F.col("to").alias("node"), (F.col("pos") - distance).alias("pos"), "path_rank", "path_score")
+        last, paths = paths, materialise(paths.unionByName(further), "chat-paths")
+        drop_tables(nodes.sparkSession, last)
+        distance *= 2
+    drop_tables(nodes.sparkSession, *steps)
     return paths, keyed
 
 

@@ -1,6 +1,7 @@
 """Chat formatting and sharding against plain Python."""
 
 import hashlib
+import random
 from collections import defaultdict
 
 from pyspark.sql import functions as F
@@ -31,6 +32,33 @@ def test_best_paths_of_reply_trees(spark):
     assert loss[1, 1] == "be</turn>\\#" and loss[2, 1] == ""
 
 
+def test_random_trees_as_by_walking_up(spark):
+    rng = random.Random(11)
+    nodes = []
+    for tree in range(30):
+        for node in range(1, rng.randint(2, 60)):
+            parent = rng.choice([None, 0, node - 1, rng.randrange(node)]) if node > 1 else None
+            nodes.append((tree, node, parent, "user", f"{tree}-{node}", float(rng.randrange(-3, 4)), "x"))
+    nodes += [(99, n, n - 1 if n > 1 else None, "user", f"99-{n}", 1.0, "x") for n in range(1, 200)]  # a long thread ...
+    nodes += [(99, 1000 + n, n, "user", f"99-{1000 + n}", float(n % 7), "x") for n in range(1, 200)]  # ... with a leaf at each turn
+    up = {(t, n): p for t, n, p, *_ in nodes}
+    score = {(t, n): s for t, n, _, _, _, s, _ in nodes}
+    parents = {(t, p) for t, _, p, *_ in nodes}
+    want = {}
+    for tree in {t for t, *_ in nodes}:
+        found = []
+        for leaf in [n for t, n, *_ in nodes if t == tree and (t, n) not in parents]:
+            path, at = [], leaf
+            while (tree, at) in up:
+                path.append(at)
+                at = up[tree, at]
+            found.append((-sum(score[tree, n] for n in path), -len(path), leaf, path[::-1]))
+        for place, (_, _, _, path) in enumerate(sorted(found)[:3], start=1):
+            want[tree, place] = [f"{tree}-{n}" for n in path]
+    got = chat.read_back(chat.format_chats(spark.createDataFrame(nodes, NODES), best=3)).collect()
+    assert {(r["conv_id"], r["path_rank"]): [t["text"] for t in r["turns"]] for r in got} == want
+
+
 def test_control_strings_come_back(spark):
     texts = ["\\### Assistant: </turn> ok", "\\b\\h\\l", "### user: ", "</turn>\n", "", "\\", "ünï\n\n<#>"]
     rows = [(7, i, "assistant" if i % 2 else "us: er#", t, None, None) for i, t in enumerate(texts)]
