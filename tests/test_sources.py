@@ -15,7 +15,7 @@ from ordertide.operators import publish_view
 from ordertide.session import drop_staged, staged
 from ordertide.sources import (
     at_snapshot, clean_tracker, coerce_dates, conform, publish, read_mapping_csv, read_mapping_tabs,
-    read_published, read_table, small_table, split_errors, write_csv, write_report,
+    read_published, read_table, small_table, split_errors, write_csv, write_json, write_report,
 )
 
 
@@ -132,3 +132,13 @@ def test_small_table_is_seen_as_small(spark):
 def test_files_written_and_read_back(spark, sf, name):
     state, detail = compare(spark, connect(sf), sf, FILES[name], FILE_ORACLE[name])
     assert state == "ok", detail
+
+
+def test_json_documents_are_stored_small_in_files_of_bounded_rows(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 1).select("id", F.lit("Actual completion after target").alias("reason"), F.lit(None).cast("string").alias("none"))
+    write_json(rows, str(tmp_path / "plain"))
+    write_json(rows, str(tmp_path / "small"), compression="gzip", file_rows=300)
+    size = lambda name: sum(part.stat().st_size for part in (tmp_path / name).glob("part-*"))
+    assert len(list((tmp_path / "small").glob("part-*.gz"))) == 4 and 4 * size("small") < size("plain")
+    read = spark.read.schema(rows.schema).json(str(tmp_path / "small"))
+    assert read.exceptAll(rows).isEmpty() and read.count() == 1000
