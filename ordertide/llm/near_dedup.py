@@ -20,9 +20,8 @@ text of another component that it shares a sketch with and has not met. Pairs in
 comparison. Rounds go on while they find links; what is left shares sketches but is not similar to the centres it met:
 
 * Where at most ``FEW`` texts share a sketch, all their pairs between different components are compared.
-* Where more do, they mostly have one passage in common. These texts are sketched anew without the shingles that more
-  than ``FEW`` of them hold, so what tells them apart counts; a sketch is then shared by ``FEW`` texts at most, and its
-  pairs are compared. No text is left out, and no group is paired.
+* Where more do, they mostly have one passage in common. Of these texts every pair is compared that can be similar, by an
+  exact filter on the rarest runs of ``RUN`` words (of single words for short texts), so no similar pair is left out.
 
 Components are found by hooking and pointer jumping. Only texts that share a sketch are moved, compressed.
 
@@ -40,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordertide.llm.common import bounded, drop_tables, fresh_names, materialise
@@ -53,6 +52,7 @@ PER_SKETCH = 3
 EXACT = 50  # words
 LISTED = int(EXACT / THRESHOLD + 1e-9)  # no longer text reaches the threshold with one of EXACT words
 FEW = 24
+RUN = 3  # words; texts of more than EXACT words at the threshold share many such runs
 WORTHWHILE = 0.05  # of a round's comparisons must find a link, or the rounds end
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -392,10 +392,10 @@ def _joined(marks: DataFrame, candidates: DataFrame, shared: DataFrame, known: D
     counts = placed.groupBy("mark").agg(F.count("*").alias("texts"))
     few = placed.join(counts.where(F.col("texts") <= FEW).select("mark"), "mark")
     many = materialise(placed.join(counts.where(F.col("texts") > FEW).select("mark"), "mark").select("id").distinct(), "near-many")
-    cold = _cold_marks(many, known).join(label, "id")
-    pairs, found = _compared(_all_between(few.select("id", "mark", "class").unionByName(cold.select("id", "mark", "class")), met), known)
+    rest = _rest(many, known, label, met)
+    pairs, found = _compared(_all_between(few.select("id", "mark", "class"), met).unionByName(rest).distinct(), known)
     links, label = _merged(candidates, links, label, found)
-    drop_tables(spark, pairs, placed, many, met)
+    drop_tables(spark, pairs, placed, many, rest, met)
     return label, links
 
 
@@ -437,37 +437,64 @@ def _star(placed: DataFrame, met: DataFrame | None) -> DataFrame:
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, packed text) to (id, place, labelled shingle) rows."""
+    """(id, packed text) to (id, text, size, words, shingle) rows, a row per labelled run of ``size`` words.
+
+    ``text`` tells texts under one id apart, and ``words`` is how many they have.
+    """
     import zstandard
 
     hasher, unpress = WordHasher(), zstandard.ZstdDecompressor()
     for batch in batches:
         for one, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
-            values = labelled(shingles(hasher(spaced_words(unpress.decompress(packed.as_py())))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(values), one)), pa.array(np.arange(len(values))), pa.array(values.view(np.int64))],
-                names=["id", "place", "shingle"])
+            words = spaced_words(unpress.decompress(packed.as_py()))
+            hashes, many = hasher(words), len(words)
+            text = int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True)
+            for size in ([1] if 0 < many <= LISTED else []) + ([RUN] if many > EXACT else []):
+                values = labelled(shingles(hashes, size)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(values), x, kind)) for x, kind in ((one, np.int64), (text, np.int64), (size, np.int32), (many, np.int32))]
+                    + [pa.array(values)], names=["id", "text", "size", "words", "shingle"])
 
 
-def _resketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, labelled shingles in order) to (id, sketches), whose values differ from those of whole texts."""
-    for batch in batches:
-        found = [sketches(np.array(x.as_py(), np.int64).view(np.uint64), SKETCHES).view(np.int64) for x in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "sketches"])
+def _at_least(words: Column, both: bool = False) -> Column:
+    """How many runs of ``size`` words two similar texts have in common, for the words of one of them or of both.
+
+    With m words matched, an unmatched word of one text breaks at most ``size`` of its runs, and an unmatched word of the
+    other at most ``size - 1``. So (2 * size - 1) * m - (size - 1) * (a + b + 1) runs are left.
+    """
+    size, t = F.col("size"), THRESHOLD
+    share = ((2 * size - 1) * F.lit(t / (1 + t)) - (size - 1)) if both else (size * F.lit(t) - (size - 1))
+    return F.greatest(F.lit(1), F.ceil(words * share - (size - 1) - 1e-6))
 
 
-def _cold_marks(ids: DataFrame, known: DataFrame) -> DataFrame:
-    """(id, mark) for texts that share a sketch with many: sketches of the shingles that at most ``FEW`` of them hold.
+def _rest(ids: DataFrame, known: DataFrame, label: DataFrame, met: DataFrame | None) -> DataFrame:
+    """Pairs (a, b) of ``ids`` in different components that can be similar, without any that cannot: no similar pair is left out.
 
-    Shingles of one text only are in no other sketch and are left out.
+    Two similar texts have so many runs of words in common that they share one of the rarest of either, those that remain
+    when all but one of the runs that must be shared are left out. Of the pairs that share one, those are listed whose lengths, and
+    whose places of that run among all their runs from the rarest on, leave room for the others.
     """
-    lists = materialise(known.join(ids, "id").mapInArrow(bounded(_listed), "id long, place long, shingle long"), "near-shingles")
-    cold = lists.groupBy("shingle").agg(F.count("*").alias("texts")).where(F.col("texts").between(2, FEW)).select("shingle")
-    own = lists.join(cold, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("place", "shingle"))).alias("own"))
-    marks = own.select("id", "own.shingle").mapInArrow(bounded(_resketched), "id long, sketches array<long>")
-    marks = materialise(marks.select("id", F.explode("sketches").alias("mark")), "near-cold")
+    lists = materialise(known.join(ids, "id").mapInArrow(
+        bounded(_listed), "id long, text long, size int, words int, shingle long"), "near-shingles")
+    counts = lists.groupBy("size", "shingle").agg(F.count("*").alias("texts")).where("texts > 1")
+    runs = lists.join(counts, ["size", "shingle"]).groupBy("id", "text", "size", "words").agg(
+        F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("rarest"))
+    # Runs of one text only come first in its order and are in no pair.
+    first = F.size("rarest") - _at_least(F.col("words")) + 1
+    runs = runs.where(first > 0).join(label, "id").select(
+        "id", "class", "size", "words", F.size("rarest").alias("shared"), F.posexplode(F.slice("rarest", F.lit(1), first.cast("int"))).alias("place", "run"))
+    runs = materialise(runs.select("id", "class", "size", "words", "shared", "place", F.col("run.shingle").alias("shingle")), "near-runs")
     drop_tables(ids.sparkSession, lists)
-    return marks
+    other = runs.select("size", "shingle", *[F.col(name).alias(f"{name}_b") for name in ("id", "class", "words", "shared", "place")])
+    rest = F.least(F.col("shared") - F.col("place"), F.col("shared_b") - F.col("place_b"))
+    pairs = runs.join(other, ["size", "shingle"]).where("id < id_b AND class <> class_b").where(
+        F.least("place", "place_b") + rest >= _at_least(F.col("words") + F.col("words_b"), both=True)).where(
+        F.least("words", "words_b") >= F.greatest("words", "words_b") * THRESHOLD - 1e-6)
+    pairs = pairs.select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
+    pairs = pairs if met is None else pairs.join(met, ["a", "b"], "left_anti")
+    pairs = materialise(pairs, "near-rest")
+    drop_tables(ids.sparkSession, runs)
+    return pairs
 
 
 def _all_between(placed: DataFrame, met: DataFrame | None) -> DataFrame:

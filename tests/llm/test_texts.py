@@ -184,6 +184,25 @@ def test_short_texts_are_all_compared(spark):
     assert {r["id"]: r["class"] for r in near_dedup.classes(df, "d", "t").collect()} == {i: i - i % 2 for i in range(300)}
 
 
+def test_similar_texts_are_found_among_many_that_share_all_their_passages(spark):
+    """Every run of words but those around single changes is in 256 texts; only texts with the same four passages are similar."""
+    rng = random.Random(5)
+    head, passages = [f"p{i}" for i in range(20)], [[[f"b{k}{v}x{i}" for i in range(60)] for v in range(2)] for k in range(4)]
+    rows = []
+    for i in range(512):
+        words = head + [w for k in range(4) for w in passages[k][i % 16 >> k & 1]]
+        words[rng.randrange(len(words))] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    found = {r["id"]: r["class"] for r in near_dedup.classes(spark.createDataFrame(rows, "d long, t string"), "d", "t").collect()}
+    assert found == {i: i % 16 for i in range(512)}
+
+
+def test_short_similar_texts_are_found_among_many_that_share_their_rarest_words(spark):
+    rows = [(i, " ".join([f"c{x}" for x in range(12)] + [f"s{i % 40}x{x}" for x in range(8)] + [f"own{i}"])) for i in range(80)]
+    found = {r["id"]: r["class"] for r in near_dedup.classes(spark.createDataFrame(rows, "d long, t string"), "d", "t").collect()}
+    assert found == {i: i % 40 for i in range(80)}
+
+
 def _exact_classes(texts):
     """Class of each id by comparing all pairs, with an alignment of the words."""
     hasher = near_dedup.WordHasher()
