@@ -5,6 +5,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks import status_tables
+from helpers import plan
 from ordertide.plans.status import attach_stage_days, current_stage, stage_rules
 from ordertide.plans.status.attributes import add_pickup_status, add_shipping_status, add_telex
 from ordertide.plans.status.ladder import STAGES, SUB_CODES, sub_codes
@@ -120,3 +122,8 @@ def test_days_in_current_stage(spark):
     long = spark.createDataFrame([("a", "4", 9), ("a", "5", 2), ("c", "12", -1)], "po_id string, stage_id string, delay_days long")
     found = {r.line_key: r.days for r in attach_stage_days(report, long).collect()}
     assert found == {"a": 9, "b": None, "c": -1}
+
+
+def test_the_log_is_moved_without_its_visible_keys(spark, sf):
+    text = plan(status_tables.po_lines(spark, sf))
+    assert "document_number" in text and "document_number" not in text[text.index("Window"):]
