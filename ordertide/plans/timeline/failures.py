@@ -31,8 +31,9 @@ def readable_dates(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, dict
     return parsed, wrong
 
 
-def _failures(stages: list[Stage], scope: Scope, fatal: Sequence[str]) -> Column:
-    found = []
+def _failures(stages: list[Stage], scope: Scope, fatal: Sequence[str]) -> tuple[Column, Column]:
+    """All errors of a row, NULL where a part has none, and whether one of them is fatal."""
+    found, ends = [], F.lit(False)
     for stage in stages:
         parts = {
             "preceding": edges_of(stage, scope).error, "actual": expression_error(stage.actual, scope),
@@ -43,7 +44,10 @@ def _failures(stages: list[Stage], scope: Scope, fatal: Sequence[str]) -> Column
                 F.lit(stage.stage_id).alias("stage_id"), F.lit(part).alias("part"), error.alias("error"), F.lit(part in fatal).alias("fatal")))
             for part, error in parts.items() if error is not None
         ]
-    return F.array_compact(F.array(*found)).cast(FAILURE) if found else F.array().cast(FAILURE)
+        for part, error in parts.items():
+            if error is not None and part in fatal:
+                ends = ends | error.isNotNull()
+    return F.array(*found).cast(FAILURE), ends
 
 
 def timeline_or_failures(
@@ -57,8 +61,10 @@ def timeline_or_failures(
     rows, wrong = readable_dates(df, text_dates)
     made = timeline(rows, stages, variant)
     dates = {stage.stage_id: F.col(f"{stage_column(stage.stage_id)}.date") for stage in stages}
-    marked = made.withColumn("_failures", _failures(stages, Scope(made.schema, dates, wrong), fatal))
+    failures, ends = _failures(stages, Scope(made.schema, dates, wrong), fatal)
     kept = df.columns if keep is None else keep
-    good = marked.where(~F.exists("_failures", lambda f: f["fatal"])).select(
+    good = made.where(~ends).select(
         *[F.col(f"`{name}`") for name in kept], *[stage_column(stage.stage_id) for stage in stages])
-    return good, marked.select(*id_columns, F.inline("_failures"))
+    # Tests on arrays are interpreted by Spark, with all that the array is made of; a test after the generator is not.
+    listed = made.select(*id_columns, failures.alias("_failures")).select(*id_columns, F.inline_outer("_failures"))
+    return good, listed.where("stage_id IS NOT NULL")

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.timeline_queries import SMALL_CONFIG
+from ordertide.functions.dates import parse_any_date
 from ordertide.plans.timeline import (
     TIMELINE_DATES, Stage, documents, explain_stages, flat_tables, insights, load_stages, method_counts, nested_results,
     po_delay_summary, read_documents, stage_delay, stages_from_dict, stages_long, standard_stages, team_delay, timeline,
-    timeline_or_failures, topological_order, validate,
+    timeline_or_failures, topological_order, validate, worst_team,
 )
 from ordertide.plans.timeline.expressions import Scope, compile_term, parse
 from ordertide.sources import write_json
@@ -249,3 +250,43 @@ def test_documents_come_back_whole(spark, tmp_path):
     assert ids(after["summary"], *figures) == ids(po_delay_summary(delayed, stages, ["po_id"]), *figures)
     texts = insights(delayed, stages, ["po_id"]).select("po_id", F.posexplode("insights").alias("position", "insight"))
     assert ids(after["insights"], "po_id", "position", "insight") == ids(texts, "po_id", "position", "insight")
+
+
+def _old_any_date(c):
+    """How texts were read before: all formats tried, in order, on every text."""
+    text = F.trim(F.col(c))
+    usable = F.when((text != "") & (text != "NA"), text)
+    formats = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "dd/MM/yyyy")
+    return F.coalesce(*[F.try_to_timestamp(usable, F.lit(f)) for f in formats], usable.try_cast("timestamp"))
+
+
+def test_dates_are_read_as_before_and_formats_tried_only_on_texts_that_look_like_them(spark):
+    texts = ["2024-02-03", "2024-02-30", "2024-02-03 04:05:06", "2024-02-03 24:00:00", "2024-02-03T04:05:06.7", "2024-2-3", "2024-02", "2024",
+             "12/25/2020", "25/12/2020", "02/30/2020", "30/02/2020", "04/31/2020", "13/13/2020", "1/2/2020", "01/02/2020", "01/02/20", "01/02/+12020",
+             "01/02/-2020", "01/02/12020", "00/01/2020", "01/02/2020 10:00", "2020-01-01 10:00:00 Europe/Paris", "2020-01-01 10:00:00+02:00",
+             "+12020-01-01", "12020-01-01", "-0044-03-15", "0000-01-01", "01/02/0000", "soon", "NA", " ", "", None, " 2024-02-03 ", "10:11", "T10:11",
+             "20240203", "2024-02-03 4:5:6", "2024-02-03 04:05", "01-02-2020", "2024/02/03", "1/12/2020", "１2/12/2020"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select("t", F.unix_micros(_old_any_date("t")).alias("old"), F.unix_micros(parse_any_date("t")).alias("new")).collect():
+        assert row.old == row.new, row
+    text = plan(df.select(parse_any_date("t").alias("d")))
+    assert "yyyy-MM-dd" not in text and "RLIKE" in text
+
+
+def test_long_figures_are_compiled_and_not_interpreted(spark):
+    """Lambda functions over arrays of stages would be interpreted, with all that the stages are made of."""
+    df, stages = spark.createDataFrame(random_rows(5, 3), SCHEMA), standard_stages()
+    made = timeline(df, stages, keep=["po_id"])
+    delays = stage_delay(made, stages, "2025-03-01")
+    for found in (method_counts(made, stages, ["po_id"]), po_delay_summary(delays, stages, ["po_id"]), worst_team(delays, stages, ["po_id"])):
+        assert "lambda" not in plan(found)
+    good, failed = timeline_or_failures(made.select("po_id").withColumn("d", F.lit("x")), [Stage("1", "A", "d", None, None, 1)], ["po_id"], text_dates=["d"])
+    assert "lambda" not in plan(good) + plan(failed) and failed.count() == 5 and good.count() == 5
+
+
+def test_methods_of_more_stages_than_one_number_counts(spark):
+    stages = [Stage(str(n), f"Stage {n}", "po_approval_date", None, "po_created_date", n) for n in range(1, 131)]
+    df = spark.createDataFrame([("a", day(0), day(5)), ("b", None, None)], "po_id string, po_created_date timestamp, po_approval_date timestamp")
+    a, b = method_counts(timeline(df, stages, keep=["po_id"]), stages, ["po_id"]).orderBy("po_id").collect()
+    assert (a.total_stages, a.calculated_stages, a.actual_only, a.failed) == (130, 130, 130, 0)
+    assert (b.total_stages, b.calculated_stages, b.actual_only, b.failed) == (130, 0, 0, 130)
