@@ -20,8 +20,10 @@ text of another component that it shares a sketch with and has not met. Pairs in
 comparison. Rounds go on while they find links; what is left shares sketches but is not similar to the centres it met:
 
 * Where at most ``FEW`` texts share a sketch, all their pairs between different components are compared.
-* Where more do, they mostly have one passage in common. Of these texts every pair is compared that can be similar, by an
-  exact filter on the rarest runs of ``RUN`` words (of single words for short texts), so no similar pair is left out.
+* Where more do, they mostly have one passage in common. Of these texts every pair is compared that can be similar, by exact
+  filters, so no similar pair is left out: lengths, and counts of words by bucket, compared block by block without
+  making rows of pairs. Where such texts are many, those go first that share too few runs of ``RUN`` words (of single words for
+  short texts) with all others.
 
 Components are found by hooking and pointer jumping. Only texts that share a sketch are moved, compressed.
 
@@ -53,6 +55,9 @@ EXACT = 50  # words
 LISTED = int(EXACT / THRESHOLD + 1e-9)  # no longer text reaches the threshold with one of EXACT words
 FEW = 24
 RUN = 3  # words; texts of more than EXACT words at the threshold share many such runs
+COARSE = 32  # buckets of the outlines that are compared first
+BLOCK_ROWS, BLOCK_BYTES = 2048, 2**21  # of outlines that are compared at once
+DIRECT = 8 * BLOCK_ROWS  # so many texts are sooner compared than listed by their runs
 WORTHWHILE = 0.05  # of a round's comparisons must find a link, or the rounds end
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -456,45 +461,154 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     + [pa.array(values)], names=["id", "text", "size", "words", "shingle"])
 
 
-def _at_least(words: Column, both: bool = False) -> Column:
-    """How many runs of ``size`` words two similar texts have in common, for the words of one of them or of both.
+def _at_least(words: Column) -> Column:
+    """How many runs of ``size`` words a text of so many words has in common with any similar one.
 
     With m words matched, an unmatched word of one text breaks at most ``size`` of its runs, and an unmatched word of the
     other at most ``size - 1``. So (2 * size - 1) * m - (size - 1) * (a + b + 1) runs are left.
     """
-    size, t = F.col("size"), THRESHOLD
-    share = ((2 * size - 1) * F.lit(t / (1 + t)) - (size - 1)) if both else (size * F.lit(t) - (size - 1))
-    return F.greatest(F.lit(1), F.ceil(words * share - (size - 1) - 1e-6))
+    size = F.col("size")
+    return F.greatest(F.lit(1), F.ceil(words * (size * F.lit(THRESHOLD) - (size - 1)) - (size - 1) - 1e-6))
+
+
+def _outlined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, packed text) to (id, text, words, outline): how many words fall into each of a power of two of buckets, a byte each.
+
+    More than 255 words of a bucket are written as 255, which brings two outlines nearer to each other and never apart.
+    """
+    import zstandard
+
+    hasher, unpress = WordHasher(), zstandard.ZstdDecompressor()
+    for batch in batches:
+        rows = []
+        for one, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            words = spaced_words(unpress.decompress(packed.as_py()))
+            text = int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True)
+            buckets = 1 << min(max(len(words).bit_length() - 1, COARSE.bit_length() - 1), 12)
+            own = (hasher(words) & np.uint64(buckets - 1)).astype(np.int64)
+            rows.append((one, text, len(words), np.minimum(np.bincount(own, minlength=buckets), 255).astype(np.uint8).tobytes()))
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        columns = list(zip(*rows)) if rows else [()] * len(kinds)
+        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds)], names=["id", "text", "words", "outline"])
+
+
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text, class, words, outline) with the number of the block each row is in; a block has bounded rows and bytes."""
+    from pyspark import TaskContext
+
+    block, rows, size = TaskContext.get().partitionId() << 33, 0, 0
+    for batch in batches:
+        numbers = []
+        for outline in batch.column(4):
+            if rows == BLOCK_ROWS or size >= BLOCK_BYTES:
+                block, rows, size = block + 1, 0, 0
+            rows, size = rows + 1, size + len(outline.as_buffer())
+            numbers.append(block)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, "block"])
+
+
+class _Block:
+    """Outlines of a block, by their number of buckets and then by words."""
+
+    def __init__(self, rows: list[tuple]):
+        self.parts = {}
+        for width in {len(row[3]) for row in rows}:
+            own = sorted((row for row in rows if len(row[3]) == width), key=lambda row: row[2])
+            ids, classes, words = (np.array([row[k] for row in own], np.int64) for k in range(3))
+            counts = np.frombuffer(b"".join(row[3] for row in own), np.uint8).reshape(len(own), width).astype(np.int32)
+            self.parts[width] = ids, classes, words, counts, _folded(counts, COARSE)
+
+
+def _folded(counts: np.ndarray, width: int) -> np.ndarray:
+    """Outlines with fewer buckets."""
+    return counts.reshape(len(counts), -1, width).sum(axis=1)
+
+
+def _near_outlines(one: _Block, two: _Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of the texts of two blocks, or of one twice, that are in different components and can be similar.
+
+    Every word that has no match in order is also missing in the other outline unless another falls into its bucket. So
+    outlines of similar texts differ by no more than the words that the threshold lets two texts have unmatched.
+    """
+    slack = (1 - THRESHOLD) / (1 + THRESHOLD)
+    for width, (ids, classes, words, counts, coarse) in one.parts.items():
+        for other, (ids_b, classes_b, words_b, counts_b, coarse_b) in two.parts.items():
+            least = min(width, other)
+            own, its = _folded(counts, least), _folded(counts_b, least)
+            low = np.searchsorted(words_b, words * THRESHOLD - 1e-6)
+            high = np.searchsorted(words_b, words / THRESHOLD + 1e-6, "right")
+            for i in range(len(ids)):
+                at = low[i] + np.flatnonzero(classes_b[low[i]:high[i]] != classes[i])
+                most = slack * (words[i] + words_b[at]) + 1e-6
+                for mine, theirs in ((coarse[i], coarse_b), (own[i], its)):
+                    near = np.abs(theirs[at] - mine).sum(axis=1) <= most
+                    at, most = at[near], most[near]
+                if len(at):
+                    yield np.full(len(at), ids[i]), ids_b[at]
+
+
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (one, two, side, id, class, words, outline), sorted by the first three, to pairs (a, b) that can be similar.
+
+    ``side`` is 0 for texts of block ``one`` and 1 for those of ``two``; a block paired with itself has only the first.
+    """
+    def found(sides: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        first = _Block(sides[0]) if sides[0] else None
+        second = _Block(sides[1]) if sides[1] else first
+        if first is not None:
+            for a, b in _near_outlines(first, second):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    last, sides = None, {0: [], 1: []}
+    for batch in batches:
+        for one, two, side, *row in zip(*[column.to_pylist() for column in batch.columns]):
+            if (one, two) != last:
+                yield from found(sides)
+                last, sides = (one, two), {0: [], 1: []}
+            sides[side].append(row)
+    yield from found(sides)
+
+
+def _sharing_enough(texts: DataFrame, label: DataFrame) -> DataFrame:
+    """Ids of the texts (id, packed) that share as many runs of words with texts of other components as a similar pair must."""
+    lists = texts.mapInArrow(bounded(_listed), "id long, text long, size int, words int, shingle long").join(label, "id")
+    lists = materialise(lists, "near-shingles")
+    counts = lists.groupBy("size", "shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
+    shared = lists.join(counts.select("size", "shingle"), ["size", "shingle"]).groupBy("id", "text", "size", "words").agg(F.count("*").alias("shared"))
+    out = materialise(shared.where(F.col("shared") >= _at_least(F.col("words"))).select("id").distinct(), "near-sharing")
+    drop_tables(texts.sparkSession, lists)
+    return out
 
 
 def _rest(ids: DataFrame, known: DataFrame, label: DataFrame, met: DataFrame | None) -> DataFrame:
-    """Pairs (a, b) of ``ids`` in different components that can be similar, without any that cannot: no similar pair is left out.
+    """Pairs (a, b) of ``ids`` in different components that can be similar: no similar pair is left out.
 
-    Two similar texts have so many runs of words in common that they share one of the rarest of either, those that remain
-    when all but one of the runs that must be shared are left out. Of the pairs that share one, those are listed whose lengths, and
-    whose places of that run among all their runs from the rarest on, leave room for the others.
+    Texts of like length are brought together in blocks of bounded size. Blocks that hold lengths near enough are compared as a
+    whole by the outlines of their texts, so a pair becomes a row only where its outlines are near. Where texts are many,
+    those that share too few runs of words with any other component are left out first.
     """
-    lists = materialise(known.join(ids, "id").mapInArrow(
-        bounded(_listed), "id long, text long, size int, words int, shingle long"), "near-shingles")
-    counts = lists.groupBy("size", "shingle").agg(F.count("*").alias("texts")).where("texts > 1")
-    runs = lists.join(counts, ["size", "shingle"]).groupBy("id", "text", "size", "words").agg(
-        F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("rarest"))
-    # Runs of one text only come first in its order and are in no pair.
-    first = F.size("rarest") - _at_least(F.col("words")) + 1
-    runs = runs.where(first > 0).join(label, "id").select(
-        "id", "class", "size", "words", F.size("rarest").alias("shared"), F.posexplode(F.slice("rarest", F.lit(1), first.cast("int"))).alias("place", "run"))
-    runs = materialise(runs.select("id", "class", "size", "words", "shared", "place", F.col("run.shingle").alias("shingle")), "near-runs")
-    drop_tables(ids.sparkSession, lists)
-    other = runs.select("size", "shingle", *[F.col(name).alias(f"{name}_b") for name in ("id", "class", "words", "shared", "place")])
-    rest = F.least(F.col("shared") - F.col("place"), F.col("shared_b") - F.col("place_b"))
-    pairs = runs.join(other, ["size", "shingle"]).where("id < id_b AND class <> class_b").where(
-        F.least("place", "place_b") + rest >= _at_least(F.col("words") + F.col("words_b"), both=True)).where(
-        F.least("words", "words_b") >= F.greatest("words", "words_b") * THRESHOLD - 1e-6)
-    pairs = pairs.select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
-    pairs = pairs if met is None else pairs.join(met, ["a", "b"], "left_anti")
-    pairs = materialise(pairs, "near-rest")
-    drop_tables(ids.sparkSession, runs)
-    return pairs
+    spark = ids.sparkSession
+    texts, enough = known.join(ids, "id"), None
+    if ids.count() > DIRECT:
+        enough = _sharing_enough(texts, label)
+        texts = texts.join(enough, "id")
+    outlines = texts.mapInArrow(bounded(_outlined), "id long, text long, words int, outline binary").where("words > 0").dropDuplicates(["id", "text"])
+    ordered = outlines.join(label, "id").orderBy("words", "id", "text").select("id", "text", "class", "words", "outline")
+    blocks = materialise(ordered.mapInArrow(
+        bounded(_blocked), "id long, text long, class long, words int, outline binary, block long"), "near-blocks")
+    spans = blocks.groupBy("block").agg(F.min("words").alias("low"), F.max("words").alias("high"))
+    one = spans.select(F.col("block").alias("one"), F.col("high").alias("high_one"), F.col("low").alias("low_one"))
+    two = spans.select(F.col("block").alias("two"), F.col("high").alias("high_two"), F.col("low").alias("low_two"))
+    near = (F.col("high_one") >= F.col("low_two") * THRESHOLD - 1e-6) & (F.col("high_two") >= F.col("low_one") * THRESHOLD - 1e-6)
+    pairs = materialise(one.join(two, (F.col("one") <= F.col("two")) & near).select("one", "two"), "near-blockpairs")
+    rows = ["id", "class", "words", "outline"]
+    left = pairs.join(blocks, F.col("one") == F.col("block")).select("one", "two", F.lit(0).alias("side"), *rows)
+    right = pairs.where("one < two").join(blocks, F.col("two") == F.col("block")).select("one", "two", F.lit(1).alias("side"), *rows)
+    sides = left.unionByName(right).repartition("one", "two").sortWithinPartitions("one", "two", "side")
+    found = sides.mapInArrow(bounded(_paired), "a long, b long").where("a < b").distinct()
+    found = materialise(found if met is None else found.join(met, ["a", "b"], "left_anti"), "near-rest")
+    drop_tables(spark, blocks, pairs, *[] if enough is None else [enough])
+    return found
 
 
 def _all_between(placed: DataFrame, met: DataFrame | None) -> DataFrame:

@@ -6,7 +6,9 @@ import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from ordertide.llm import decontaminate, near_dedup, substrings
@@ -266,6 +268,58 @@ def test_a_passage_that_many_share_is_no_group_of_pairs(spark, monkeypatch):
     assert sum(compared) < 440 * near_dedup.FEW
 
 
+@pytest.mark.parametrize("direct", [0, near_dedup.DIRECT])
+def test_texts_with_half_a_passage_in_common_are_no_rows_of_pairs(spark, monkeypatch, direct):
+    """200 texts share 120 of 180 words, which every run filter must let pass; only each tenth is similar to another."""
+    passage, rows = [f"p{i}" for i in range(120)], []
+    for i in range(200):
+        own = passage + [f"o{i}x{k}" for k in range(60)]
+        rows.append((i, " ".join(own)))
+        if i % 10 == 9:
+            rows.append((i + 1000, " ".join(own[:172] + ["new"] * 6)))
+    listed, whole = [], near_dedup._rest
+
+    def counted(*args):
+        out = whole(*args)
+        listed.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "_rest", counted)
+    monkeypatch.setattr(near_dedup, "DIRECT", direct)
+    found = {r["id"]: r["class"] for r in near_dedup.classes(spark.createDataFrame(rows, "d long, t string"), "d", "t").collect()}
+    assert found == {i: i % 1000 for i, _ in rows}
+    assert sum(listed) <= 200
+
+
+def test_outlines_leave_out_no_similar_text():
+    rng = np.random.default_rng(5)
+    texts, base = [], rng.integers(0, 300, 700)
+    for i in range(160):
+        n = int(rng.integers(51, 700))
+        words = base[:n].copy()
+        at = rng.integers(0, n, int(n * rng.uniform(0, 0.2)))
+        words[at] = rng.integers(0, 10**6, len(at))
+        texts.append([f"w{w}".encode() for w in words[:n - int(rng.integers(0, 9))]])
+    hasher = near_dedup.WordHasher()
+    packed = [zstandard.compress(b" ".join(t)) for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(packed, pa.binary())], names=["id", "packed"])
+    outlines = next(near_dedup._outlined(iter([batch])))
+    sides = [[r["id"], r["id"] % 7, r["words"], r["outline"]] for r in outlines.to_pylist()]
+    names = ["one", "two", "side", "id", "class", "words", "outline"]
+
+    def pairs(rows, size):
+        table = pa.Table.from_pylist([dict(zip(names, row)) for row in rows])
+        found = [(p["a"], p["b"]) for out in near_dedup._paired(iter(table.to_batches(max_chunksize=size))) for p in out.to_pylist()]
+        return {(a, b) for a, b in found if a < b}
+
+    within = pairs([(0, 0, 0, *row) for row in sides], 7)
+    blocks = pairs([(0, 0, 0, *r) for r in sides[:70]] + [(0, 1, 0, *r) for r in sides[:70]] + [(0, 1, 1, *r) for r in sides[70:]]
+                   + [(1, 1, 0, *r) for r in sides[70:]], 33)
+    seq = [hasher(t) for t in texts]
+    similar = {(a, b) for a in range(160) for b in range(a + 1, 160) if a % 7 != b % 7 and near_dedup.similarity(seq[a], seq[b]) >= 0.8}
+    assert len(similar) > 100 and similar <= within == blocks and len(within) < 160 * 159 / 4
+
+
 def test_recall_on_the_documents(spark):
     """Of all pairs of different texts that are similar, found by a search of all shingles, 95 in 100 share a class."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
