@@ -124,7 +124,7 @@ def shipment_lines_star(raw: Mapping[str, DataFrame], sides: Sequence[str] = ("n
     headers = headers.withColumn("gross_volume_cbm", volume)
     lines = raw["shipment_lines"].select("shipment_number", "po", "item", "vendor", "quantity_expected", "quantity_received", "po_line_key")
     known = shipment_sides(raw)
-    return shipment_star(header_lines(headers, lines, "shipment_number"), {name: known[name] for name in sides})
+    return shipment_star(header_lines(headers, lines, "shipment_number"), {name: known[name] for name in sides}, ["shipment_number", "po_line_key"])
 
 
 def telex(raw: Mapping[str, DataFrame]) -> DataFrame:

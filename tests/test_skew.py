@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ordertide.operators import (
     any_of, first_and_last, flag_exists, join_unique, latest, list_and_sum, lookup, lookup_many, priority_of,
-    restrict_to, roll_up,
+    restrict_to, roll_up, shipment_star,
 )
 from ordertide.operators.rollups import max_date
 
@@ -118,3 +118,26 @@ def test_latest_prunes_before_the_shuffle(spark, sf):
     assert "WindowGroupLimit" in text
     assert text.index("Exchange") < text.rindex("WindowGroupLimit")  # printed top-down: one sits below the shuffle
     assert "l_comment" not in text and "l_tax" not in text
+
+
+def test_rows_without_the_key_of_an_earlier_side_are_dealt_out(spark):
+    """Most lines are of no batch. The side is grouped by batch, so Spark would neither shuffle it for the join nor split a partition."""
+    n = F.col("id")
+    lines = spark.range(4000).select(n.alias("line"), (n % 50).alias("ship"))
+    terms = spark.range(3000).select(n.alias("line"), F.when(n % 5 == 0, F.concat(F.lit("b"), (n % 90).cast("string"))).alias("batch"))
+    uploads = spark.range(500).select(F.when(n % 9 != 0, F.concat(F.lit("b"), (n % 80).cast("string"))).alias("batch"), n.alias("day"))
+    telex = uploads.groupBy("batch").agg(F.max("day").alias("last"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        star = shipment_star(lines, {"terms": (["line"], terms), "telex": (["batch"], telex)}, ["ship", "line"])
+        plain = lines.join(terms, "line", "left").join(telex, "batch", "left").select("batch", "line", "ship", "last")
+        assert star.columns == plain.columns and rows(star) == rows(plain)
+        parts = star.where("batch IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert max(r["count"] for r in parts) < 2 * 3400 / len(parts)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
